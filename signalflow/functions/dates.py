@@ -36,8 +36,11 @@ def week_bucket(c, anchor: str = "iso") -> Column:
 
 
 def parse_instant(c) -> Column:
-    """ISO-8601 text with ``Z`` or an offset to a timestamp; unreadable text is NULL."""
-    return F.try_to_timestamp(_col(c))
+    """ISO-8601 text with ``Z`` or an offset to a zone-less UTC timestamp; unreadable text is NULL.
+
+    Zone-less, so that days and weeks do not depend on the session's time zone.
+    """
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.try_to_timestamp(_col(c)))
 
 
 def earliest_instant(created, indexed) -> Column:

@@ -30,27 +30,24 @@ def scaled_target(c, name: str) -> Column:
     return _col(c) * F.lit(float(PER_100K)) if "incidence" in name else _col(c)
 
 
-def periodic_spline(c, period: float, n_splines: int, name: str) -> list[Column]:
-    """Uniform periodic cubic B-spline basis of ``c``: ``n_splines`` columns summing to 1.
+def spline_cell(c, period: float, n_splines: int) -> tuple[Column, Column]:
+    """Knot interval of ``c`` on the period, and the weights of the four splines that reach into it.
 
-    Knots are evenly spaced over one period; spline ``i`` is the cubic bump
-    that starts three knots before knot ``i``, wrapped around the period.
+    Knots are evenly spaced over one period. The cubic B-spline that starts ``m`` knots
+    before the interval has weight ``m`` of the array.
     """
-    if n_splines < 4:
-        raise ValueError("a periodic cubic basis needs at least 4 splines")
     position = F.pmod(_col(c).cast("double"), F.lit(float(period))) * F.lit(n_splines / period)
-    out = []
-    for i in range(n_splines):
-        t = F.pmod(position - F.lit(float(i - 3)), F.lit(float(n_splines)))
-        out.append(_cubic_bump(t).alias(f"{name}_spline_{i}"))
-    return out
-
-
-def _cubic_bump(t: Column) -> Column:
-    return (
-        F.when(t < 1, t * t * t / 6)
-        .when(t < 2, (((t * -3 + 12) * t - 12) * t + 4) / 6)
-        .when(t < 3, (((t * 3 - 24) * t + 60) * t - 44) / 6)
-        .when(t < 4, (4 - t) * (4 - t) * (4 - t) / 6)
-        .otherwise(F.lit(0.0))
+    cell = F.floor(position).cast("int")
+    u = position - cell
+    weights = F.array(
+        u * u * u / 6,
+        (((u * -3 + 3) * u + 3) * u + 1) / 6,
+        ((u * 3 - 6) * u * u + 4) / 6,
+        (1 - u) * (1 - u) * (1 - u) / 6,
     )
+    return cell, weights
+
+
+def spline_value(cell: Column, weights: Column, i: int, n_splines: int) -> Column:
+    """Spline ``i`` of the periodic basis (it starts three knots before knot ``i``)."""
+    return F.coalesce(F.get(weights, F.pmod(cell + F.lit(3 - i), F.lit(n_splines))), F.lit(0.0))

@@ -148,9 +148,10 @@ def window_gaps(pages: DataFrame, tolerance: str = "5 seconds") -> DataFrame:
     """Completeness of a crawl: pages run from newest to oldest, each must start where the next newer one ended.
 
     ``pages`` has ``keyword, page_id, period_start, period_end``. A page is ``complete``
-    if its upper bound lies within ``tolerance`` of the newer page's earliest post.
+    if its upper bound lies within ``tolerance`` of the newer page's earliest post. The
+    crawl works in windows of one keyword and day, so chains start anew every day.
     """
-    newest_first = Window.partitionBy("keyword").orderBy(F.col("period_end").desc(), "page_id")
+    newest_first = Window.partitionBy("keyword", F.to_date("period_end")).orderBy(F.col("period_end").desc(), "page_id")
     newer = F.lag("period_start").over(newest_first)
     return pages.select(
         "keyword",

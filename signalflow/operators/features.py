@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from signalflow.functions.dates import season
-from signalflow.functions.rates import periodic_spline, scaled_target
+from signalflow.functions.rates import scaled_target, spline_cell, spline_value
 
 # Order of the seasons where a model needs numbers.
 SEASONS = ("Winter", "Spring", "Summer", "Autumn")
@@ -67,7 +67,12 @@ def one_hot(
 
 
 def spline_features(df: DataFrame, column: str, period: float, n_splines: int) -> DataFrame:
-    return df.select("*", *periodic_spline(column, period, n_splines, column))
+    """Add the uniform periodic cubic B-spline basis ``{column}_spline_{i}``; its columns sum to 1."""
+    if n_splines < 4:
+        raise ValueError("a periodic cubic basis needs at least 4 splines")
+    cell, weights = spline_cell(column, period, n_splines)
+    names = {f"{column}_spline_{i}": spline_value(F.col("__cell"), F.col("__weights"), i, n_splines) for i in range(n_splines)}
+    return df.withColumns({"__cell": cell, "__weights": weights}).withColumns(names).drop("__cell", "__weights")
 
 
 def series_order(by: Sequence[str], ts: str):

@@ -50,18 +50,19 @@ def stemmed_word(token: Column, stemmer: Stemmer) -> Column:
 
 
 def ngrams(tokens: Column, lo: int, hi: int) -> Column:
-    """Space-joined runs of ``lo`` to ``hi`` neighbouring tokens."""
+    """Space-joined runs of ``lo`` to ``hi`` neighbouring tokens.
+
+    Runs grow by zipping them with the tokens shifted one further, linear in the text
+    length. ``tokens`` should be a plain column.
+    """
     if not 1 <= lo <= hi:
         raise ValueError("need 1 <= lo <= hi")
-    runs = []
-    for n in range(lo, hi + 1):
-        if n == 1:
-            runs.append(tokens)
-            continue
-        starts = F.sequence(F.lit(1), F.size(tokens) - (n - 1))
-        grams = F.transform(starts, lambda i, n=n: F.array_join(F.slice(tokens, i, n), " "))
-        runs.append(F.when(F.size(tokens) >= n, grams).otherwise(F.array().cast("array<string>")))
-    return F.concat(*runs)
+    runs = {1: tokens}
+    for n in range(2, hi + 1):
+        count = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
+        shorter, shifted = F.slice(runs[n - 1], 1, count), F.slice(tokens, n, count)
+        runs[n] = F.zip_with(shorter, shifted, lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.concat(*[runs[n] for n in range(lo, hi + 1)])
 
 
 def token_arrays(
@@ -98,9 +99,10 @@ def weekly_tokens(
         tokens = stemmed(tokens, stemmer)
     if not late_stem:
         tokens = without_words(tokens, stop)
-    if ngram_range != (1, 1):
-        tokens = ngrams(tokens, *ngram_range)
-    counted = posts.select(*by, week, F.explode(tokens).alias("token")).groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
+    # a column of its own: inside a lambda the whole cleaning would run per element
+    rows = posts.select(*by, week, tokens.alias("__words"))
+    grams = F.col("__words") if ngram_range == (1, 1) else ngrams(F.col("__words"), *ngram_range)
+    counted = rows.select(*by, WEEK, F.explode(grams).alias("token")).groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
     if not late_stem:
         return counted
     stems = counted.withColumn("token", stemmed_word(F.col("token"), stemmer))
@@ -129,17 +131,18 @@ def vocabulary(tokens: DataFrame, min_weeks: int = 10, min_mention: int = 10) ->
     )
 
 
-def wide_tokens(tokens: DataFrame, max_columns: int = 2_000) -> DataFrame:
+def wide_tokens(tokens: DataFrame, names: Sequence[str] | None = None, max_columns: int = 2_000) -> DataFrame:
     """One row per week, one column per token, 0 where a token is absent.
 
-    The vocabulary is read by the driver to name the columns. A vocabulary larger
+    Without ``names`` the driver reads the vocabulary to name the columns. One larger
     than ``max_columns`` is an error: filter it with ``frequent_tokens`` first.
     """
-    names = [r.token for r in tokens.select("token").distinct().orderBy("token").limit(max_columns + 1).collect()]
+    if names is None:
+        names = [r.token for r in tokens.select("token").distinct().orderBy("token").limit(max_columns + 1).collect()]
     if len(names) > max_columns:
         raise ValueError(f"vocabulary exceeds {max_columns} columns; raise min_weeks or min_mention")
-    wide = tokens.groupBy(WEEK).pivot("token", names).agg(F.sum("cnt"))
-    return wide.na.fill(0, subset=names) if names else wide
+    wide = tokens.groupBy(WEEK).pivot("token", list(names)).agg(F.sum("cnt"))
+    return wide.na.fill(0, subset=list(names)) if names else wide
 
 
 def fit_vectorizer(tokenized: DataFrame, **params) -> CountVectorizerModel:
@@ -149,7 +152,10 @@ def fit_vectorizer(tokenized: DataFrame, **params) -> CountVectorizerModel:
 def weekly_vectors(
     tokenized: DataFrame, model: CountVectorizerModel, created: str = "record__created_at"
 ) -> DataFrame:
-    """Weekly sums of the count vectors as long rows: vectors are added up inside Spark ML, then unpacked."""
+    """Weekly sums of the count vectors as long rows: vectors are added up inside Spark ML, then unpacked.
+
+    The summarizer works with running means, hence the rounding back to counts.
+    """
     names = F.array(*[F.lit(w) for w in model.vocabulary])
     weekly = (
         model.transform(tokenized)
@@ -159,5 +165,5 @@ def weekly_vectors(
     return (
         weekly.select(WEEK, F.posexplode("sums").alias("i", "cnt"))
         .filter("cnt > 0")
-        .select(WEEK, F.get(names, F.col("i")).alias("token"), F.col("cnt").cast("bigint").alias("cnt"))
+        .select(WEEK, F.get(names, F.col("i")).alias("token"), F.round("cnt").cast("bigint").alias("cnt"))
     )

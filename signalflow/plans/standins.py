@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from signalflow.config import Calendar, KeywordGroup, SignalSpec
 from signalflow.functions.dates import iso_week
+from signalflow.session import spread
 
 SYMPTOM = KeywordGroup("grippe_posts", ("1-URGENT", "2-HIGH"))
 CONTROL = KeywordGroup("rest_posts", ("3-MEDIUM", "4-NOT SPECIFIED"))
@@ -65,7 +66,7 @@ def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts: documents, dated by the order of the same number; some carry two languages."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     dates = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     mixed = F.when(F.col("source").isin(*MIXED_SOURCES), F.concat("lang", F.lit(",en"))).otherwise(F.col("lang"))
     return docs.join(dates, F.col("doc_id") == F.col("o_orderkey")).select(

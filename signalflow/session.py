@@ -62,3 +62,13 @@ def written(df, label: str):
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df):
+    """Give a scan at least one task per core, for CPU-heavy work on few or unsplittable files.
+
+    A scan that already has as many partitions as the cluster has cores, as any large
+    one does, is returned unchanged and is not shuffled. Call it on plain scans only.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
