@@ -40,7 +40,17 @@ def parse_instant(c) -> Column:
 
     Zone-less, so that days and weeks do not depend on the session's time zone.
     """
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.try_to_timestamp(_col(c)))
+    return utc_time(F.try_to_timestamp(_col(c)))
+
+
+def utc_instant(c) -> Column:
+    """Zone-less UTC time to a TIMESTAMP (what watermarks need), whatever the session's zone."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), _col(c)).cast("timestamp")
+
+
+def utc_time(c) -> Column:
+    """TIMESTAMP to zone-less UTC time."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), _col(c).cast("timestamp_ntz"))
 
 
 def earliest_instant(created, indexed) -> Column:

@@ -3,21 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# White space as Python's ``str.isspace`` sees it: Unicode white space plus the
-# four ASCII separators that Java's ``\s`` leaves out.
-SPACE = r"\s\x1c-\x1f"
+# White space as Python's ``str.isspace`` sees it, as a character class. Spelt
+# out because a Unicode-aware ``\s`` is much slower and leaves out the ASCII separators.
+SPACE = r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
-# Fixed values, in this order: web addresses, mentions, tags, all but letters and space.
+# Fixed values, in this order: web addresses, mentions, tags, all but letters and space. The
+# last one tests one character by look-ahead, which Java runs several times faster than a
+# negated class of the same members.
 CLEANING_PATTERNS = (
-    rf"(?U)http[^{SPACE}]+",
-    rf"(?U)@[^{SPACE}]+",
-    rf"(?U)#[^{SPACE}]+",
-    rf"(?U)[^a-zA-ZÀ-ÿ{SPACE}]",
+    rf"http[^{SPACE}]+",
+    rf"@[^{SPACE}]+",
+    rf"#[^{SPACE}]+",
+    rf"(?s)(?![a-zA-ZÀ-ÿ{SPACE}]).",
 )
 
 # Words the word tokeniser splits in two.
@@ -36,12 +40,22 @@ def clean_text(c) -> Column:
     return F.lower(out)
 
 
-def words(c, split_contractions: bool = True) -> Column:
-    """Array of the words of a cleaned text (empty array for blank text)."""
+def raw_words(c, split_contractions: bool = True) -> Column:
+    """Array of the words of a cleaned text; leading or trailing space leaves empty words.
+
+    ``c`` should be a plain column, it is used several times.
+    """
     text = _col(c)
     if split_contractions:
-        text = F.regexp_replace(text, SPLIT_POINTS, " ")
-    return F.filter(F.split(text, rf"(?U)[{SPACE}]+"), lambda w: w != "")
+        # the split pattern looks around at every position: run it only where it can match
+        possible = reduce(or_, [F.contains(text, F.lit(left + right)) for left, right in SPLIT_WORDS])
+        text = F.when(possible, F.regexp_replace(text, SPLIT_POINTS, " ")).otherwise(text)
+    return F.split(text, f"[{SPACE}]+")
+
+
+def words(c, split_contractions: bool = True) -> Column:
+    """Array of the words of a cleaned text (empty array for blank text)."""
+    return F.filter(raw_words(c, split_contractions), lambda w: w != "")
 
 
 def without_words(tokens, stop: Sequence[str]) -> Column:

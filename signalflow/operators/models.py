@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from signalflow.config import ForecastSpec
-from signalflow.operators.folds import fold_rows, positioned
+from signalflow.operators.folds import positioned
 from signalflow.session import written
 
 KINDS = ("gbt", "gbt_restricted", "gamma", "ridge")
@@ -95,11 +95,12 @@ def cross_validate(
     return out
 
 
-def _ridge_weights(x: np.ndarray, y: np.ndarray, alpha: float) -> tuple[np.ndarray, float]:
+def _ridge_predict(x: np.ndarray, y: np.ndarray, at: np.ndarray, alpha: float) -> np.ndarray:
+    """Ridge regression with intercept on (x, y), evaluated at the rows ``at``."""
     mx, my = x.mean(axis=0), y.mean()
     xc = x - mx
     w = np.linalg.solve(xc.T @ xc + alpha * np.eye(x.shape[1]), xc.T @ (y - my))
-    return w, float(my - mx @ w)
+    return (at - mx) @ w + my
 
 
 def ridge_cv(
@@ -107,28 +108,33 @@ def ridge_cv(
 ) -> DataFrame:
     """Out-of-fold ridge predictions of every series and fold in one job.
 
-    Spark cuts the folds and shuffles on (series, fold): a task solves the small
-    normal equations of a fold's at most ``max_train`` rows. Unlike
-    ``cross_validate`` every series has its own model.
+    Unlike ``cross_validate`` every series has its own models. A task gets one series,
+    which the calendar bounds, and solves the small normal equations of its folds; the
+    rows are shuffled once instead of once per fold that trains on them.
     """
     features = list(features)
-    rows = fold_rows(df, by, ts, spec.n_splits, spec.test_size, spec.gap, spec.max_train).select(
-        *by, "fold", "role", ts, "target_date", F.col("y").cast("double").alias("y"),
-        F.array(*[F.col(c).cast("double") for c in features]).alias("x"),
-    )
-    fields = [rows.schema[c] for c in (*by, "fold", ts, "target_date", "y")]
+    rows = df.select(*by, ts, "target_date", F.col("y").cast("double").alias("y"), *[F.col(c).cast("double").alias(c) for c in features])
+    fields = [*[rows.schema[c] for c in by], T.StructField("fold", T.IntegerType())]
+    fields += [rows.schema[c] for c in (ts, "target_date", "y")]
     schema = T.StructType([*fields, T.StructField("yhat", T.DoubleType())])
     names = schema.names
+    n_splits, size, gap, max_train = spec.n_splits, spec.test_size, spec.gap, spec.max_train
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        test = pdf["role"] == "test"
-        train = pdf[~test]
-        w, b = _ridge_weights(np.vstack(train["x"].to_numpy()), train["y"].to_numpy(), alpha)
-        out = pdf[test].copy()
-        out["yhat"] = np.vstack(out["x"].to_numpy()) @ w + b
+        pdf = pdf.sort_values(ts, ignore_index=True)
+        x, y = pdf[features].to_numpy(), pdf["y"].to_numpy()
+        first = len(pdf) - n_splits * size
+        out = pdf.iloc[first:].copy() if first - gap > 0 else pdf.iloc[:0].copy()
+        out["fold"] = (np.arange(len(out)) // size).astype("int32")
+        found = []
+        for lo in range(first, len(pdf), size) if len(out) else ():
+            stop = lo - gap
+            start = 0 if max_train is None else max(0, stop - max_train)
+            found.append(_ridge_predict(x[start:stop], y[start:stop], x[lo : lo + size], alpha))
+        out["yhat"] = np.concatenate(found) if found else np.empty(0)
         return out[names]
 
-    return rows.groupBy(*by, "fold").applyInPandas(solve, schema)
+    return rows.groupBy(*by).applyInPandas(solve, schema)
 
 
 def fit(df: DataFrame, features: Sequence[str], model: Estimator) -> Model:

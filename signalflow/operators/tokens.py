@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from signalflow.functions.dates import week_bucket
-from signalflow.functions.text import clean_text, joined, without_words, words
+from signalflow.functions.text import clean_text, joined, raw_words, without_words, words
 
 Stemmer = Callable[[str], str]
 WEEK = "iso_weekstartdate"
@@ -69,10 +69,10 @@ def token_arrays(
     posts: DataFrame, text: str = "record__text", stop: Sequence[str] = (), stemmer: Stemmer | None = None
 ) -> DataFrame:
     """Add ``tokenized_text`` (cleaned, split, stemmed, then stop words dropped) and its joined form."""
-    tokens = words(clean_text(text))
+    tokens = words("__text")
     if stemmer is not None:
         tokens = stemmed(tokens, stemmer)
-    out = posts.withColumn("tokenized_text", without_words(tokens, stop))
+    out = posts.withColumn("__text", clean_text(text)).withColumn("tokenized_text", without_words(tokens, stop)).drop("__text")
     return out.withColumn("preprocessed_text", joined("tokenized_text", " "))
 
 
@@ -93,17 +93,25 @@ def weekly_tokens(
     """
     week = week_bucket(created, anchor).alias(WEEK)
     keys = [*by, WEEK, "token"]
-    late_stem = stemmer is not None and ngram_range == (1, 1)
-    tokens = words(clean_text(text))
-    if stemmer is not None and not late_stem:
-        tokens = stemmed(tokens, stemmer)
-    if not late_stem:
-        tokens = without_words(tokens, stop)
-    # a column of its own: inside a lambda the whole cleaning would run per element
-    rows = posts.select(*by, week, tokens.alias("__words"))
-    grams = F.col("__words") if ngram_range == (1, 1) else ngrams(F.col("__words"), *ngram_range)
-    counted = rows.select(*by, WEEK, F.explode(grams).alias("token")).groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
-    if not late_stem:
+    rows = posts.select(*by, week, clean_text(text).alias("__text"))
+    if ngram_range == (1, 1):
+        # empty and stop words are dropped after the explode, in generated code
+        grams = raw_words("__text")
+        dropped = ["", *stop] if stemmer is None else [""]
+    else:
+        tokens = words("__text")
+        if stemmer is not None:
+            tokens = stemmed(tokens, stemmer)
+        # a column of its own: inside a lambda the tokeniser would run per element
+        rows = rows.select(*by, WEEK, without_words(tokens, stop).alias("__words"))
+        grams, dropped = ngrams(F.col("__words"), *ngram_range), []
+    # explode_outer: for a plain explode the optimizer adds a filter on the array's
+    # size below it, which runs the whole cleaning and splitting a second time
+    exploded = rows.select(*by, WEEK, F.explode_outer(grams).alias("token")).filter("token is not null")
+    if dropped:
+        exploded = exploded.filter(~F.col("token").isin(dropped))
+    counted = exploded.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
+    if stemmer is None or ngram_range != (1, 1):
         return counted
     stems = counted.withColumn("token", stemmed_word(F.col("token"), stemmer))
     if stop:

@@ -13,10 +13,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from signalflow.functions.dates import utc_instant, utc_time
 from signalflow.functions.text import joined
 from signalflow.sources import sinks
 
 
+def _watermarked(posts: DataFrame, lateness: str) -> DataFrame:
+    return posts.withColumn("event_time", utc_instant("event_time")).withWatermark("event_time", lateness)
+
+
 def windowed_counts(posts: DataFrame, unit: str = "day", lateness: str = "1 day") -> DataFrame:
     """Event-time counts per (day or ISO week, langs, keyword) of a post stream.
 
@@ -28,16 +33,17 @@ def windowed_counts(posts: DataFrame, unit: str = "day", lateness: str = "1 day"
         "week": F.window("event_time", "7 days", "7 days", "4 days"),
     }[unit]
     return (
-        posts.withWatermark("event_time", lateness)
+        _watermarked(posts, lateness)
         .groupBy(window.alias("w"), joined("langs").alias("langs"), F.col("keyword").alias("query"))
         .agg(F.count(F.lit(1)).alias("post_count"))
-        .select(F.to_date("w.start").alias("period_start"), "langs", "query", "post_count")
+        .select(F.to_date(utc_time("w.start")).alias("period_start"), "langs", "query", "post_count")
     )
 
 
 def unique_posts(posts: DataFrame, lateness: str = "1 day") -> DataFrame:
     """Each uri once, however many overlapping crawls deliver it within ``lateness``."""
-    return posts.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(["uri"])
+    unique = _watermarked(posts, lateness).dropDuplicatesWithinWatermark(["uri"])
+    return unique.withColumn("event_time", utc_time("event_time"))
 
 
 def _run(writer, checkpoint: str) -> StreamingQuery:
