@@ -40,7 +40,9 @@ def parse_instant(c) -> Column:
 
     Zone-less, so that days and weeks do not depend on the session's time zone.
     """
-    return utc_time(F.try_to_timestamp(_col(c)))
+    text = _col(c)
+    # Spark would also read words such as "yesterday"
+    return utc_time(F.try_to_timestamp(F.when(text.rlike(r"^\d{4}"), text)))
 
 
 def utc_instant(c) -> Column:
