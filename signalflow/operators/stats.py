@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,12 +16,16 @@ def correlation(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), d
     """
     cols = [F.col(c).cast("double") for c in columns]
     pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    wide = df.groupBy(*by).agg(*[F.corr(cols[i], cols[j]).alias(f"r_{i}_{j}") for i, j in pairs])
+
+    def pearson(a: Column, b: Column) -> Column:
+        # spelt out because ``corr`` divides by zero, an error in ANSI mode, on a constant column
+        a, b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+        return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+    wide = df.groupBy(*by).agg(*[pearson(cols[i], cols[j]).alias(f"r_{i}_{j}") for i, j in pairs])
     cells = []
     for i, j in pairs:
-        # a column without variance yields NaN, reported as NULL
-        r = F.nanvl(F.col(f"r_{i}_{j}"), F.lit(None).cast("double"))
-        r = r if digits is None else F.round(r, digits)
+        r = F.col(f"r_{i}_{j}") if digits is None else F.round(F.col(f"r_{i}_{j}"), digits)
         for a, b in {(i, j), (j, i)}:
             cells.append(F.struct(F.lit(columns[a]).alias("x"), F.lit(columns[b]).alias("y"), r.alias("r")))
     return wide.select(*by, F.inline(F.array(*cells)))
