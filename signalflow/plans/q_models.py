@@ -10,8 +10,9 @@ from signalflow.config import ForecastSpec
 from signalflow.operators import features as feats
 from signalflow.operators import importance as imp
 from signalflow.operators import models
+from signalflow.operators.align import zero_filled
 from signalflow.operators.stats import error_summary, fold_errors, regression_scores
-from signalflow.plans.forecast import run_forecast
+from signalflow.plans.forecast import model_columns, run_forecast
 from signalflow.plans.q_features import BY, short_signal
 from signalflow.plans.registry import query
 from signalflow.plans.standins import with_ctes
@@ -76,7 +77,7 @@ def errors(spark, sf):
         "wsig",
         _RIDGE
         + """SELECT country_code, count(*)::BIGINT AS n, round(avg(abs(y - yhat)), 6) AS mae, round(sqrt(avg((y - yhat) ** 2)), 6) AS rmse,
-       round(1 - sum((y - yhat) ** 2) / sum((y - m) ** 2), 6) AS r2
+       round(1 - sum((y - yhat) ** 2) / nullif(sum((y - m) ** 2), 0), 6) AS r2
 FROM ridge JOIN (SELECT country_code, avg(y) AS m FROM ridge GROUP BY 1) USING (country_code) GROUP BY 1""",
     ),
 )
@@ -100,9 +101,13 @@ def forecast_result(spark, sf):
     return out.withColumns({"cv_preds": F.round("cv_preds", 6), "abs_diff": F.round("abs_diff", 6)})
 
 
+def full_signal(spark, sf):
+    """Weekly signal with calendar features; weeks without posts count 0 here, as in the daily signal."""
+    return feats.calendar_features(zero_filled(short_signal(spark, sf), ("grippe_posts", "rest_posts")))
+
+
 def tree_frame(spark, sf):
-    frame = feats.calendar_features(short_signal(spark, sf))
-    frame = frame.withColumn("season", feats.season_code())
+    frame = model_columns(full_signal(spark, sf))
     names = feats.feature_names([c for c in frame.columns if c not in ("country_code", "date", "ili_incidence")], TREES.lags)
     rows = feats.supervised(frame, "ili_incidence", TREES.lags, TREES.horizon, BY, drop=TREES.drop)
     return written(rows, "trees"), names
@@ -156,7 +161,7 @@ def importance_long_table(spark, sf):
 @query("forecast_job")
 def forecast_job(spark, sf):
     """The whole job with boosted trees on a split: its result table on the date axis."""
-    frame = feats.calendar_features(short_signal(spark, sf))
+    frame = full_signal(spark, sf)
     spec = replace(TREES, n_splits=2)
     run = run_forecast(frame, BY, spec, "gbt_restricted", lang="F", split="2000-08-01", repeats=2, maxIter=5)
     return run.result
