@@ -50,7 +50,11 @@ def by_day(
     agg_col: str = "post_count",
     by: Sequence[str] = ("langs",),
 ) -> DataFrame:
-    """Aggregate ``agg_col`` per day and ``by``; ``agg`` is a name or a Column function."""
+    """Aggregate ``agg_col`` per day and ``by``; ``agg`` is a name or a Column function.
+
+    The exact median keeps the distinct values of a group: page counts have at most a
+    page's size of them. Do not ask for the median of a continuous column of a large table.
+    """
     fn = AGGREGATES[agg] if isinstance(agg, str) else agg
     return df.groupBy(F.to_date(date_col).alias(date_col), *by).agg(fn(F.col(agg_col)).alias(agg_col))
 

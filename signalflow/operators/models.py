@@ -22,12 +22,14 @@ from signalflow.session import written
 KINDS = ("gbt", "gbt_restricted", "gamma", "ridge")
 
 
-def estimator(kind: str, **overrides) -> Estimator:
+def estimator(kind: str, train: DataFrame | None = None, alpha: float = 1.0, **overrides) -> Estimator:
     """Spark ML counterpart of a model name.
 
     ``gbt`` and ``gbt_restricted`` are boosted trees (squared loss, limited by depth
     and leaf size); ``gamma`` is a log-linear gamma regression for positive targets;
-    ``ridge`` a linear regression with L2 penalty.
+    ``ridge`` a linear regression with the penalty ``alpha`` on the summed squared error.
+    Spark averages that error and works on the label divided by its deviation, so
+    ``ridge`` reads the number of rows and the deviation of ``y`` from ``train``.
     """
     common = {"labelCol": "y", "predictionCol": "yhat"}
     if kind == "gbt":
@@ -38,7 +40,13 @@ def estimator(kind: str, **overrides) -> Estimator:
     if kind == "gamma":
         return GeneralizedLinearRegression(**{**common, "family": "gamma", "link": "log", **overrides})
     if kind == "ridge":
-        return LinearRegression(**{**common, "elasticNetParam": 0.0, "regParam": 1.0, "solver": "normal", "standardization": False, **overrides})
+        if train is None:
+            raise ValueError("ridge needs its training rows")
+        label = train.agg(F.count("y").alias("n"), F.stddev_pop("y").alias("sd")).first()
+        penalty = alpha * (label.sd or 1.0) / max(label.n, 1)
+        return LinearRegression(
+            **{**common, "elasticNetParam": 0.0, "regParam": penalty, "solver": "normal", "standardization": False, **overrides}
+        )
     raise ValueError(f"unsupported model kind {kind!r}")
 
 

@@ -24,6 +24,7 @@ class ForecastRun:
     frame: DataFrame
     cv: DataFrame
     summary: DataFrame
+    predictions: DataFrame
     scores: DataFrame
     importance: DataFrame
     result: DataFrame
@@ -47,6 +48,7 @@ def run_forecast(
     lang: str = "",
     split: str | None = None,
     repeats: int = 25,
+    alpha: float = 1.0,
     out: str | None = None,
     name: str = "forecast",
     **model_params,
@@ -67,9 +69,9 @@ def run_forecast(
         frame = feats.train_test(base, spec.target, spec.lags, spec.horizon, by, split, **settings)
     frame = written(frame, "supervised")
     train = frame.filter("split = 'train'")
-    estimator = models.estimator(kind, **model_params)
+    estimator = models.estimator(kind, train, alpha, **model_params)
     if kind == "ridge":
-        cv = models.ridge_cv(train, names, by, spec, alpha=estimator.getRegParam())
+        cv = models.ridge_cv(train, names, by, spec, alpha)
     else:
         cv = models.cross_validate(train, names, by, spec, estimator)
     cv = written(cv, "cv")
@@ -87,6 +89,7 @@ def run_forecast(
         frame=frame,
         cv=cv,
         summary=error_summary(fold_errors(cv, _by_series(by)), by),
+        predictions=predictions.select(*by, "date", "target_date", "split", "y", "yhat"),
         scores=regression_scores(predictions, ("split",)),
         importance=importance,
         result=result,

@@ -104,19 +104,20 @@ _AGG_SQL = {"sum": "sum", "mean": "avg", "min": "min", "max": "max", "count": "c
     with_ctes(
         "event_posts",
         " UNION ALL ".join(
-            f"SELECT '{name}' AS fn, event_time::DATE AS event_time, langs, round({fn}(value), 6)::DOUBLE AS value FROM event_posts GROUP BY ALL"
+            f"SELECT '{name}' AS fn, event_time::DATE AS event_time, langs, round({fn}(k), 6)::DOUBLE AS k FROM event_posts GROUP BY ALL"
             for name, fn in _AGG_SQL.items()
         )
-        + " UNION ALL SELECT 'range' AS fn, event_time::DATE, langs, round(max(value) - min(value), 6) FROM event_posts GROUP BY ALL",
+        + " UNION ALL SELECT 'range' AS fn, event_time::DATE, langs, round(max(k) - min(k), 6)::DOUBLE FROM event_posts GROUP BY ALL",
     ),
 )
 def daily_aggregates(spark, sf):
+    """Every aggregate by name, and one given as a function, of a small integer (a page's post count)."""
     posts = event_posts(spark, sf).withColumn("langs", F.array_join("langs", ","))
     functions = {**{name: name for name in ops.AGGREGATES}, "range": lambda c: F.max(c) - F.min(c)}
     out = None
     for name, fn in functions.items():
-        part = ops.by_day(posts, "event_time", fn, "value").select(
-            F.lit(name).alias("fn"), "event_time", "langs", F.round(F.col("value").cast("double"), 6).alias("value")
+        part = ops.by_day(posts, "event_time", fn, "k").select(
+            F.lit(name).alias("fn"), "event_time", "langs", F.round(F.col("k").cast("double"), 6).alias("k")
         )
         out = part if out is None else out.unionByName(part)
     return out

@@ -136,6 +136,32 @@ def gamma_metrics(spark, sf):
     return regression_scores(models.predict(rows, small, fitted), BY)
 
 
+@query(
+    "train_test_predictions",
+    with_ctes(
+        "wsig",
+        """, l AS (SELECT country_code, date, norm_post_count AS a, lag(norm_post_count) OVER w AS b,
+         lead(ili_incidence) OVER w * 100000 AS y, lead(date) OVER w AS target_date
+  FROM wsig WINDOW w AS (PARTITION BY country_code ORDER BY date)),
+p AS (SELECT *, CASE WHEN target_date <= DATE '2000-01-03' THEN 'train' WHEN date >= DATE '2000-01-03' THEN 'test' END AS split
+  FROM l WHERE b IS NOT NULL AND y IS NOT NULL),
+s AS (SELECT avg(a) AS ma, avg(b) AS mb, avg(y) AS my, var_pop(a) * count(*) + 1 AS saa, var_pop(b) * count(*) + 1 AS sbb,
+         covar_pop(a, b) * count(*) AS sab, covar_pop(a, y) * count(*) AS say, covar_pop(b, y) * count(*) AS sby FROM p WHERE split = 'train'),
+c AS (SELECT *, (sbb * say - sab * sby) / (saa * sbb - sab * sab) AS wa, (saa * sby - sab * say) / (saa * sbb - sab * sab) AS wb FROM s)
+SELECT country_code, date, target_date, split, round(y, 4) AS y, round(my + wa * (a - ma) + wb * (b - mb), 4) AS yhat
+FROM p CROSS JOIN c WHERE split IS NOT NULL""",
+    ),
+)
+def train_test_predictions(spark, sf):
+    """One ridge model over all countries, its predictions on both sides of the split date."""
+    frame = short_signal(spark, sf).select("country_code", "date", "ili_incidence", "norm_post_count")
+    rows = written(feats.train_test(frame, "ili_incidence", 1, 1, BY, "2000-01-03", drop=("ili_incidence",)), "split")
+    train = rows.filter("split = 'train'")
+    fitted = models.fit(train, RIDGE_FEATURES, models.estimator("ridge", train))
+    out = models.predict(rows, RIDGE_FEATURES, fitted)
+    return out.select("country_code", "date", "target_date", "split", F.round("y", 4).alias("y"), F.round("yhat", 4).alias("yhat"))
+
+
 def tree_importance(spark, sf):
     rows, names = tree_frame(spark, sf)
     fitted = models.fit(rows, names, models.estimator("gbt_restricted", **TREE_PARAMS))

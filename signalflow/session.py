@@ -16,6 +16,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # capturing the call site of every expression costs a good part of building a plan
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

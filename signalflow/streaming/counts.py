@@ -41,7 +41,11 @@ def windowed_counts(posts: DataFrame, unit: str = "day", lateness: str = "1 day"
 
 
 def unique_posts(posts: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """Each uri once, however many overlapping crawls deliver it within ``lateness``."""
+    """Each uri once, however many overlapping crawls deliver it within ``lateness``.
+
+    All copies of a uri meet in one task here. Where single posts come in very many
+    copies use ``stream_posts``, which reduces copies before its shuffle.
+    """
     unique = _watermarked(posts, lateness).dropDuplicatesWithinWatermark(["uri"])
     return unique.withColumn("event_time", utc_time("event_time"))
 

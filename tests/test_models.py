@@ -56,7 +56,7 @@ def test_short_series_have_no_folds(frame):
 @pytest.mark.parametrize("kind", ["gbt_restricted", "ridge", "gamma"])
 def test_cross_validate_folds(frame, kind):
     spec = ForecastSpec(n_splits=2, test_size=2, max_train=40)
-    params = {"maxIter": 3} if kind.startswith("gbt") else {}
+    params = {"maxIter": 3} if kind.startswith("gbt") else {"train": frame}
     positive = frame.filter("y > 0")
     got = models.cross_validate(positive, NAMES, BY, spec, models.estimator(kind, **params)).toPandas()
     assert len(got) == 8 and set(got.fold) == {0, 1} and got.yhat.notna().all()
@@ -65,6 +65,17 @@ def test_cross_validate_folds(frame, kind):
         assert set(got[got.s == g.s.iloc[0]].date) == last
 
 
+def test_ridge_penalty(frame):
+    fitted = models.fit(frame, NAMES, models.estimator("ridge", frame, alpha=3.0))
+    pdf = frame.toPandas()
+    x, y = pdf[NAMES].to_numpy(), pdf["y"].to_numpy()
+    xc = x - x.mean(axis=0)
+    w = np.linalg.solve(xc.T @ xc + 3.0 * np.eye(4), xc.T @ (y - y.mean()))
+    assert np.allclose(fitted.coefficients.toArray(), w)
+    with pytest.raises(ValueError):
+        models.estimator("ridge")
+
+
 def test_unknown_kind():
     with pytest.raises(ValueError):
         models.estimator("forest")
@@ -77,7 +88,7 @@ def test_result_table_and_saved_model(series, frame, tmp_path):
     assert len(result) == 120 and result.cv_preds.notna().sum() == 10
     tested = result[result.cv_preds.notna()].groupby("s").date.min()
     assert (tested == date(2024, 1, 1) + timedelta(days=7 * 55)).all()  # the date predicted for, not the row's own
-    fitted = models.fit(frame, NAMES, models.estimator("ridge"))
+    fitted = models.fit(frame, NAMES, models.estimator("ridge", frame))
     models.save(fitted, str(tmp_path / "m"))
     again = type(fitted).load(str(tmp_path / "m"))
     assert np.allclose(again.coefficients, fitted.coefficients)
@@ -94,7 +105,7 @@ def test_permutation_is_exact(frame, block_rows):
 
 
 def test_importance(frame, rows):
-    fitted = models.fit(frame, NAMES, models.estimator("ridge", regParam=0.001))
+    fitted = models.fit(frame, NAMES, models.estimator("ridge", frame, alpha=0.1))
     got = imp.permutation_importance(fitted, frame, NAMES, ("s", "date"), repeats=4).cache()
     assert got.count() == 16
     means = {r.variable: r.mean_value for r in imp.top_variables(got, 10).collect()}
