@@ -14,6 +14,7 @@ from signalflow.session import written
 # Rows that swap values among each other. Larger data is cut into random groups of
 # about this size, so no task ever orders all rows.
 BLOCK_ROWS = 50_000
+SCORED_ROWS_PER_TASK = 2_000_000
 
 
 def _shuffled(rows: DataFrame, features: Sequence[str], repeats: int, seed: int, blocks: int) -> DataFrame:
@@ -57,7 +58,11 @@ def permutation_importance(
     rows = written(
         df.select(*[F.col(c).alias(f"__key{i}") for i, c in enumerate(key)], *features, "y"), "importance-rows"
     )
-    blocks = max(1, -(-rows.count() // block_rows))
+    n = rows.count()
+    blocks = max(1, -(-n // block_rows))
+    # scoring is the expensive part and sees len(features) rows per pair: size its tasks by
+    # that, where adaptive execution would go by the bytes of the pairs
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, n * repeats * len(features) // SCORED_ROWS_PER_TASK)
     swapped = F.array(
         *[
             F.struct(
@@ -69,6 +74,7 @@ def permutation_importance(
     )
     variants = (
         _shuffled(rows, features, repeats, seed, blocks)
+        .repartition(tasks)
         .select("repeat", "y", F.inline(swapped))
         .select("variable", "repeat", "y", "x.*")
     )

@@ -91,9 +91,18 @@ def posts_pending_null_hint(spark, sf):
     return ops.pending(posts(spark, sf), some_null, "en").select("uri")
 
 
-@query("posts_pending_test_run")
+@query(
+    "posts_pending_test_run",
+    with_ctes(
+        "posts hints",
+        """SELECT least(10, count(*))::BIGINT AS posts, least(10, count(*))::BIGINT AS uris FROM posts
+WHERE record__langs = 'en' AND uri NOT IN (SELECT uri FROM hints)""",
+    ),
+)
 def posts_pending_test_run(spark, sf):
-    return ops.pending(posts(spark, sf), hints(spark, sf), "en", limit=10)
+    """Which ten posts a test run takes is open, so their number is compared."""
+    some = ops.pending(posts(spark, sf), hints(spark, sf), "en", limit=10)
+    return some.agg(F.count(F.lit(1)).alias("posts"), F.count_distinct("uri").alias("uris"))
 
 
 @query(
@@ -164,9 +173,10 @@ def text_contains_without(spark, sf):
     return rows.select("uri")
 
 
-@query("post_sample")
+@query("post_sample", with_ctes("posts", "SELECT least(10, count(*))::BIGINT AS posts, least(10, count(*))::BIGINT AS uris FROM posts"))
 def post_sample(spark, sf):
-    return ops.sample_rows(posts(spark, sf).select("uri", "record__langs"), 10, seed=42)
+    some = ops.sample_rows(posts(spark, sf).select("uri", "record__langs"), 10, seed=42)
+    return some.agg(F.count(F.lit(1)).alias("posts"), F.count_distinct("uri").alias("uris"))
 
 
 @query(
