@@ -44,7 +44,7 @@ def ingest_pages(spark: SparkSession, job: DailyJob, start: date, end: date | No
 def annotate_pending(spark: SparkSession, job: DailyJob, fn: Callable[[str], dict] | None = None) -> None:
     """Label the stored posts that have no label yet: by rules, or by the caller's function."""
     posts = spark.read.parquet(f"{job.store}/posts")
-    path = f"{job.store}/llm_hints"
+    path = f"{job.store}/hints"
     stored = spark.read.parquet(path) if sinks.table_exists(spark, path) else spark.createDataFrame([], HINT_COLUMNS)
     for lang in sorted({s.lang for s in job.specs}):
         todo = pending(posts, stored, lang)
@@ -62,7 +62,7 @@ def build_signals(spark: SparkSession, job: DailyJob) -> None:
     counts = spark.read.parquet(f"{job.store}/counts")
     cases = spark.read.parquet(f"{job.store}/who_fluid")
     posts = spark.read.parquet(f"{job.store}/posts")
-    hints = spark.read.parquet(f"{job.store}/llm_hints")
+    hints = spark.read.parquet(f"{job.store}/hints")
     for spec in job.specs:
         weekly = written(
             signals.weekly_incidence(

@@ -61,22 +61,20 @@ def weekly_incidence(
     linearly between known weeks and stay NULL before the first and after the last.
     """
     rows = country_cases(cases, countries, age_codes)
+    rates = {
+        "ili_incidence": incidence("ili_case", "ili_pop_cov", smoothing),
+        "ari_incidence": incidence("ari_case", "ari_pop_cov", smoothing),
+    }
     if countries is None:
-        # densify inside the window pass: the cases are read once and nothing is joined
-        base = gap_fill(
-            rows, "iso_weekstartdate", {c: "null" for c in CASE_COLUMNS}, ("country_code",), 7,
-            start=monday(start), end=monday(end),
+        # densify and interpolate in one window pass: the cases are read once, nothing is joined
+        methods = {c: "null" for c in CASE_COLUMNS} | {c: "linear" if c in fill else "null" for c in rates}
+        filled = gap_fill(
+            rows.withColumns(rates), "iso_weekstartdate", methods, ("country_code",), 7, start=monday(start), end=monday(end)
         )
     else:
         weeks = country_weeks(cases.sparkSession, start, end, countries)
-        base = on_spine(weeks, rows, ("country_code", "iso_weekstartdate"))
-    base = base.withColumns(
-        {
-            "ili_incidence": incidence("ili_case", "ili_pop_cov", smoothing),
-            "ari_incidence": incidence("ari_case", "ari_pop_cov", smoothing),
-        }
-    )
-    filled = interpolate(base, "iso_weekstartdate", {c: "linear" for c in fill}, ("country_code",))
+        base = on_spine(weeks, rows, ("country_code", "iso_weekstartdate")).withColumns(rates)
+        filled = interpolate(base, "iso_weekstartdate", {c: "linear" for c in fill}, ("country_code",))
     return filled.select("country_code", *WEEKLY_COLUMNS)
 
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalflow.session import scratch_path, written
+from signalflow.session import written
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -37,14 +37,25 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 MAX_LISTED_PARTITIONS = 10_000
 
 
-def _stored_partitions(stored: DataFrame, incoming: DataFrame, parts: Sequence[str]) -> DataFrame:
-    """Rows of the stored table in the partitions that ``incoming`` touches."""
-    touched = incoming.select(*parts).distinct()
-    if len(parts) == 1:
-        values = [r[0] for r in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
-        if len(values) <= MAX_LISTED_PARTITIONS:
-            return stored.filter(F.col(parts[0]).isin(values))
-    return stored.join(touched, list(parts), "left_semi")
+def _values(df: DataFrame, part: str) -> list:
+    """Distinct partition values; a batch that touches more than the limit is an error."""
+    found = [r[0] for r in df.select(part).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()]
+    if len(found) > MAX_LISTED_PARTITIONS:
+        raise ValueError(f"the batch touches more than {MAX_LISTED_PARTITIONS} partitions of {part!r}; split it")
+    return found
+
+
+def _in_partitions(part: str, values: list) -> Column:
+    known = F.col(part).isin([v for v in values if v is not None])
+    return known | F.col(part).isNull() if None in values else known
+
+
+def _drop_partitions(spark: SparkSession, path: str, part: str, values: list) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for value in values:
+        name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{part}={name}")
+        folder.getFileSystem(conf).delete(folder, True)
 
 
 def upsert(
@@ -52,65 +63,63 @@ def upsert(
     path: str,
     batch: DataFrame,
     keys: Sequence[str],
-    partitions: Mapping[str, Column],
+    partition: tuple[str, Column],
     order: str | None = None,
+    by_key: bool = True,
 ) -> None:
     """Merge ``batch`` into the parquet table at ``path``: insert new keys, replace known ones.
 
-    ``partitions`` maps partition columns to expressions over the keys, so a key never
-    moves between partitions and only the partitions the batch touches are read and
-    rewritten. With ``order`` the greatest value wins, the batch on a tie; without it
-    the batch always wins. Running it twice with the same batch changes nothing.
+    ``partition`` names the table's partition column and its expression. ``by_key`` says
+    that it is a function of the keys; then only the partitions of the batch are read and
+    rewritten. Otherwise the partitions that hold older versions of the batch's keys are
+    found by a scan of the key columns and rewritten too. With ``order`` the greatest
+    value wins, the batch on a tie; without it the batch always wins. Running it twice
+    with the same batch changes nothing.
 
     The batch is computed once and written first (it may hold expensive annotations).
     The merged partitions are then written beside the table before the old files are
     swapped out: if the driver dies during the swap, the merged rows are still there.
     """
-    incoming = written(batch.withColumns(dict(partitions)), "batch")
-    parts = list(partitions)
+    part, expression = partition
+    incoming = written(batch.withColumn(part, expression), "batch")
+    touched = _values(incoming, part)
     ranked = incoming.withColumn("__source", F.lit(1))
-    rank = [order, "__source"] if order else ["__source"]
     if table_exists(spark, path):
         stored = spark.read.schema(incoming.schema).parquet(path)
-        old = _stored_partitions(stored, incoming, parts).withColumn("__source", F.lit(0))
+        if not by_key:
+            holders = stored.select(*keys, part).join(incoming.select(*keys), list(keys), "left_semi")
+            touched = list({*touched, *_values(holders, part)})
+        old = stored.filter(_in_partitions(part, touched)).withColumn("__source", F.lit(0))
         ranked = ranked.unionByName(old)
-    merged = keep_latest(ranked, [*parts, *keys], rank).drop("__source")
-    staged = scratch_path(spark, "merge")
+    merged = keep_latest(ranked, keys, [order, "__source"] if order else ["__source"]).drop("__source")
+    rows = written(merged, "merge")
     # rebalance: few files per table partition, while a large partition is split over tasks
-    merged.hint("rebalance", *parts).write.partitionBy(*parts).parquet(staged)
-    (
-        spark.read.schema(incoming.schema)
-        .parquet(staged)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*parts)
-        .parquet(path)
-    )
-
-
-# Layouts of the three merged tables: keys, and the partition expressions over them.
-COUNT_KEYS = ("period_start", "langs", "query")
-POST_BUCKETS = 64
+    balanced = rows.hint("rebalance", part)
+    balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+    if not by_key:
+        # a partition all of whose keys have moved away gets no rows and is not overwritten
+        _drop_partitions(spark, path, part, [v for v in touched if v not in _values(rows, part)])
 
 
-def count_partitions() -> dict[str, Column]:
-    return {"period_month": F.trunc("period_start", "month")}
-
-
-def uri_partitions(buckets: int = POST_BUCKETS) -> dict[str, Column]:
-    return {"uri_bucket": F.pmod(F.xxhash64("uri"), F.lit(buckets)).cast("int")}
+# Layouts of the merged tables: keys and partition column.
+COUNT_KEYS = ("period_start", "langs", "query")
+URI_BUCKETS = 64
 
 
 def upsert_counts(spark: SparkSession, path: str, counts: DataFrame, order: str | None = None) -> None:
-    upsert(spark, path, counts, COUNT_KEYS, count_partitions(), order)
+    upsert(spark, path, counts, COUNT_KEYS, ("period_month", F.trunc("period_start", "month")), order)
 
 
-def upsert_posts(spark: SparkSession, path: str, posts: DataFrame, order: str | None = None, buckets: int = POST_BUCKETS) -> None:
-    upsert(spark, path, posts, ("uri",), uri_partitions(buckets), order)
+def upsert_posts(
+    spark: SparkSession, path: str, posts: DataFrame, order: str | None = None, created: str = "record__created_at"
+) -> None:
+    """Posts by uri, partitioned by the day of ``created``: a nightly batch rewrites the days it brings."""
+    upsert(spark, path, posts, ("uri",), ("created_day", F.to_date(created)), order, by_key=False)
 
 
-def upsert_hints(spark: SparkSession, path: str, hints: DataFrame, buckets: int = POST_BUCKETS) -> None:
-    upsert(spark, path, hints, ("uri",), uri_partitions(buckets))
+def upsert_hints(spark: SparkSession, path: str, hints: DataFrame, buckets: int = URI_BUCKETS) -> None:
+    """Annotations by uri, in hash buckets: they have no date of their own and are narrow rows."""
+    upsert(spark, path, hints, ("uri",), ("uri_bucket", F.pmod(F.xxhash64("uri"), F.lit(buckets)).cast("int")))
 
 
 def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None = None) -> DataFrame:

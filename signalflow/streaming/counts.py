@@ -73,9 +73,9 @@ def stream_counts(posts: DataFrame, path: str, checkpoint: str, unit: str = "day
     )
 
 
-def stream_posts(posts: DataFrame, path: str, checkpoint: str, order: str | None = None, buckets: int = sinks.POST_BUCKETS) -> StreamingQuery:
+def stream_posts(posts: DataFrame, path: str, checkpoint: str, order: str | None = None, created: str = "event_time") -> StreamingQuery:
     """Merge landed posts into the post table by uri."""
-    return merge_stream(posts, lambda df: sinks.upsert_posts(df.sparkSession, path, df, order, buckets), checkpoint)
+    return merge_stream(posts, lambda df: sinks.upsert_posts(df.sparkSession, path, df, order, created), checkpoint)
 
 
 def append_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

@@ -33,7 +33,7 @@ def test_nightly_run(spark, tmp_path, rows):
     run_daily(spark, job, START + timedelta(days=139), model=None)  # one day again: nothing changes
     counts = spark.read.parquet(f"{store}/counts")
     assert counts.groupBy().sum("post_count").first()[0] == spark.read.parquet(f"{store}/posts").count()
-    assert spark.read.parquet(f"{store}/llm_hints").filter("ili_related").count() == spark.read.parquet(f"{store}/posts").count()
+    assert spark.read.parquet(f"{store}/hints").filter("ili_related").count() == spark.read.parquet(f"{store}/posts").count()
     weekly = spark.read.parquet(f"{store}/signals/weekly_fr")
     assert weekly.count() == 20 and weekly.filter("grippe_posts is null or ili_incidence is null").count() == 0
     labelled = spark.read.parquet(f"{store}/signals/labelled_fr")

@@ -116,12 +116,29 @@ def test_upsert(spark, tmp_path, rows):
     assert {f.name for f in (tmp_path / "counts" / "period_month=2024-01-01").iterdir()} == untouched
 
 
-def test_upsert_by_order(spark, tmp_path, rows):
-    path = str(tmp_path / "posts")
-    schema = "uri string, seen int, text string"
-    sinks.upsert_posts(spark, path, spark.createDataFrame([("u", 5, "new"), ("u", 4, "old"), ("v", 1, "x")], schema), "seen", 4)
-    sinks.upsert_posts(spark, path, spark.createDataFrame([("u", 3, "older"), ("v", 1, "tie")], schema), "seen", 4)
-    assert rows(spark.read.parquet(path), "uri", "text") == [("u", "new"), ("v", "tie")]
+def test_upsert_moves_a_post_between_days(spark, tmp_path, rows):
+    path, schema = str(tmp_path / "posts"), "uri string, seen int, day string"
+
+    def put(*data):
+        df = spark.createDataFrame(list(data), schema).withColumn("day", F.to_date("day"))
+        sinks.upsert_posts(spark, path, df, "seen", "day")
+        return rows(spark.read.parquet(path), "uri", "seen", "day")
+
+    d1, d2, d3 = date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)
+    assert put(("u", 5, "2024-01-01"), ("u", 4, "2024-01-02"), ("v", 1, "2024-01-02"), ("n", 1, None)) == [("n", 1, None), ("u", 5, d1), ("v", 1, d2)]
+    kept = {f.name for f in (tmp_path / "posts" / "created_day=2024-01-02").iterdir()}
+    assert put(("u", 3, "2024-01-03")) == [("n", 1, None), ("u", 5, d1), ("v", 1, d2)]  # an older version changes nothing
+    for _ in range(2):
+        assert put(("u", 6, "2024-01-03"), ("n", 2, "2024-01-03")) == [("n", 2, d3), ("u", 6, d3), ("v", 1, d2)]
+    assert {f.name for f in (tmp_path / "posts").iterdir() if f.is_dir()} == {"created_day=2024-01-02", "created_day=2024-01-03"}
+    assert {f.name for f in (tmp_path / "posts" / "created_day=2024-01-02").iterdir()} == kept
+
+
+def test_upsert_refuses_unlisted_partitions(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "MAX_LISTED_PARTITIONS", 1)
+    df = spark.createDataFrame([("u", True, ""), ("v", True, ""), ("w", True, ""), ("x", True, "")], "uri string, ili_related boolean, symptoms string")
+    with pytest.raises(ValueError):
+        sinks.upsert_hints(spark, str(tmp_path / "h"), df)
 
 
 def test_keep_latest_handles_a_hot_key(spark):

@@ -53,5 +53,5 @@ def test_post_merge(spark, tmp_path, rows):
     landed, table, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
     for hour, word in ((10, "first"), (12, "latest"), (11, "middle")):
         land(spark, landed, ("a", datetime(2024, 1, 1, hour), word, []))
-        ops.stream_posts(source(spark, landed).drop("langs"), table, ckpt, order="event_time", buckets=2)
+        ops.stream_posts(source(spark, landed).drop("langs"), table, ckpt, order="event_time")
     assert rows(spark.read.parquet(table), "uri", "keyword") == [("a", "latest")]
