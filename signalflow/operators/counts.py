@@ -11,6 +11,7 @@ from signalflow.config import KeywordGroup, SignalSpec
 from signalflow.functions.dates import week_bucket
 from signalflow.functions.text import joined, lang_matches
 from signalflow.operators.spines import next_cursor
+from signalflow.session import literal_rows
 
 # Rows up to which a configuration table is broadcast; beyond it Catalyst chooses.
 DIMENSION_BROADCAST_ROWS = 10_000
@@ -115,11 +116,10 @@ def group_counts_for_specs(
     Specs become a keyword dimension joined on the keyword, so the counts are
     read once however many languages and groups are configured.
     """
-    spark = counts.sparkSession
     rows = [
         (s.series_id, s.lang, s.lang_match, g.column, k) for s in specs for g in s.groups for k in g.keywords
     ]
-    dim = spark.createDataFrame(rows, "series_id string, lang string, lang_match string, grp string, query string")
+    dim = literal_rows(counts.sparkSession, ("series_id", "lang", "lang_match", "grp", "query"), rows)
     if len(rows) <= DIMENSION_BROADCAST_ROWS:
         dim = F.broadcast(dim)
     columns = list(dict.fromkeys(g.column for s in specs for g in s.groups))
@@ -137,7 +137,7 @@ def group_counts_for_specs(
 def unmatched_keywords(counts: DataFrame, specs: Sequence[SignalSpec]) -> DataFrame:
     """Configured keywords that never occur in the counts (misspelt or not crawled)."""
     rows = [(s.series_id, g.column, k) for s in specs for g in s.groups for k in g.keywords]
-    configured = counts.sparkSession.createDataFrame(rows, "series_id string, grp string, query string")
+    configured = literal_rows(counts.sparkSession, ("series_id", "grp", "query"), rows)
     return configured.join(counts.select("query").distinct(), "query", "left_anti")
 
 

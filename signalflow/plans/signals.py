@@ -19,6 +19,7 @@ from signalflow.operators.counts import group_counts, group_counts_for_specs
 from signalflow.operators.gapfill import gap_fill, interpolate
 from signalflow.operators.posts import annotated, language_posts, weekly_distinct
 from signalflow.operators.spines import date_spine, spine_between
+from signalflow.session import literal_rows
 
 CASE_COLUMNS = ("ili_case", "ili_pop_cov", "ari_case", "ari_pop_cov")
 WEEKLY_COLUMNS = ("iso_weekstartdate", "ili_incidence", *CASE_COLUMNS, "ari_incidence")
@@ -41,7 +42,7 @@ def monday(day: date | str) -> date:
 
 def country_weeks(spark: SparkSession, start: date | str, end: date | str, countries: Sequence[str]) -> DataFrame:
     """Week spine of every listed country."""
-    names = spark.createDataFrame([(c,) for c in countries], "country_code string")
+    names = literal_rows(spark, ("country_code",), [(c,) for c in countries])
     bounds = names.select("country_code", F.lit(str(start)).cast("date").alias("lo"), F.lit(str(end)).cast("date").alias("hi"))
     return spine_between(bounds, "week").withColumnRenamed("date", "iso_weekstartdate")
 
@@ -138,10 +139,10 @@ def weekly_signals(counts: DataFrame, cases: DataFrame, specs: Sequence[SignalSp
 
     A spec's own smoothing of the incidence and its age codes apply to its series.
     """
-    spark = counts.sparkSession
-    spec_rows = spark.createDataFrame(
+    spec_rows = literal_rows(
+        counts.sparkSession,
+        ("series_id", "country_code", "smoothing", "age_codes"),
         [(s.series_id, s.country_code, float(s.smoothing), list(s.age_codes)) for s in specs],
-        "series_id string, country_code string, smoothing double, age_codes array<string>",
     )
     cutoff = F.lit(str(cal.cutoff)).cast("date")
     bounds = spec_rows.select(

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # AQE sizes shuffle partitions at run time from this initial number; a cluster
 # sets it to a few times its core count, a laptop keeps it near the core count.
@@ -74,3 +75,9 @@ def spread(df):
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def literal_rows(spark: SparkSession, names, rows):
+    """Small configuration table from literals: stays in the JVM, where ``createDataFrame`` starts Python workers."""
+    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
