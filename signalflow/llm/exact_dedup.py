@@ -70,11 +70,15 @@ def refine(docs: DataFrame, id_col: str = "doc_id", text: str = "text", carry: M
     rows = written(rows, "exact")
     out = ["id", "keep_id", "group_size", "kept", *[F.col(n).alias(n.removeprefix("carry_")) for n in extra]]
     alone = rows.filter("digest IS NULL").withColumns({"keep_id": F.col("id"), "group_size": F.lit(1).cast("long"), "kept": F.lit(True)})
-    again = rows.filter("digest IS NOT NULL").groupBy("digest", "length", "id", *extra).agg(F.count("*").alias("copies"))
-    groups = again.groupBy("digest", "length").agg(F.max("id").alias("keep_id"), F.sum("copies").alias("group_size"))
-    each = again.join(groups, ["digest", "length"]).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    each = each.withColumn("kept", (F.col("copy") == 1) & F.col("id").eqNullSafe(F.col("keep_id")))
-    return alone.select(*out).union(each.select(*out))
+    again = rows.filter("digest IS NOT NULL")
+    groups = again.groupBy("digest", "length").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
+    each = again.join(groups, ["digest", "length"])
+    heads = F.col("id").eqNullSafe(F.col("keep_id"))
+    others = each.filter(~heads).withColumn("kept", F.lit(False))
+    # rows that have the kept id: one of them stays
+    head = each.filter(heads).groupBy("digest", "id", "keep_id", "group_size", *extra).agg(F.count("*").alias("copies"))
+    head = head.withColumn("kept", F.explode(F.transform(F.sequence(F.lit(1), F.col("copies").cast("int")), lambda i: i == 1)))
+    return alone.select(*out).union(others.select(*out)).union(head.select(*out))
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
