@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from signalflow.llm import bpe, exact_dedup, line_join, mixing, order_minhash, quality, secrets, separator_scan, sharding
+from signalflow.llm import bpe, exact_dedup, html_extract, line_join, mixing, order_minhash, quality, secrets, separator_scan, sharding
 from signalflow.llm.common import documents
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op1_html_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(documents(spark, sf_dir))
 
@@ -58,7 +62,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_secret_scan, op3_separator_scan, op4_line_join, op5_mix_to_weights, op6_quality_rules, op7_exact_dedup, op8_order_minhash, op9_feistel_shards, op10_byte_bpe)
+    f.__name__: f for f in (op1_html_suffix_array, op2_secret_scan, op3_separator_scan, op4_line_join, op5_mix_to_weights, op6_quality_rules, op7_exact_dedup, op8_order_minhash, op9_feistel_shards, op10_byte_bpe)
 }
 ORACLES: dict[str, str] = {
     "op5_mix_to_weights": mixing.oracle(MIX_SHARE, MIX_EPOCHS),
