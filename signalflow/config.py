@@ -27,6 +27,9 @@ class SignalSpec:
     lang_match: str = "contains"
     smoothing: float = 0.0
     daily_target: str = "ili_incidence"
+    # what the nightly forecast predicts, and its kind of model where it isn't the job's
+    target: str = "ili_incidence"
+    model: str | None = None
 
     @property
     def groups(self) -> tuple[KeywordGroup, KeywordGroup]:
@@ -67,7 +70,7 @@ def language_spec(lang: str, country_code: str, **options) -> SignalSpec:
 
 
 FRANCE = language_spec("fr", "FRA")
-GERMANY = language_spec("de", "DEU", smoothing=1.0, daily_target="ari_incidence")
+GERMANY = language_spec("de", "DEU", smoothing=1.0, daily_target="ari_incidence", target="ari_incidence", model="gbt_restricted")
 
 
 @dataclass(frozen=True)
@@ -77,7 +80,7 @@ class ForecastSpec:
     target: str = "ili_incidence"
     lags: int = 2
     horizon: int = 1
-    normalize: bool = True
+    normalize: bool = False
     n_splits: int = 42
     test_size: int = 1
     gap: int = 0

@@ -23,6 +23,8 @@ class Lexicon:
     respiratory: tuple[str, ...]
     systemic: tuple[str, ...]
     other_cause: tuple[str, ...] = ()
+    others: tuple[str, ...] = ()
+    subject: tuple[str, ...] = ()
 
 
 # Case definition (own illness with fever, cough or sore throat, and a
@@ -37,6 +39,13 @@ DEFAULT_LEXICON = Lexicon(
         "kopfschmerzen", "muskelschmerzen", "gliederschmerzen", "schüttelfrost", "müde", "müdigkeit", "schnupfen",
     ),
     other_cause=("allergy", "allergies", "hay fever", "covid", "covid-19", "allergie", "rhume des foins", "heuschnupfen"),
+    # somebody near is ill ("my son has fever"), unless the writer also speaks as the subject
+    subject=("i", "i'm", "i've", "je", "j'ai", "ich"),
+    others=(
+        "(?:my|our) (?:\\w+ )?(?:son|daughter|kids?|child|children|baby|toddler|husband|wife|partner|boyfriend|girlfriend|mum|mom|mother|dad|father|brother|sister|friend|colleague|boss|dog|cat)s?",
+        "(?:mon|ma|mes|notre|nos) (?:\\w+ )?(?:fils|fille|filles|enfants?|bébé|mari|femme|copain|copine|mère|père|maman|papa|frère|sœur|soeur|amie?s?|collègues?|chien|chat)",
+        "(?:mein|meine|meinem|meiner|meinen|unser|unsere) (?:\\w+ )?(?:sohn|tochter|kind|kinder|baby|mann|frau|partner|partnerin|freund|freundin|mutter|vater|mama|papa|bruder|schwester|kollege|kollegin|hund|katze)",
+    ),
 )
 DURATION = r"(?iU)\b(\d+\s+(?:days?|weeks?|jours?|semaines?|tage?n?|wochen?))\b"
 
@@ -63,6 +72,7 @@ def rule_annotation(posts: DataFrame, text: str = "record__text", lexicon: Lexic
         & _has(body, lexicon.respiratory)
         & _has(body, lexicon.systemic)
         & ~_has(body, lexicon.other_cause)
+        & ~(_has(body, lexicon.others) & ~_has(body, lexicon.subject))
     )
     return posts.select(
         "uri",

@@ -109,29 +109,29 @@ def group_counts(
 
 
 def group_counts_for_specs(
-    counts: DataFrame, specs: Sequence[SignalSpec], unit: str = "week", anchor: str = "iso"
+    counts: DataFrame,
+    specs: Sequence[SignalSpec],
+    unit: str = "week",
+    anchor: str = "iso",
+    names: tuple[str, str] = ("symptom_posts", "control_posts"),
 ) -> DataFrame:
-    """``group_counts`` for many series in one job: ``(series_id, date, <group columns>)``.
+    """``group_counts`` for many series in one job: ``(series_id, date, *names)``.
 
-    Specs become a keyword dimension joined on the keyword, so the counts are
-    read once however many languages and groups are configured.
+    Groups are summed by their role in the spec, whatever their own column names; a keyword that is
+    listed twice counts once. The counts are read once, filtered to the configured keywords, and
+    summed to (keyword, languages, bucket) before they meet the specs.
     """
-    rows = [
-        (s.series_id, s.lang, s.lang_match, g.column, k) for s in specs for g in s.groups for k in g.keywords
-    ]
-    dim = literal_rows(counts.sparkSession, ("series_id", "lang", "lang_match", "grp", "query"), rows)
+    rows = sorted(
+        {(s.series_id, s.lang, s.lang_match, role, k) for s in specs for role, g in zip(("symptom", "control"), s.groups) for k in g.keywords}
+    )
+    dim = literal_rows(counts.sparkSession, ("series_id", "lang", "lang_match", "role", "query"), rows)
     if len(rows) <= DIMENSION_BROADCAST_ROWS:
         dim = F.broadcast(dim)
-    columns = list(dict.fromkeys(g.column for s in specs for g in s.groups))
-    hit = F.when(F.col("lang_match") == "exact", F.col("langs") == F.col("lang")).otherwise(
-        F.contains(F.col("langs"), F.col("lang"))
-    )
-    return (
-        counts.join(dim, "query")
-        .filter(hit)
-        .groupBy("series_id", _bucket(unit, anchor).alias("date"))
-        .agg(*[F.sum(F.when(F.col("grp") == c, F.col("post_count"))).alias(c) for c in columns])
-    )
+    hit = F.when(F.col("lang_match") == "exact", F.col("langs") == F.col("lang")).otherwise(F.contains(F.col("langs"), F.col("lang")))
+    wanted = counts.filter(F.col("query").isin(sorted({r[4] for r in rows})))
+    summed = wanted.groupBy("query", "langs", _bucket(unit, anchor).alias("date")).agg(F.sum("post_count").alias("post_count"))
+    roles = [F.sum(F.when(F.col("role") == r, F.col("post_count"))).alias(n) for r, n in zip(("symptom", "control"), names)]
+    return summed.join(dim, "query").filter(hit).groupBy("series_id", "date").agg(*roles)
 
 
 def unmatched_keywords(counts: DataFrame, specs: Sequence[SignalSpec]) -> DataFrame:

@@ -37,23 +37,22 @@ def season_code(c: str = "season") -> Column:
 
 
 def one_hot(
-    df: DataFrame, columns: Sequence[str], categories: Mapping[str, Sequence] | None = None, max_categories: int = 1_000
+    df: DataFrame, columns: Sequence[str], categories: Mapping[str, Sequence] | None = None, max_categories: int | None = None
 ) -> DataFrame:
     """Replace columns by 0/1 columns ``{column}_{category}`` in category order.
 
     Categories not given are read from the data in one pass over all columns; a
-    column with more than ``max_categories`` of them is an error.
+    column with more than ``max_categories`` of them, if that is given, is an error.
     """
     known = {c: list(v) for c, v in (categories or {}).items()}
     missing = [c for c in columns if c not in known]
     if missing:
         pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in missing])
-        found = (
-            df.select(F.inline(pairs)).filter("v is not null").distinct().limit(max_categories * len(missing) + 1).collect()
-        )
+        distinct = df.select(F.inline(pairs)).filter("v is not null").distinct()
+        found = (distinct if max_categories is None else distinct.limit(max_categories * len(missing) + 1)).collect()
         for c in missing:
             values = [r.v for r in found if r.c == c]
-            if len(values) > max_categories or len(found) > max_categories * len(missing):
+            if max_categories is not None and (len(values) > max_categories or len(found) > max_categories * len(missing)):
                 raise ValueError(f"column {c!r} has more than {max_categories} categories")
             numeric = dict(df.dtypes)[c] not in ("string", "date")
             known[c] = sorted(values, key=int if numeric else str)
@@ -106,6 +105,12 @@ def _labelled(
     return lag_features(base, features, lags, by, ts)
 
 
+def _scaled(df: DataFrame, top: Column, scale: str | None) -> DataFrame:
+    """``y`` as a share of ``top``, which stays as the column ``scale`` if that is named."""
+    out = df.withColumn("__top", top).withColumn("y", F.try_divide(F.col("y"), F.col("__top")))
+    return out.withColumnRenamed("__top", scale) if scale else out.drop("__top")
+
+
 def supervised(
     df: DataFrame,
     target: str,
@@ -115,6 +120,7 @@ def supervised(
     ts: str = "date",
     drop: Sequence[str] = (),
     normalize: bool = False,
+    scale: str | None = None,
 ) -> DataFrame:
     """Features of day t with their lags, and ``y`` = target at t + horizon, as one frame.
 
@@ -126,7 +132,7 @@ def supervised(
     out = _labelled(df, target, lags, horizon, features, by, ts)
     if normalize:
         top = F.max(F.when(F.col("__pos") > lags, F.col("y"))).over(Window.partitionBy(*by))
-        out = out.withColumn("y", F.try_divide(F.col("y"), top))
+        out = _scaled(out, top, scale)
     return out.drop("__pos").na.drop()
 
 
@@ -141,6 +147,7 @@ def train_test(
     drop: Sequence[str] = (),
     normalize: bool = False,
     scale_by: str = "own",
+    scale: str | None = None,
 ) -> DataFrame:
     """``supervised`` with a ``split`` column.
 
@@ -161,7 +168,7 @@ def train_test(
             top = F.max(F.when(F.col("split") == "train", usable)).over(Window.partitionBy(*by))
         else:
             raise ValueError(f"unknown scale_by {scale_by!r}")
-        out = out.withColumn("y", F.try_divide(F.col("y"), top))
+        out = _scaled(out, top, scale)
     return out.drop("__pos").na.drop()
 
 

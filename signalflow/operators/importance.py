@@ -5,39 +5,32 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Model
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalflow.operators.models import with_vector
+from signalflow.operators.ranks import numbered
 from signalflow.session import written
 
-# Rows that swap values among each other. Larger data is cut into random groups of
-# about this size, so no task ever orders all rows.
-BLOCK_ROWS = 50_000
 SCORED_ROWS_PER_TASK = 2_000_000
 
 
-def _shuffled(rows: DataFrame, features: Sequence[str], repeats: int, seed: int, blocks: int) -> DataFrame:
-    """Each row ``repeats`` times beside a donor row, the donors a permutation of the rows.
+def _shuffled(rows: DataFrame, features: Sequence[str], repeats: int, seed: int, n: int) -> DataFrame:
+    """Each row ``repeats`` times beside a donor row, the donors a permutation of all rows.
 
-    Rows get a random group from a hash of their key, a rank within it, and per
-    repeat a second, hash-ordered rank; joining rank to rank pairs every row with
-    exactly one donor. Hashes instead of ``rand`` make a recomputed task agree
-    with the one it replaces.
+    A row has a place in the order of its key and, per repeat, one in the order of a hash; joining
+    place to place pairs every row with exactly one donor. Both are global positions (every repeat
+    takes ``n`` of the second), found without a task that orders all rows. Hashes instead of ``rand``
+    make a recomputed task agree with the one it replaces.
     """
     key = [F.col(c) for c in rows.columns if c.startswith("__key")]
-    keyed = rows.withColumn("__block", F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(blocks)))
+    placed = numbered(rows, key, "__place", "importance-places")
     tags = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("repeat")
-    tagged = keyed.select("*", tags)
-    place = F.row_number().over(Window.partitionBy("repeat", "__block").orderBy(*key))
-    drawn = F.row_number().over(
-        Window.partitionBy("repeat", "__block").orderBy(F.xxhash64(F.lit(seed), "repeat", *key), *key)
-    )
-    both = tagged.withColumns({"__place": place, "__drawn": drawn})
-    donors = both.select(
-        "repeat", "__block", F.col("__drawn").alias("__place"), F.struct(*features).alias("__donor")
-    )
-    return both.drop("__drawn").join(donors, ["repeat", "__block", "__place"])
+    draw = F.xxhash64(F.lit(seed), "repeat", *key).alias("__draw")
+    drawn = placed.select(tags, F.struct(*features).alias("__donor"), *key).select("repeat", draw, "__donor", *key)
+    drawn = numbered(drawn, ["repeat", "__draw", *key], "__drawn", "importance-draws")
+    donors = drawn.select("repeat", (F.col("__drawn") - F.col("repeat") * n).alias("__place"), "__donor")
+    return placed.join(donors, "__place")
 
 
 def permutation_importance(
@@ -47,7 +40,6 @@ def permutation_importance(
     key: Sequence[str],
     repeats: int = 25,
     seed: int = 42,
-    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Increase of the MAE when one feature is permuted: ``(variable, repeat, value)``.
 
@@ -59,7 +51,6 @@ def permutation_importance(
         df.select(*[F.col(c).alias(f"__key{i}") for i, c in enumerate(key)], *features, "y"), "importance-rows"
     )
     n = rows.count()
-    blocks = max(1, -(-n // block_rows))
     # scoring is the expensive part and sees len(features) rows per pair: size its tasks by
     # that, where adaptive execution would go by the bytes of the pairs
     tasks = max(df.sparkSession.sparkContext.defaultParallelism, n * repeats * len(features) // SCORED_ROWS_PER_TASK)
@@ -73,7 +64,7 @@ def permutation_importance(
         ]
     )
     variants = (
-        _shuffled(rows, features, repeats, seed, blocks)
+        _shuffled(rows, features, repeats, seed, n)
         .repartition(tasks)
         .select("repeat", "y", F.inline(swapped))
         .select("variable", "repeat", "y", "x.*")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -11,12 +11,12 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from signalflow.config import ForecastSpec
-from signalflow.operators.folds import positioned
+from signalflow.functions.rates import scaled_target
 from signalflow.session import written
 
 KINDS = ("gbt", "gbt_restricted", "gamma", "ridge")
@@ -65,29 +65,33 @@ def cross_validate(
     features: Sequence[str],
     by: Sequence[str],
     spec: ForecastSpec,
-    model: Estimator,
+    model: Estimator | Callable[[DataFrame], Estimator],
     ts: str = "date",
     parallelism: int = 4,
 ) -> DataFrame:
     """Out-of-fold predictions ``(*by, fold, date, target_date, y, yhat)`` of a Spark ML model.
 
     The model of fold f is trained on the training rows of all series at once, so
-    each fit is a distributed job. Row positions are written once; a fold is then a
-    filter on them. ``parallelism`` folds are submitted at a time, as Spark ML's own
-    cross-validator does.
+    each fit is a distributed job. Folds are cut by date, the same for all series: no
+    model sees a row of any series that is later than what it is tested on. ``model``
+    may be a function that makes the estimator for the training rows of a fold.
+    ``parallelism`` folds are submitted at a time, as Spark ML's own cross-validator does.
     """
-    rows = written(
-        with_vector(positioned(df, by, ts), features).select(*by, ts, "target_date", "y", "features", "rn", "n"), "cv-rows"
+    # the dates of the calendar, so the window is bounded
+    dates = df.select(ts).distinct().withColumns(
+        {"rn": F.row_number().over(Window.orderBy(ts)) - 1, "n": F.count(F.lit(1)).over(Window.partitionBy())}
     )
+    rows = with_vector(df, features).join(dates, ts).select(*by, ts, "target_date", "y", "features", "rn", "n")
+    rows = written(rows, "cv-rows").cache()
     size, gap = spec.test_size, spec.gap
-    rows = rows.filter(F.col("n") - gap - spec.n_splits * size > 0)
 
     def one(fold: int) -> DataFrame:
         start = F.col("n") - (spec.n_splits - fold) * size
         train = F.col("rn") < start - gap
         if spec.max_train is not None:
             train = train & (F.col("rn") >= start - gap - spec.max_train)
-        fitted = model.fit(rows.filter(train))
+        chosen = rows.filter(train)
+        fitted = (model(chosen) if callable(model) else model).fit(chosen)
         test = rows.filter((F.col("rn") >= start) & (F.col("rn") < start + size))
         return fitted.transform(test).select(*by, F.lit(fold).alias("fold"), ts, "target_date", "y", "yhat")
 
@@ -161,7 +165,7 @@ def save(fitted: Model, path: str) -> None:
 def forecast_result(
     df: DataFrame, predictions: DataFrame, by: Sequence[str], target: str, lang: str, ts: str = "date"
 ) -> DataFrame:
-    """Result table on the full date axis: ``date, lang, target, cv_preds, abs_diff``.
+    """Result table on the full date axis: ``date, lang, target, cv_preds, abs_diff``, all in the unit of ``y``.
 
     A prediction belongs to the date it is made for. ``cv_preds`` is the prediction
     itself, NULL on dates no fold tested.
@@ -169,5 +173,5 @@ def forecast_result(
     made = predictions.select(
         *by, F.col("target_date").alias(ts), F.col("yhat").alias("cv_preds"), F.abs(F.col("y") - F.col("yhat")).alias("abs_diff")
     )
-    base = df.select(*by, ts, F.lit(lang).alias("lang"), (F.col(target) * 100_000).alias("target"))
+    base = df.select(*by, ts, F.lit(lang).alias("lang"), scaled_target(target, target).alias("target"))
     return base.join(made, [*by, ts], "left")

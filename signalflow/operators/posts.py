@@ -42,12 +42,16 @@ def pending(posts: DataFrame, hints: DataFrame, lang: str, limit: int | None = N
     The null-aware anti join of Spark broadcasts the whole right side. The same
     result at any size: a shuffled anti join, plus ``NOT IN``'s two NULL rules as
     uncorrelated EXISTS tests, which are computed once and folded into the filter.
+    Only uris pass the anti join; the texts are fetched for what is left, as a rule
+    few enough that their uris are broadcast at run time.
     """
     known = hints.select("uri")
-    rows = posts.filter(lang_matches("record__langs", lang, "exact")).select("uri", "record__text")
-    rows = rows.filter(~known.filter(F.col("uri").isNull()).exists())
-    rows = rows.filter(F.col("uri").isNotNull() | ~known.exists())
-    rows = rows.join(known, "uri", "left_anti")
+    in_lang = posts.filter(lang_matches("record__langs", lang, "exact"))
+    keys = in_lang.select("uri").distinct()
+    keys = keys.filter(~known.filter(F.col("uri").isNull()).exists())
+    keys = keys.filter(F.col("uri").isNotNull() | ~known.exists())
+    keys = keys.join(known, "uri", "left_anti").select(F.col("uri").alias("__uri"))
+    rows = in_lang.select("uri", "record__text").join(keys, F.col("uri").eqNullSafe(F.col("__uri")), "left_semi")
     return rows if limit is None else rows.limit(limit)
 
 

@@ -12,8 +12,6 @@ from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -139,39 +137,60 @@ def vocabulary(tokens: DataFrame, min_weeks: int = 10, min_mention: int = 10) ->
     )
 
 
-def wide_tokens(tokens: DataFrame, names: Sequence[str] | None = None, max_columns: int = 2_000) -> DataFrame:
+def wide_tokens(tokens: DataFrame, names: Sequence[str] | None = None, max_columns: int | None = None) -> DataFrame:
     """One row per week, one column per token, 0 where a token is absent.
 
-    Without ``names`` the driver reads the vocabulary to name the columns. One larger
-    than ``max_columns`` is an error: filter it with ``frequent_tokens`` first.
+    With ``names`` other tokens are filtered before the shuffle; weeks that have none of them stay, with
+    zeros. Without ``names`` the driver reads the vocabulary to name the columns; more than
+    ``max_columns`` of them is then an error. Wide tables are for vocabularies of report size: the long
+    form has no such limit.
     """
+    weeks = None
     if names is None:
-        names = [r.token for r in tokens.select("token").distinct().orderBy("token").limit(max_columns + 1).collect()]
-    if len(names) > max_columns:
+        found = tokens.select("token").distinct().orderBy("token")
+        names = [r.token for r in (found if max_columns is None else found.limit(max_columns + 1)).collect()]
+    else:
+        weeks = tokens.select(WEEK).distinct()
+        tokens = tokens.filter(F.col("token").isin(list(names)))
+    if max_columns is not None and len(names) > max_columns:
         raise ValueError(f"vocabulary exceeds {max_columns} columns; raise min_weeks or min_mention")
     wide = tokens.groupBy(WEEK).pivot("token", list(names)).agg(F.sum("cnt"))
+    if weeks is not None:
+        wide = weeks.join(wide, WEEK, "left")
     return wide.na.fill(0, subset=list(names)) if names else wide
 
 
 def fit_vectorizer(tokenized: DataFrame, **params) -> CountVectorizerModel:
+    """Count vectoriser with the whole vocabulary, unless ``vocabSize`` asks for less.
+
+    The distinct tokens are counted first, because Spark's own default would cut the vocabulary silently.
+    """
+    if "vocabSize" not in params:
+        distinct = tokenized.select(F.explode("tokenized_text").alias("token")).distinct().count()
+        params["vocabSize"] = max(distinct, 1)
     return CountVectorizer(inputCol="tokenized_text", outputCol="count_vector", **params).fit(tokenized)
 
 
+def save_vectorizer(model: CountVectorizerModel, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load_vectorizer(path: str) -> CountVectorizerModel:
+    return CountVectorizerModel.load(path)
+
+
 def weekly_vectors(
     tokenized: DataFrame, model: CountVectorizerModel, created: str = "record__created_at"
 ) -> DataFrame:
-    """Weekly sums of the count vectors as long rows: vectors are added up inside Spark ML, then unpacked.
+    """Weekly sums of the count vectors as long rows.
 
-    The summarizer works with running means, hence the rounding back to counts.
+    Only the entries that are not zero are unpacked, summed with map-side combine, and named by a join
+    with the vocabulary, so no task holds a vector as long as the vocabulary.
     """
-    names = F.array(*[F.lit(w) for w in model.vocabulary])
-    weekly = (
-        model.transform(tokenized)
-        .groupBy(week_bucket(created).alias(WEEK))
-        .agg(vector_to_array(Summarizer.sum(F.col("count_vector"))).alias("sums"))
-    )
-    return (
-        weekly.select(WEEK, F.posexplode("sums").alias("i", "cnt"))
-        .filter("cnt > 0")
-        .select(WEEK, F.get(names, F.col("i")).alias("token"), F.round("cnt").cast("bigint").alias("cnt"))
+    indices, values = F.unwrap_udt("count_vector")["indices"], F.unwrap_udt("count_vector")["values"]
+    entries = model.transform(tokenized).select(
+        week_bucket(created).alias(WEEK), F.inline(F.arrays_zip(indices.alias("i"), values.alias("cnt")))
     )
+    sums = entries.groupBy(WEEK, "i").agg(F.sum("cnt").cast("bigint").alias("cnt"))
+    names = tokenized.sparkSession.createDataFrame(pd.DataFrame({"i": range(len(model.vocabulary)), "token": model.vocabulary}), "i int, token string")
+    return sums.join(names, "i").select(WEEK, "token", "cnt")

@@ -7,7 +7,9 @@ whole backfill: which landed pages are read is a filter on their partition.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from dataclasses import replace
+from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,17 +27,20 @@ from signalflow.sources.pages import read_post_pages, staged_posts
 from signalflow.sources.surveillance import read_who
 
 HINT_COLUMNS = "uri string, ili_related boolean, symptoms string"
+POST_COLUMNS = "uri string, record__created_at timestamp_ntz, record__text string, record__langs string, keyword string"
+COUNT_COLUMNS = "period_start date, langs string, query string, post_count bigint"
 
 
 def ingest_pages(spark: SparkSession, job: DailyJob, start: date, end: date | None = None) -> DataFrame:
     """Count fact and post table from the pages landed for ``start..end`` (one day without ``end``).
 
-    Pages lie below ``landing/posts/keyword=<kw>/day=<date>/``.
+    Pages lie below ``landing/posts/keyword=<kw>/day=<date>/``; only the folders of these days are read.
     """
-    pages = read_post_pages(spark, f"{job.landing}/posts")
+    last = end or start
+    # a page is landed on the day of its posts, or on the next where it reaches over midnight
+    pages = read_post_pages(spark, f"{job.landing}/posts", days=(start - timedelta(days=1), last + timedelta(days=1)))
     day = F.to_date("event_time")
-    rows = pages.filter(day.between(F.lit(str(start)).cast("date"), F.lit(str(end or start)).cast("date")))
-    posts = written(rows, "posts")
+    posts = written(pages.filter(day.between(F.lit(str(start)).cast("date"), F.lit(str(last)).cast("date"))), "posts")
     sinks.upsert_counts(spark, f"{job.store}/counts", daily_counts(posts))
     sinks.upsert_posts(spark, f"{job.store}/posts", staged_posts(posts), order="record__created_at")
     return posts
@@ -43,13 +48,15 @@ def ingest_pages(spark: SparkSession, job: DailyJob, start: date, end: date | No
 
 def annotate_pending(spark: SparkSession, job: DailyJob, fn: Callable[[str], dict] | None = None) -> None:
     """Label the stored posts that have no label yet: by rules, or by the caller's function."""
-    posts = spark.read.parquet(f"{job.store}/posts")
+    posts = sinks.read_table(spark, f"{job.store}/posts", POST_COLUMNS)
     path = f"{job.store}/hints"
-    stored = spark.read.parquet(path) if sinks.table_exists(spark, path) else spark.createDataFrame([], HINT_COLUMNS)
-    for lang in sorted({s.lang for s in job.specs}):
-        todo = pending(posts, stored, lang)
-        labels = annotate(todo, fn) if fn else rule_annotation(todo)
-        sinks.upsert_hints(spark, path, hint_rows(labels))
+    stored = sinks.read_table(spark, path, HINT_COLUMNS)
+    langs = sorted({s.lang for s in job.specs})
+    todo = reduce(DataFrame.union, [pending(posts, stored, lang) for lang in langs])
+    # a post that several keywords found is labelled once
+    todo = todo.groupBy("uri").agg(F.min("record__text").alias("record__text"))
+    labels = annotate(todo, fn) if fn else rule_annotation(todo)
+    sinks.upsert_hints(spark, path, hint_rows(labels))
 
 
 def ingest_cases(spark: SparkSession, job: DailyJob, schema: str | None = None) -> None:
@@ -58,25 +65,17 @@ def ingest_cases(spark: SparkSession, job: DailyJob, schema: str | None = None)
 
 
 def build_signals(spark: SparkSession, job: DailyJob) -> None:
-    """Weekly, daily and label-filtered signal tables of every spec."""
-    counts = spark.read.parquet(f"{job.store}/counts")
+    """Weekly, daily and label-filtered signal tables, each of all specs in one job, partitioned by series."""
+    counts = sinks.read_table(spark, f"{job.store}/counts", COUNT_COLUMNS)
     cases = spark.read.parquet(f"{job.store}/who_fluid")
-    posts = spark.read.parquet(f"{job.store}/posts")
-    hints = spark.read.parquet(f"{job.store}/hints")
-    for spec in job.specs:
-        weekly = written(
-            signals.weekly_incidence(
-                cases, job.calendar.start, job.calendar.end, (spec.country_code,), spec.age_codes, spec.smoothing
-            ),
-            "weekly",
-        )
-        daily = signals.daily_incidence(weekly, job.calendar.start, job.calendar.end, spec.daily_target)
-        signal = signals.weekly_signal(counts, weekly, spec, job.calendar)
-        base = f"{job.store}/signals"
-        sinks.replace(signal, f"{base}/weekly_{spec.series_id}")
-        sinks.replace(signals.daily_signal(counts, daily, spec, job.calendar), f"{base}/daily_{spec.series_id}")
-        labelled = signals.labelled_weekly(posts, hints, spec.lang, spark.read.parquet(f"{base}/weekly_{spec.series_id}"))
-        sinks.replace(labelled, f"{base}/labelled_{spec.series_id}")
+    posts = sinks.read_table(spark, f"{job.store}/posts", POST_COLUMNS)
+    hints = sinks.read_table(spark, f"{job.store}/hints", HINT_COLUMNS)
+    base = f"{job.store}/signals"
+    weekly = signals.weekly_signals(counts, cases, job.specs, job.calendar)
+    sinks.replace(weekly, f"{base}/weekly", ("series_id",))
+    weekly = spark.read.parquet(f"{base}/weekly")
+    sinks.replace(signals.daily_signals(counts, weekly, job.specs, job.calendar), f"{base}/daily", ("series_id",))
+    sinks.replace(signals.labelled_weeklies(posts, hints, job.specs, weekly), f"{base}/labelled", ("series_id",))
 
 
 def run_daily(
@@ -87,11 +86,14 @@ def run_daily(
     fn: Callable[[str], dict] | None = None,
     case_schema: str | None = None,
     model: str | None = "ridge",
+    spec_params: dict | None = None,
     **model_params,
 ) -> None:
     """Counts and posts, labels, cases, signals, forecast. Running it again for the same days changes nothing.
 
-    A range of days is a backfill: rows of those days replace what is stored.
+    A range of days is a backfill: rows of those days replace what is stored. Each spec is forecast
+    with its own target and kind of model; ``model`` and ``model_params`` are for specs that name none,
+    ``spec_params`` for those that do.
     """
     posts = ingest_pages(spark, job, start, end)
     if posts.isEmpty() and not sinks.table_exists(spark, f"{job.store}/posts"):
@@ -101,8 +103,10 @@ def run_daily(
     build_signals(spark, job)
     if model is None:
         return
+    weekly = calendar_features(spark.read.parquet(f"{job.store}/signals/weekly"))
     for spec in job.specs:
-        signal = calendar_features(spark.read.parquet(f"{job.store}/signals/weekly_{spec.series_id}"))
+        series = weekly.filter(F.col("series_id") == spec.series_id).drop("series_id")
         run_forecast(
-            signal, ("country_code",), job.forecast, model, spec.lang, out=f"{job.store}/results", name=spec.series_id, **model_params
-        )
+            series, ("country_code",), replace(job.forecast, target=spec.target), spec.model or model, spec.lang,
+            out=f"{job.store}/results", name=spec.series_id, **(model_params if not spec.model else spec_params or {}),
+        )

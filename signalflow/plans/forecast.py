@@ -13,6 +13,7 @@ from signalflow.config import ForecastSpec
 from signalflow.operators import features as feats
 from signalflow.operators import importance as imp
 from signalflow.operators import models
+from signalflow.operators.folds import unfoldable
 from signalflow.operators.stats import error_summary, fold_errors, regression_scores
 from signalflow.session import written
 from signalflow.sources.sinks import export_forecast
@@ -59,27 +60,35 @@ def run_forecast(
     with ``split``), and joins the fold predictions back to the date axis. With ``out``
     the result tables and the fitted model are stored below it.
     """
-    base = model_columns(df)
+    base = model_columns(df).select(*by, *[c for c in df.columns if c not in by])
     base_features = [c for c in base.columns if c not in {*by, "date", *spec.drop}]
     names = feats.feature_names(base_features, spec.lags)
-    settings = {"drop": spec.drop, "normalize": spec.normalize}
+    settings = {"drop": spec.drop, "normalize": spec.normalize, "scale": "y_scale"}
     if split is None:
         frame = feats.supervised(base, spec.target, spec.lags, spec.horizon, by, **settings).withColumn("split", F.lit("train"))
     else:
         frame = feats.train_test(base, spec.target, spec.lags, spec.horizon, by, split, **settings)
     frame = written(frame, "supervised")
     train = frame.filter("split = 'train'")
+    short = unfoldable(train, by, spec.n_splits, spec.test_size, spec.gap)
+    if not short.isEmpty():
+        raise ValueError(f"series too short for {spec.n_splits} folds, among them: {[tuple(r) for r in short.limit(10).collect()]}")
     estimator = models.estimator(kind, train, alpha, **model_params)
-    if kind == "ridge":
+    if kind == "ridge" and train.select(*by).distinct().limit(2).count() == 1:
+        # one series: the model of all rows is the model of the series, and its folds are one task
         cv = models.ridge_cv(train, names, by, spec, alpha)
     else:
-        cv = models.cross_validate(train, names, by, spec, estimator)
+        cv = models.cross_validate(train, names, by, spec, lambda rows: models.estimator(kind, rows, alpha, **model_params))
     cv = written(cv, "cv")
     fitted = models.fit(train, names, estimator)
     predictions = models.predict(frame, names, fitted)
     held_out = frame if split is None else frame.filter("split = 'test'")
     importance = imp.permutation_importance(fitted, held_out, names, [*by, "date"], repeats)
-    result = models.forecast_result(df, cv, by, spec.target, lang)
+    in_unit = cv
+    if spec.normalize:
+        by_row = [*by, "date"]
+        in_unit = cv.join(train.select(*by_row, "y_scale"), by_row).withColumns({c: F.col(c) * F.col("y_scale") for c in ("y", "yhat")})
+    result = models.forecast_result(df, in_unit, by, spec.target, lang)
     if out:
         importance = written(importance, "importance")
         export_forecast(result, importance, out, name)

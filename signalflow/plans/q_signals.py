@@ -87,7 +87,7 @@ WHERE b.date > DATE '1995-08-01'""",
     ),
 )
 def signals_for_all_specs(spark, sf):
-    return signals.weekly_signals(counts(spark, sf), cases(spark, sf), SPECS, CAL)
+    return signals.weekly_signals(counts(spark, sf), cases(spark, sf), SPECS, CAL, ("grippe_posts", "rest_posts"))
 
 
 @query("incidence_weekly_gapfilled", with_ctes("weekly", "SELECT * FROM weekly"))

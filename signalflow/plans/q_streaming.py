@@ -52,15 +52,15 @@ def stream_weekly_counts(spark, sf):
     "stream_upsert",
     with_ctes(
         "event_posts",
-        """SELECT k::VARCHAR AS uri, max(event_time) AS event_time, arg_max(keyword, (event_time, keyword)) AS keyword FROM event_posts GROUP BY 1""",
+        """SELECT k::VARCHAR AS uri, max(event_time) AS event_time, keyword FROM event_posts GROUP BY 1, 3""",
     ),
 )
 def stream_upsert(spark, sf):
-    """Latest version of a post over all landed files (the value in ``props`` stands for the uri)."""
+    """Latest version of a post per keyword over all landed files (the value in ``props`` stands for the uri)."""
     path = scratch_path(spark, "posts")
     versions = landed_posts(spark, sf).select(F.col("k").cast("string").alias("uri"), "event_time", "keyword")
     stream.stream_posts(versions, path, scratch_path(spark, "ckpt"), order="event_time")
-    return spark.read.parquet(path).drop("created_day")
+    return spark.read.parquet(path).drop("post_bucket")
 
 
 @query("stream_dedup", with_ctes("event_posts", "SELECT DISTINCT keyword || '/' || k AS uri FROM event_posts"))

@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalflow.config import Calendar, KeywordGroup, SignalSpec
+from signalflow.functions.dates import iso_week
 from signalflow.functions.rates import incidence, share
 from signalflow.operators.align import on_spine
-from signalflow.operators.counts import group_counts, group_counts_for_specs
+from signalflow.operators.counts import DIMENSION_BROADCAST_ROWS, group_counts, group_counts_for_specs
 from signalflow.operators.gapfill import gap_fill, interpolate
 from signalflow.operators.posts import annotated, language_posts, weekly_distinct
 from signalflow.operators.spines import date_spine, spine_between
@@ -134,10 +135,21 @@ def daily_signal(
     )
 
 
-def weekly_signals(counts: DataFrame, cases: DataFrame, specs: Sequence[SignalSpec], cal: Calendar) -> DataFrame:
+def _small(frame: DataFrame, rows: int) -> DataFrame:
+    """A configuration table with a broadcast hint if it is small."""
+    return F.broadcast(frame) if rows <= DIMENSION_BROADCAST_ROWS else frame
+
+
+ROLES = ("symptom_posts", "control_posts")
+
+
+def weekly_signals(
+    counts: DataFrame, cases: DataFrame, specs: Sequence[SignalSpec], cal: Calendar, names: tuple[str, str] = ROLES
+) -> DataFrame:
     """Weekly signals of many specs in one job: counts and cases are each read once.
 
-    A spec's own smoothing of the incidence and its age codes apply to its series.
+    A spec's own smoothing of the incidence and its age codes apply to its series. The counts of the
+    symptom and the control group get the column names ``names``.
     """
     spec_rows = literal_rows(
         counts.sparkSession,
@@ -151,7 +163,7 @@ def weekly_signals(counts: DataFrame, cases: DataFrame, specs: Sequence[SignalSp
     axis = spine_between(bounds, "week")
     rows = (
         cases.filter(F.col("country_code").isin(sorted({s.country_code for s in specs})))
-        .join(F.broadcast(spec_rows.select("series_id", "country_code", "age_codes")), "country_code")
+        .join(_small(spec_rows.select("series_id", "country_code", "age_codes"), len(specs)), "country_code")
         .filter(F.array_contains("age_codes", F.col("agegroup_code")))
         .select("series_id", F.col("iso_weekstartdate").alias("date"), *CASE_COLUMNS)
     )
@@ -162,8 +174,8 @@ def weekly_signals(counts: DataFrame, cases: DataFrame, specs: Sequence[SignalSp
         }
     )
     filled = interpolate(base, "date", {"ili_incidence": "linear"}, ("series_id",))
-    part, rest = specs[0].symptom.column, specs[0].control.column
-    total = group_counts_for_specs(counts, specs, "week")
+    part, rest = names
+    total = group_counts_for_specs(counts, specs, "week", names=names)
     return (
         filled.filter(F.col("date") > cutoff)
         .join(total, ["series_id", "date"], "left")
@@ -174,6 +186,36 @@ def weekly_signals(counts: DataFrame, cases: DataFrame, specs: Sequence[SignalSp
     )
 
 
+def daily_signals(
+    counts: DataFrame, weekly: DataFrame, specs: Sequence[SignalSpec], cal: Calendar, names: tuple[str, str] = ROLES
+) -> DataFrame:
+    """Daily signals of many specs from their weekly ones: each spec's target by day, 0 where unknown, against daily counts."""
+    targets = literal_rows(counts.sparkSession, ("series_id", "target"), [(s.series_id, s.daily_target) for s in specs])
+    value = F.when(F.col("target") == "ari_incidence", F.col("ari_incidence")).otherwise(F.col("ili_incidence"))
+    points = weekly.join(_small(targets, len(specs)), "series_id").select("series_id", "country_code", "date", "target", value.alias("incidence"))
+    days = gap_fill(points, "date", {"incidence": "linear"}, ("series_id", "country_code", "target"), bucket_days=1, start=cal.start, end=cal.end)
+    part, rest = names
+    total = group_counts_for_specs(counts, specs, "day", names=names)
+    joined = days.filter(F.col("date") > F.lit(str(cal.cutoff)).cast("date")).join(total, ["series_id", "date"], "left")
+    zero = {c: F.coalesce(c, F.lit(0).cast("bigint")) for c in names} | {"incidence": F.coalesce("incidence", F.lit(0.0))}
+    return joined.withColumns(zero).select(
+        "series_id", "country_code", "date", "target", "incidence", part, rest, share(part, rest).alias("norm_post_count")
+    )
+
+
+def labelled_weeklies(posts: DataFrame, hints: DataFrame, specs: Sequence[SignalSpec], weekly: DataFrame) -> DataFrame:
+    """``labelled_weekly`` for many specs in one job; a post counts for every spec whose language it has."""
+    langs = literal_rows(posts.sparkSession, ("series_id", "lang"), [(s.series_id, s.lang) for s in specs])
+    wanted = F.array_distinct(F.array(*[F.when(F.contains("record__langs", F.lit(s.lang)), F.lit(s.lang)) for s in specs]))
+    related = annotated(posts.select("uri", "record__created_at", "record__langs"), hints, related_only=True)
+    hits = related.select("uri", iso_week("record__created_at").alias("date"), F.explode(F.array_compact(wanted)).alias("lang"))
+    per_week = hits.groupBy("lang", "date").agg(F.count_distinct("uri").alias("llm_post_count"))
+    per_week = per_week.join(_small(langs, len(specs)), "lang").drop("lang")
+    return weekly.join(per_week, ["series_id", "date"], "left").withColumn(
+        "llm_post_count", F.coalesce("llm_post_count", F.lit(0).cast("bigint"))
+    )
+
+
 def zero_filled_signal(
     counts: DataFrame, cases: DataFrame, spec: SignalSpec, cal: Calendar, age_codes: Sequence[str] | None = None
 ) -> DataFrame:

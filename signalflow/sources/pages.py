@@ -68,16 +68,22 @@ def _posts(pages: DataFrame, keyword_col: str) -> DataFrame:
     )
 
 
-def read_post_pages(spark: SparkSession, path: str, keyword_col: str = "keyword", multi_line: bool = False) -> DataFrame:
-    """One row per post from pages below ``path/keyword=<kw>/``.
+def read_post_pages(
+    spark: SparkSession, path: str, keyword_col: str = "keyword", multi_line: bool = False, days: tuple | None = None
+) -> DataFrame:
+    """One row per post from pages below ``path/keyword=<kw>/``, or ``path/keyword=<kw>/day=<date>/``.
+
+    With ``days``, the first and last day of the partition column ``day`` to read, other folders are not listed for reading.
 
     A page is one JSON document: ``{"page_id"?, "until"?, "posts": [...]}``. Without a
     page id the file is the page. Unreadable instants become NULL, NUL characters
     are removed from all texts.
     """
     reader = spark.read.schema(PAGE_SCHEMA).option("multiLine", multi_line)
-    pages = reader.json(path).withColumn("__file", F.col("_metadata.file_path"))
-    return _posts(pages, keyword_col)
+    pages = reader.json(path)
+    if days is not None:
+        pages = pages.filter(F.col("day").cast("date").between(*[F.lit(str(d)).cast("date") for d in days]))
+    return _posts(pages.withColumn("__file", F.col("_metadata.file_path")), keyword_col)
 
 
 def stream_post_pages(
@@ -105,7 +111,8 @@ def staged_posts(posts: DataFrame) -> DataFrame:
 def count_pages(posts: DataFrame) -> DataFrame:
     """Pages as structs of parallel arrays: ``period_start[], period_end[], langs[], post_count[]``."""
     per_lang = page_counts(posts)
-    ends = posts.select("keyword", "page_id", "page_until").distinct()
+    # a page that was crawled again counts with its later bound
+    ends = posts.groupBy("keyword", "page_id").agg(F.max("page_until").alias("page_until"))
     rows = F.sort_array(F.collect_list(F.struct("langs", "period_start", "page_until", "post_count")))
     return (
         per_lang.join(ends, ["keyword", "page_id"])

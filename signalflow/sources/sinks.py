@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from signalflow.session import written
 
@@ -27,35 +28,32 @@ def replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` holds data: files or partitions, not only markers of a finished write."""
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hadoop_path) and len(fs.listStatus(hadoop_path)) > 0
+    return fs.exists(hadoop_path) and any(f.getPath().getName()[0] not in "_." for f in fs.listStatus(hadoop_path))
 
 
-# Partition values up to which they are listed in a filter that prunes the scan.
-MAX_LISTED_PARTITIONS = 10_000
-
-
-def _values(df: DataFrame, part: str) -> list:
-    """Distinct partition values; a batch that touches more than the limit is an error."""
-    found = [r[0] for r in df.select(part).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()]
-    if len(found) > MAX_LISTED_PARTITIONS:
-        raise ValueError(f"the batch touches more than {MAX_LISTED_PARTITIONS} partitions of {part!r}; split it")
-    return found
+def read_table(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+    """The parquet table at ``path`` with its schema, empty where nothing has been written yet."""
+    if table_exists(spark, path):
+        return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)
 
 
-def _in_partitions(part: str, values: list) -> Column:
-    known = F.col(part).isin([v for v in values if v is not None])
-    return known | F.col(part).isNull() if None in values else known
+# Partition values up to which they are listed in a filter that prunes the scan; more of them are joined.
+LISTED_PARTITIONS = 10_000
 
 
-def _drop_partitions(spark: SparkSession, path: str, part: str, values: list) -> None:
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for value in values:
-        name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{part}={name}")
-        folder.getFileSystem(conf).delete(folder, True)
+def _in_partitions(stored: DataFrame, incoming: DataFrame, part: str) -> DataFrame:
+    """The rows of the table partitions that the batch touches; the plan differs by their number, the rows don't."""
+    values = incoming.select(part).distinct()
+    listed = [r[0] for r in values.limit(LISTED_PARTITIONS + 1).collect()]
+    if len(listed) > LISTED_PARTITIONS:
+        return stored.join(values.withColumnRenamed(part, "__touched"), F.col(part).eqNullSafe(F.col("__touched")), "left_semi")
+    known = F.col(part).isin([v for v in listed if v is not None])
+    return stored.filter(known | F.col(part).isNull() if None in listed else known)
 
 
 def upsert(
@@ -65,40 +63,30 @@ def upsert(
     keys: Sequence[str],
     partition: tuple[str, Column],
     order: str | None = None,
-    by_key: bool = True,
 ) -> None:
     """Merge ``batch`` into the parquet table at ``path``: insert new keys, replace known ones.
 
-    ``partition`` names the table's partition column and its expression. ``by_key`` says
-    that it is a function of the keys; then only the partitions of the batch are read and
-    rewritten. Otherwise the partitions that hold older versions of the batch's keys are
-    found by a scan of the key columns and rewritten too. With ``order`` the greatest
-    value wins, the batch on a tie; without it the batch always wins. Running it twice
-    with the same batch changes nothing.
+    ``partition`` names the table's partition column and its expression, a function of the keys, so
+    only the partitions of the batch are read and rewritten. With ``order`` the greatest value wins,
+    the batch on a tie; without it the batch always wins. Running it twice with the same batch changes
+    nothing; an empty batch writes nothing.
 
-    The batch is computed once and written first (it may hold expensive annotations).
-    The merged partitions are then written beside the table before the old files are
-    swapped out: if the driver dies during the swap, the merged rows are still there.
+    The batch is computed once and written first (it may hold expensive annotations). The merged
+    partitions are then written beside the table before the old files are swapped out: if the driver
+    dies during the swap, the merged rows are still there.
     """
     part, expression = partition
     incoming = written(batch.withColumn(part, expression), "batch")
-    touched = _values(incoming, part)
-    ranked = incoming.withColumn("__source", F.lit(1))
+    if incoming.isEmpty():
+        return
+    rows = keep_latest(incoming, keys, [order] if order else [])
     if table_exists(spark, path):
-        stored = spark.read.schema(incoming.schema).parquet(path)
-        if not by_key:
-            holders = stored.select(*keys, part).join(incoming.select(*keys), list(keys), "left_semi")
-            touched = list({*touched, *_values(holders, part)})
-        old = stored.filter(_in_partitions(part, touched)).withColumn("__source", F.lit(0))
-        ranked = ranked.unionByName(old)
-    merged = keep_latest(ranked, keys, [order, "__source"] if order else ["__source"]).drop("__source")
-    rows = written(merged, "merge")
+        old = _in_partitions(spark.read.schema(incoming.schema).parquet(path), incoming, part).withColumn("__source", F.lit(0))
+        ranked = incoming.withColumn("__source", F.lit(1)).unionByName(old)
+        rows = written(keep_latest(ranked, keys, [order, "__source"] if order else ["__source"]).drop("__source"), "merge")
     # rebalance: few files per table partition, while a large partition is split over tasks
     balanced = rows.hint("rebalance", part)
     balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
-    if not by_key:
-        # a partition all of whose keys have moved away gets no rows and is not overwritten
-        _drop_partitions(spark, path, part, [v for v in touched if v not in _values(rows, part)])
 
 
 # Layouts of the merged tables: keys and partition column.
@@ -110,11 +98,10 @@ def upsert_counts(spark: SparkSession, path: str, counts: DataFrame, order: str
     upsert(spark, path, counts, COUNT_KEYS, ("period_month", F.trunc("period_start", "month")), order)
 
 
-def upsert_posts(
-    spark: SparkSession, path: str, posts: DataFrame, order: str | None = None, created: str = "record__created_at"
-) -> None:
-    """Posts by uri, partitioned by the day of ``created``: a nightly batch rewrites the days it brings."""
-    upsert(spark, path, posts, ("uri",), ("created_day", F.to_date(created)), order, by_key=False)
+def upsert_posts(spark: SparkSession, path: str, posts: DataFrame, order: str | None = None, buckets: int = URI_BUCKETS) -> None:
+    """Posts by keyword and uri, in hash buckets of both; a post that two keywords find is stored for each."""
+    bucket = F.pmod(F.xxhash64("keyword", "uri"), F.lit(buckets)).cast("int")
+    upsert(spark, path, posts, ("keyword", "uri"), ("post_bucket", bucket), order)
 
 
 def upsert_hints(spark: SparkSession, path: str, hints: DataFrame, buckets: int = URI_BUCKETS) -> None:

@@ -42,10 +42,16 @@ RENAMED = {"rest_posts": "control_posts", "grippe_posts": "ili_posts"}
 LABELLED_COLUMNS = ("date", "llm_post_count", "ili_incidence", "rest_posts")
 
 
-def signal_registry(weekly: dict[str, str], daily: dict[str, str], labelled: str | None = None, daily_range=("2023-08-06", "2025-03-30")) -> DatasetRegistry:
+def _within(df: DataFrame, days: tuple[str, str] | None) -> DataFrame:
+    return df if days is None else df.filter(F.col("date").between(*[F.lit(d).cast("date") for d in days]))
+
+
+def signal_registry(
+    weekly: dict[str, str], daily: dict[str, str], labelled: str | None = None, daily_range: tuple[str, str] | None = None
+) -> DatasetRegistry:
     """Registry of the modelling data sets from stored signal tables, per language.
 
-    ``grippe_posts_<lang>``: weekly; ``upsampled_<lang>``: daily within ``daily_range``;
+    ``grippe_posts_<lang>``: weekly; ``upsampled_<lang>``: daily, within ``daily_range`` if given;
     ``llm_filtered``: weekly with label-filtered counts.
     """
     registry = DatasetRegistry()
@@ -57,9 +63,7 @@ def signal_registry(weekly: dict[str, str], daily: dict[str, str], labelled: str
     for lang, path in daily.items():
         registry.add(
             f"upsampled_{lang}",
-            lambda spark, path=path: calendar_features(
-                load_table(spark, path).filter(F.col("date").between(*[F.lit(d).cast("date") for d in daily_range])), with_day=True
-            ),
+            lambda spark, path=path: calendar_features(_within(load_table(spark, path), daily_range), with_day=True),
         )
     if labelled:
         registry.add(
@@ -71,19 +75,22 @@ def signal_registry(weekly: dict[str, str], daily: dict[str, str], labelled: str
     return registry
 
 
-def text_corpus(spark: SparkSession, input_file: str | None = None, query: str | None = None, schema: str | None = None) -> DataFrame:
-    """Posts from a CSV file or a SQL query; one of the two is required."""
+def text_corpus(
+    spark: SparkSession, input_file: str | None = None, query: str | None = None, schema: str | None = None, args: dict | list | None = None
+) -> DataFrame:
+    """Posts from a CSV file or a SQL query; one of the two is required. ``args`` fill the query's parameter markers."""
     if input_file:
         reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
         return (reader.schema(schema) if schema else reader).csv(input_file)
     if query:
-        return spark.sql(query)
+        return spark.sql(query, args=args)
     raise ValueError("give an input file or a query")
 
 
-def read_weekly_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """Wide weekly token table from CSV (one count column per token)."""
-    df = spark.read.option("header", True).option("inferSchema", True).csv(path)
+def read_weekly_tokens(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """Wide weekly token table from CSV (one count column per token); without ``schema`` a pass over the file infers it."""
+    reader = spark.read.option("header", True)
+    df = (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
     return df.withColumn("iso_weekstartdate", F.to_date("iso_weekstartdate"))
 
 

@@ -58,12 +58,7 @@ def _run(writer, checkpoint: str) -> StreamingQuery:
 
 def merge_stream(stream: DataFrame, merge: Callable[[DataFrame], None], checkpoint: str, mode: str = "append") -> StreamingQuery:
     """Run a stream to the end of the landed data; ``merge`` must be idempotent, as a batch may be repeated."""
-
-    def batch(df: DataFrame, _: int) -> None:
-        if not df.isEmpty():
-            merge(df)
-
-    return _run(stream.writeStream.outputMode(mode).foreachBatch(batch), checkpoint)
+    return _run(stream.writeStream.outputMode(mode).foreachBatch(lambda df, _: merge(df)), checkpoint)
 
 
 def stream_counts(posts: DataFrame, path: str, checkpoint: str, unit: str = "day", lateness: str = "1 day") -> StreamingQuery:
@@ -73,9 +68,9 @@ def stream_counts(posts: DataFrame, path: str, checkpoint: str, unit: str = "day
     )
 
 
-def stream_posts(posts: DataFrame, path: str, checkpoint: str, order: str | None = None, created: str = "event_time") -> StreamingQuery:
-    """Merge landed posts into the post table by uri."""
-    return merge_stream(posts, lambda df: sinks.upsert_posts(df.sparkSession, path, df, order, created), checkpoint)
+def stream_posts(posts: DataFrame, path: str, checkpoint: str, order: str | None = None) -> StreamingQuery:
+    """Merge landed posts into the post table by keyword and uri."""
+    return merge_stream(posts, lambda df: sinks.upsert_posts(df.sparkSession, path, df, order), checkpoint)
 
 
 def append_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

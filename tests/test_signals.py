@@ -2,7 +2,7 @@ from datetime import date, datetime
 
 import pytest
 
-from signalflow.config import FRANCE, Calendar
+from signalflow.config import FRANCE, Calendar, KeywordGroup
 from signalflow.operators.align import aligned_frame, aligned_sum, duplicated_keys, zero_filled
 from signalflow.plans import signals
 
@@ -67,7 +67,7 @@ def test_daily_signal_is_zero_filled(cases, counts, rows):
 
 def test_specs_job_equals_single(cases, counts, rows):
     single = signals.weekly_signal(counts, signals.weekly_incidence(cases, CAL.start, CAL.end, ("FRA",)), FRANCE, CAL)
-    many = signals.weekly_signals(counts, cases, (FRANCE,), CAL)
+    many = signals.weekly_signals(counts, cases, (FRANCE,), CAL, ("grippe_posts", "rest_posts"))
     assert rows(many.drop("series_id"), *single.columns) == rows(single)
 
 
@@ -103,3 +103,12 @@ def test_aligned_sum_and_frame(spark, rows):
     frame = aligned_frame(a.select("date"), {"x": (a, "v"), "y": (b, "v")})
     assert rows(frame) == [(W[0], 1, None), (W[1], 2, 5)]
     assert rows(zero_filled(frame, ["y"]), "y") == [(0,), (5,)]
+
+
+def test_specs_with_other_group_names_and_repeated_keywords(spark, counts, cases):
+    from dataclasses import replace as change
+
+    odd = change(FRANCE, series_id="odd", symptom=KeywordGroup("other_name", (*FRANCE.symptom.keywords, FRANCE.symptom.keywords[0])))
+    got = signals.weekly_signals(counts, cases, (FRANCE, odd), CAL)
+    by_series = {s: sorted(tuple(r) for r in got.filter(f"series_id = '{s}'").select("date", "symptom_posts", "control_posts", "norm_post_count").collect()) for s in ("fr", "odd")}
+    assert by_series["fr"] == by_series["odd"] and any(r[1] for r in by_series["fr"])

@@ -116,29 +116,33 @@ def test_upsert(spark, tmp_path, rows):
     assert {f.name for f in (tmp_path / "counts" / "period_month=2024-01-01").iterdir()} == untouched
 
 
-def test_upsert_moves_a_post_between_days(spark, tmp_path, rows):
-    path, schema = str(tmp_path / "posts"), "uri string, seen int, day string"
+def test_posts_are_stored_per_keyword(spark, tmp_path, rows):
+    path, schema = str(tmp_path / "posts"), "keyword string, uri string, seen int"
 
     def put(*data):
-        df = spark.createDataFrame(list(data), schema).withColumn("day", F.to_date("day"))
-        sinks.upsert_posts(spark, path, df, "seen", "day")
-        return rows(spark.read.parquet(path), "uri", "seen", "day")
-
-    d1, d2, d3 = date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)
-    assert put(("u", 5, "2024-01-01"), ("u", 4, "2024-01-02"), ("v", 1, "2024-01-02"), ("n", 1, None)) == [("n", 1, None), ("u", 5, d1), ("v", 1, d2)]
-    kept = {f.name for f in (tmp_path / "posts" / "created_day=2024-01-02").iterdir()}
-    assert put(("u", 3, "2024-01-03")) == [("n", 1, None), ("u", 5, d1), ("v", 1, d2)]  # an older version changes nothing
+        sinks.upsert_posts(spark, path, spark.createDataFrame(list(data), schema), "seen")
+        return rows(spark.read.parquet(path), "keyword", "uri", "seen")
+
+    assert put(("grippe", "u", 5), ("fievre", "u", 4), ("grippe", "u", 3)) == [("fievre", "u", 4), ("grippe", "u", 5)]
+    assert put() == [("fievre", "u", 4), ("grippe", "u", 5)]
     for _ in range(2):
-        assert put(("u", 6, "2024-01-03"), ("n", 2, "2024-01-03")) == [("n", 2, d3), ("u", 6, d3), ("v", 1, d2)]
-    assert {f.name for f in (tmp_path / "posts").iterdir() if f.is_dir()} == {"created_day=2024-01-02", "created_day=2024-01-03"}
-    assert {f.name for f in (tmp_path / "posts" / "created_day=2024-01-02").iterdir()} == kept
+        assert put(("grippe", "u", 4), ("fievre", "u", 6)) == [("fievre", "u", 6), ("grippe", "u", 5)]
 
 
-def test_upsert_refuses_unlisted_partitions(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(sinks, "MAX_LISTED_PARTITIONS", 1)
-    df = spark.createDataFrame([("u", True, ""), ("v", True, ""), ("w", True, ""), ("x", True, "")], "uri string, ili_related boolean, symptoms string")
-    with pytest.raises(ValueError):
-        sinks.upsert_hints(spark, str(tmp_path / "h"), df)
+def test_upsert_joins_partitions_beyond_the_list(spark, tmp_path, rows, monkeypatch):
+    monkeypatch.setattr(sinks, "LISTED_PARTITIONS", 3)
+    path, schema = str(tmp_path / "t"), "k int, v int"
+    for v in (1, 2):
+        batch = spark.createDataFrame([(k, v) for k in range(0, 12, v)], schema)
+        sinks.upsert(spark, path, batch, ("k",), ("part", F.pmod("k", F.lit(6))))
+    assert rows(spark.read.parquet(path), "k", "v") == sorted(((k, 2 if k % 2 == 0 else 1) for k in range(12)), key=lambda t: (str(t[0]), t[1]))
+
+
+def test_a_folder_without_data_is_no_table(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "_SUCCESS").write_text("")
+    assert not sinks.table_exists(spark, str(tmp_path / "t"))
+    assert sinks.read_table(spark, str(tmp_path / "t"), "a int").count() == 0
 
 
 def test_keep_latest_handles_a_hot_key(spark):
