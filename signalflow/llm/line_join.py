@@ -25,6 +25,8 @@ SLOTS = 1 << 16
 STEPS = 4
 # Fewer words than this can only match an equal set.
 LEAST = 4
+# More than the words of any line; a text of Spark holds fewer.
+MOST = 1 << 31
 # Bits of the table of lines that have a candidate.
 TABLE_BITS = 1 << 18
 
@@ -46,7 +48,7 @@ def _slot(word: Column) -> Column:
 
 def word_order(lines: DataFrame) -> bytearray:
     """Per slot a step of its count, 0 to 127, from all lines: ``STEPS`` times the binary logarithm."""
-    counts = lines.select(F.explode("words").alias("word")).groupBy(_slot(F.col("word")).alias("slot")).agg(F.count("*").alias("n"))
+    counts = lines.select(F.explode(F.transform("words", lambda w: _slot(w))).alias("slot")).groupBy("slot").agg(F.count("*").alias("n"))
     table = bytearray(SLOTS)
     for slot, step in counts.select("slot", F.least(F.lit(127), F.floor(F.log2("n") * STEPS)).cast("int")).collect():  # SLOTS rows at most
         table[slot] = step
@@ -67,20 +69,26 @@ def _prefix_size(size: Column) -> Column:
 
 
 def _set_id(words: Column) -> Column:
-    return F.unhex(F.md5(F.array_join(F.array_sort(words), " ").cast("binary")))
+    return F.unhex(F.md5(F.array_join(F.sort_array(words), " ").cast("binary")))
 
 
 def _entries(sets: DataFrame) -> DataFrame:
-    """One row per distinct set and prefix word: ``(word, at, node, size)``."""
-    return sets.select("node", "size", F.posexplode("prefix").alias("at", "word")).distinct()
+    """One row per set and prefix word, already dealt by the word: ``(word, node, place)``.
+
+    ``place`` packs the set's size and the word's position in it, so that the rows that are shuffled
+    hold three numbers.
+    """
+    rows = sets.select("node", "size", F.posexplode("prefix").alias("at", "word"))
+    return rows.select("word", "node", (F.col("size") * MOST + F.col("at")).cast("long").alias("place"))
 
 
 def candidates(entries: DataFrame) -> DataFrame:
     """Distinct pairs ``(a, b)`` of sets that pass the prefix, positional and length filters."""
-    left, right = (entries.select("word", *[F.col(c).alias(f"{c}_{side}") for c in ("at", "node", "size")]) for side in ("a", "b"))
-    follow = 1 + F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b")) - 1
-    shared = (NUM + DEN) * follow >= NUM * (F.col("size_a") + F.col("size_b"))
-    lengths = DEN * F.least("size_a", "size_b") >= NUM * F.greatest("size_a", "size_b")
+    left, right = (entries.select("word", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "place")]) for side in ("a", "b"))
+    (size_a, at_a), (size_b, at_b) = ((F.expr(f"place_{s} div {MOST}"), F.expr(f"place_{s} % {MOST}")) for s in ("a", "b"))
+    follow = F.least(size_a - at_a, size_b - at_b)
+    shared = (NUM + DEN) * follow >= NUM * (size_a + size_b)
+    lengths = DEN * F.least(size_a, size_b) >= NUM * F.greatest(size_a, size_b)
     pairs = left.join(right, "word").filter((F.col("node_a") < F.col("node_b")) & lengths & shared)
     return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
@@ -100,21 +108,27 @@ def similar_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -
     size = F.size("words")
     ranks = F.sort_array(F.transform("words", lambda w: _rank(w, table)))
     prefix = F.when(size >= LEAST, F.slice(ranks, 1, _prefix_size(size)))
-    sets = lines.select("id", "content", "line", _set_id(F.col("words")).alias("node"), size.alias("size"), prefix.alias("prefix"))
-    sets = written(sets, "lines")
-    pairs = written(candidates(_entries(sets.filter("prefix IS NOT NULL"))), "line-pairs")
+    placed = written(lines.select("id", "content", "line", _set_id(F.col("words")).alias("set"), size.alias("size")), "lines")
+    sets = lines.filter(size >= LEAST).select(_set_id(F.col("words")).alias("set"), size.alias("size"), prefix.alias("prefix"))
+    sets = sets.groupBy("set").agg(F.first("size").alias("size"), F.first("prefix").alias("prefix"))
+    # short numbers in place of the sets' hashes; written once, so that they stay the same
+    sets = written(sets.withColumn("node", F.monotonically_increasing_id()), "line-sets")
+    pairs = written(candidates(_entries(sets)), "line-pairs")
     # the words of the sets that have a candidate, found by a bit table of fixed size, then exactly
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(TABLE_BITS))
-    marks = bytearray(TABLE_BITS // 8)
-    for place, bits in wanted.groupBy(F.floor(slot("node") / 8).cast("int").alias("place")).agg(F.bit_or(F.expr(f"shiftleft(1, cast(pmod(xxhash64(node), {TABLE_BITS}) % 7 as int))"))).collect():
-        marks[place] = bits  # TABLE_BITS / 8 rows at most; 7 bits of each byte are used, so that it is an ASCII character
-    byte = F.ascii(F.substring(F.lit(bytes(marks)), F.floor(slot("node") / 8).cast("int") + 1, F.lit(1)).cast("string"))
-    marked = byte.bitwiseAND(F.expr(f"shiftleft(1, cast(pmod(xxhash64(node), {TABLE_BITS}) % 7 as int))")) != 0
-    words = lines.filter(size >= LEAST).select(_set_id(F.col("words")).alias("node"), F.transform("words", lambda w: F.xxhash64(w)).alias("words")).filter(marked)
-    words = words.join(wanted, "node", "left_semi").groupBy("node").agg(F.first(F.sort_array("words")).alias("words"))
-    links = written(verify(pairs, written(words, "line-words")), "line-links")
-    return sets.drop("prefix"), links
+    wanted = written(sets.select("set", "node").join(wanted, "node", "left_semi"), "line-wanted")
+    byte, bit = F.expr(f"cast(pmod(xxhash64(set), {TABLE_BITS}) div 7 as int)"), F.expr(f"shiftleft(1, cast(pmod(xxhash64(set), {TABLE_BITS}) % 7 as int))")
+    marks = bytearray(TABLE_BITS // 7 + 1)  # seven bits of each byte, so that it is an ASCII character
+    for place, bits in wanted.groupBy(byte.alias("place")).agg(F.bit_or(bit)).collect():  # at most as many rows as the table has bytes
+        marks[place] = bits
+    marked = F.ascii(F.substring(F.lit(bytes(marks)), byte + 1, F.lit(1)).cast("string")).bitwiseAND(bit) != 0
+    words = lines.filter(size >= LEAST).select(_set_id(F.col("words")).alias("set"), F.transform("words", lambda w: F.xxhash64(w)).alias("words")).filter(marked)
+    words = words.join(wanted, "set").groupBy("node").agg(F.first(F.sort_array("words")).alias("words"))
+    links = verify(pairs, written(words, "line-words"))
+    # back to the sets' hashes
+    for side in ("a", "b"):
+        links = links.join(wanted.select(F.col("node").alias(side), F.col("set").alias(f"set_{side}")), side)
+    return placed.withColumnRenamed("set", "node"), written(links.select(F.col("set_a").alias("a"), F.col("set_b").alias("b")), "line-links")
 
 
 def judged_lines(lines: DataFrame, links: DataFrame) -> DataFrame:
@@ -150,7 +164,7 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -
     judged = judged_lines(lines, links).groupBy("id", "content", "line").agg(
         F.count("*").alias("copies"), *[F.max(c).alias(c) for c in ("size", "removed", "links", "origin")]
     )
-    gone = F.array_sort(F.collect_list(F.when(F.col("removed"), F.col("line"))))
+    gone = F.sort_array(F.collect_list(F.when(F.col("removed"), F.col("line"))))
     each = judged.groupBy("id", "content").agg(
         F.max("copies").alias("copies"),
         F.count_if(F.col("size") > 0).alias("n_lines"),
