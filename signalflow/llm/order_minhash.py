@@ -6,9 +6,11 @@ share it with a probability that follows their edit similarity. Texts that share
 candidates. A candidate pair is a link when an alignment of the two shingle sequences matches enough:
 matched / (all of both - matched) >= 0.8.
 
-Equal texts are one node. Within a bucket of equal sketches nodes are compared with pivots, in rounds
-of more and more pivots, until all members lie in one component or every pair has been compared: big
-families need few pairs per member, and no pair of a bucket is left out.
+Equal texts are one node. The members of a bucket are compared with a pivot, the member whose sketches
+are shared most: in a family of copies that is the text they were made from, or a copy close to it. In
+further rounds the buckets whose members don't all lie in one component get their next pivots, as long as
+that pays: until fewer than one in 200 of the pairs of a round are links. The work of a round is linear in
+the members, however large a family is.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ SIMILARITY = 0.8
 # Sketches per text, and shingles in each. Texts at the threshold share a sketch with a probability of
 # about 0.5, so that 16 sketches miss one such pair in 65,000.
 SKETCHES, PICKED = 16, 3
-# Pivots of a bucket in the first round, and the factor for the next.
-PIVOTS, MORE = 2, 8
+# Rounds of pivots go on while at least this share of the pairs they compare are links.
+LEAST_YIELD = 0.005
 SEED = 0x5EED
 
 _WORD = re.compile(r"\w+")
@@ -183,8 +185,10 @@ def linked_nodes(docs: DataFrame, table: DataFrame, id_col: str, text: str, thre
     nodes = table.filter("node IS NOT NULL").groupBy("node").agg(F.min("size").alias("size"), F.min("sketches").alias("sketches"))
     entries = nodes.select("node", "size", F.explode("sketches").alias("bucket"))
     crowded = entries.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
-    draw = F.pmod(F.xxhash64("bucket", "node"), F.lit(1 << 40)) * F.col("members") / (1 << 40)
-    entries = written(entries.join(crowded, "bucket").withColumn("draw", draw), "near-buckets")
+    entries = written(entries.join(crowded, "bucket"), "near-entries")
+    # the text that others were copied from has its sketches in the fullest buckets
+    popular = entries.groupBy("node").agg(F.sum("members").alias("popular"))
+    entries = written(entries.join(popular, "node").select("bucket", "node", "size", "popular"), "near-buckets")
     # the text of one row of each node that has a candidate: equal words align alike
     one = F.min(F.struct("id", "content")).alias("one")
     wanted = table.join(entries.select("node").distinct(), "node", "left_semi").groupBy("node").agg(one).select("node", "one.*")
@@ -192,35 +196,34 @@ def linked_nodes(docs: DataFrame, table: DataFrame, id_col: str, text: str, thre
     same = (rows["content"] == wanted["content"]) & rows["id"].eqNullSafe(wanted["id"])
     texts = written(rows.join(wanted, same).select("node", "text"), "near-texts")
 
-    largest = entries.agg(F.max("members")).first()[0] or 0
-    tested, found, low, high = None, None, 0, PIVOTS
-    while low < largest:
-        live = entries.withColumn("component", F.col("node"))
-        if found is not None:
-            live = entries.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            mixed = live.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.max("members").alias("of"))
-            mixed = mixed.filter((F.col("least") < F.col("most")) & (F.col("of") > low)).select("bucket")
-            live = written(live.join(mixed, "bucket", "left_semi"), "near-live")
-            if live.isEmpty():
-                break
-        pairs = _pairs(live, low, high, threshold)
+    live, used, tested, found = entries.withColumn("component", F.col("node")), None, None, None
+    while True:
+        pivots = live if used is None else live.join(used, ["bucket", "node"], "left_anti")
+        first = F.max(F.struct("popular", "node", "size", "component")).alias("pivot")
+        pivots = written(pivots.groupBy("bucket").agg(first).select("bucket", "pivot"), "near-pivots")
+        pairs = _pairs(live, pivots, threshold)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         outcome = written(_verified(pairs, texts, threshold), "near-pairs")
+        compared = outcome.agg(F.count("*").alias("pairs"), F.count_if("linked").alias("links")).first()
         tested = outcome if tested is None else tested.union(outcome)
-        found = written(components(tested.filter("linked"), "near"), "near-components")
-        low, high = high, high * MORE
-    return found if found is not None else nodes.limit(0).select("node", F.col("node").alias("component"))
+        if compared.links or found is None:
+            found = written(components(tested.filter("linked"), "near"), "near-components")
+        if compared.links <= LEAST_YIELD * compared.pairs:
+            return found
+        # go on in the buckets whose members aren't all in one component
+        live = entries.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        mixed = live.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+        live = written(live.join(mixed.filter("least < most").select("bucket"), "bucket", "left_semi"), "near-live")
+        spent = pivots.select("bucket", F.col("pivot.node").alias("node"))
+        used = spent if used is None else used.union(spent)
 
 
-def _pairs(live: DataFrame, low: int, high: int, threshold: float) -> DataFrame:
-    """Distinct pairs of a pivot and a member that comes after it in its bucket and isn't known to belong to it."""
-    pivots = live.filter((F.col("draw") >= low) & (F.col("draw") < high))
-    pivots = pivots.select("bucket", *[F.col(c).alias(f"pivot_{c}") for c in ("node", "size", "draw", "component")])
-    later = (F.col("draw") > F.col("pivot_draw")) | ((F.col("draw") == F.col("pivot_draw")) & (F.col("node") > F.col("pivot_node")))
-    near_size = F.least("size", "pivot_size") >= F.greatest("size", "pivot_size") * threshold - 1e-9
-    both = live.join(pivots, "bucket").filter(later & near_size & (F.col("component") != F.col("pivot_component")))
-    return both.select(F.least("node", "pivot_node").alias("a"), F.greatest("node", "pivot_node").alias("b")).distinct()
+def _pairs(live: DataFrame, pivots: DataFrame, threshold: float) -> DataFrame:
+    """Distinct pairs of a bucket's pivot and its members that aren't known to belong to it."""
+    near_size = F.least(F.col("size"), F.col("pivot.size")) >= F.greatest(F.col("size"), F.col("pivot.size")) * threshold - 1e-9
+    both = live.join(pivots, "bucket").filter((F.col("component") != F.col("pivot.component")) & near_size)
+    return both.select(F.least(F.col("node"), F.col("pivot.node")).alias("a"), F.greatest(F.col("node"), F.col("pivot.node")).alias("b")).distinct()
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
@@ -233,14 +236,17 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", thresho
     table = written(sketches(docs, id_col, text), "near-sketches")
     found = linked_nodes(docs, table, id_col, text, threshold)
     alone = table.filter("node IS NULL").select("id", "content", F.col("id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept"))
-    counted = table.filter("node IS NOT NULL").groupBy("node", "id", "content").agg(F.count("*").alias("copies"))
-    placed = counted.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = written(placed, "near-classes")
+    rows = table.filter("node IS NOT NULL").select("id", "content", "node")
+    rows = written(rows.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).drop("node"), "near-classes")
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "content")).alias("first")
-    heads = placed.groupBy("component").agg(first, F.sum("copies").alias("class_size"))
-    each = placed.join(heads, "component").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    kept = (F.col("copy") == 1) & F.col("id").eqNullSafe(F.col("first.id")) & (F.col("content") == F.col("first.content"))
-    return each.select("id", "content", F.col("first.id").alias("class_id"), "class_size", kept.alias("kept")).unionByName(alone)
+    heads = rows.groupBy("component").agg(first, F.count("*").alias("class_size"))
+    each = rows.join(heads, "component").select("id", "content", F.col("first.id").alias("class_id"), "class_size", "first")
+    is_head = F.col("id").eqNullSafe(F.col("class_id")) & (F.col("content") == F.col("first.content"))
+    others = each.filter(~is_head).select("id", "content", "class_id", "class_size", F.lit(False).alias("kept"))
+    # rows that repeat the head: one of them stays
+    head = each.filter(is_head).groupBy("id", "content", "class_id", "class_size").agg(F.count("*").alias("copies"))
+    head = head.withColumn("kept", F.explode(F.transform(F.sequence(F.lit(1), F.col("copies").cast("int")), lambda i: i == 1))).drop("copies")
+    return others.unionByName(head).unionByName(alone)
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
