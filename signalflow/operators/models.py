@@ -19,6 +19,8 @@ from signalflow.config import ForecastSpec
 from signalflow.functions.rates import scaled_target
 from signalflow.session import written
 
+# Boosted trees hold rows back to stop early only above this many, as the histogram booster's automatic mode does.
+EARLY_STOP_ROWS = 10_000
 KINDS = ("gbt", "gbt_restricted", "gamma", "ridge")
 
 

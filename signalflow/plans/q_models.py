@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
 from signalflow.config import ForecastSpec
@@ -21,7 +19,7 @@ from signalflow.session import written
 # one feature and its lag: small enough that SQL can solve the same regression
 RIDGE = ForecastSpec(lags=1, horizon=1, normalize=False, n_splits=42, max_train=200)
 RIDGE_FEATURES = ("norm_post_count", "norm_post_count_lag1")
-TREES = ForecastSpec(lags=2, horizon=1, normalize=False, n_splits=4, max_train=200, drop=("ili_incidence",))
+TREES = ForecastSpec(lags=2, horizon=1, normalize=False, n_splits=42, max_train=200, drop=("ili_incidence",))
 TREE_PARAMS = {"maxIter": 10}
 
 
@@ -123,17 +121,19 @@ def gbt_cv(spark, sf):
 def gbt_metrics(spark, sf):
     rows, names = tree_frame(spark, sf)
     flagged = models.early_stop_flag(rows, ("country_code", "date"))
-    params = {**TREE_PARAMS, "validationIndicatorCol": "is_validation"}
-    fitted = models.fit(flagged, names, models.estimator("gbt", **params))
+    if rows.count() > models.EARLY_STOP_ROWS:
+        estimator = models.estimator("gbt", **TREE_PARAMS, validationIndicatorCol="is_validation")
+    else:
+        estimator = models.estimator("gbt", **TREE_PARAMS)
+    fitted = models.fit(flagged, names, estimator)
     return regression_scores(models.predict(flagged, names, fitted), ("is_validation",))
 
 
 @query("gamma_metrics")
 def gamma_metrics(spark, sf):
     rows, names = tree_frame(spark, sf)
-    small = [n for n in names if n.startswith(("norm_post_count", "grippe_posts"))]
-    fitted = models.fit(rows.filter("y > 0"), small, models.estimator("gamma"))
-    return regression_scores(models.predict(rows, small, fitted), BY)
+    fitted = models.fit(rows.filter("y > 0"), names, models.estimator("gamma", regParam=0.01))
+    return regression_scores(models.predict(rows, names, fitted), BY)
 
 
 @query(
@@ -165,7 +165,7 @@ def train_test_predictions(spark, sf):
 def tree_importance(spark, sf):
     rows, names = tree_frame(spark, sf)
     fitted = models.fit(rows, names, models.estimator("gbt_restricted", **TREE_PARAMS))
-    return imp.permutation_importance(fitted, rows, names, ("country_code", "date"), repeats=5), names
+    return imp.permutation_importance(fitted, rows, names, ("country_code", "date"), repeats=25), names
 
 
 @query("permutation_importance")
@@ -188,6 +188,5 @@ def importance_long_table(spark, sf):
 def forecast_job(spark, sf):
     """The whole job with boosted trees on a split: its result table on the date axis."""
     frame = full_signal(spark, sf)
-    spec = replace(TREES, n_splits=2)
-    run = run_forecast(frame, BY, spec, "gbt_restricted", lang="F", split="2000-08-01", repeats=2, maxIter=5)
+    run = run_forecast(frame, BY, TREES, "gbt_restricted", lang="F", split="2000-08-01", repeats=25, **TREE_PARAMS)
     return run.result

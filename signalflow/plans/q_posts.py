@@ -12,7 +12,7 @@ from signalflow.operators.features import without_ends, without_open_week
 from signalflow.plans import signals
 from signalflow.plans.q_signals import signal, weekly
 from signalflow.plans.registry import query
-from signalflow.plans.standins import CAL, POST_SPEC, SPEC, cases, counts, hints, posts, table, with_ctes
+from signalflow.plans.standins import CAL, POST_SPEC, SPEC, cases, counts, event_posts, hints, posts, table, with_ctes
 from signalflow.session import scratch_path
 from signalflow.sources import sinks
 from signalflow.sources.flatten import child_rows, flatten_struct
@@ -276,6 +276,38 @@ def rules(spark, sf):
     return hint_rows(found).withColumn("symptoms", F.lower("symptoms"))
 
 
+NEAR = Lexicon(LEXICON.first_person, LEXICON.fever, LEXICON.respiratory, LEXICON.systemic, others=("with", "en", "sich"), subject=("the", "que"))
+
+
+@query(
+    "rule_annotation_others",
+    with_ctes(
+        "posts",
+        f""", w AS (SELECT conv_id || '/' || turn AS uri, {_WORDS.format("text")} AS ws FROM conversations)
+SELECT uri, coalesce(list_has_any(ws, ['que', 'der', 'the']) AND list_has_any(ws, ['le', 'die', 'and']) AND list_has_any(ws, ['la', 'und', 'is'])
+         AND list_has_any(ws, ['un', 'in', 'of', 'du']) AND (NOT list_has_any(ws, ['with', 'en', 'sich']) OR list_has_any(ws, ['the', 'que'])), false) AS ili_related
+FROM w""",
+    ),
+)
+def rules_about_others(spark, sf):
+    """Turns of conversations: the illness of somebody near counts only if the writer is a subject too."""
+    turns = table(spark, sf, "conversations").select(F.concat_ws("/", "conv_id", "turn").alias("uri"), F.col("text").alias("record__text"))
+    return rule_annotation(turns, lexicon=NEAR).select("uri", "ili_related")
+
+
+@query(
+    "stored_posts_by_keyword",
+    with_ctes("event_posts", "SELECT keyword, count(DISTINCT k)::BIGINT AS uris, max(event_time) AS newest FROM event_posts GROUP BY 1"),
+)
+def stored_posts_by_keyword(spark, sf):
+    """Posts merged in two batches: one that several keywords found is kept for each, in its latest version."""
+    path = scratch_path(spark, "posts")
+    versions = event_posts(spark, sf).select("keyword", F.col("k").cast("string").alias("uri"), "event_time")
+    for batch in (versions.filter("minute(event_time) < 40"), versions.filter("minute(event_time) >= 20")):
+        sinks.upsert_posts(spark, path, batch, "event_time", buckets=4)
+    return spark.read.parquet(path).groupBy("keyword").agg(F.count("uri").alias("uris"), F.max("event_time").alias("newest"))
+
+
 def _length_rule(text: str) -> dict:
     if len(text) > 10_000:
         raise ValueError("too long")

@@ -238,7 +238,7 @@ def text_corpus_from_csv(spark, sf):
     with_ctes(
         "posts",
         """SELECT date_trunc('week', record__created_at)::DATE AS iso_weekstartdate, keyword AS token, count(*)::BIGINT AS cnt
-FROM posts WHERE keyword IN ('src0', 'src1', 'src2') GROUP BY ALL""",
+FROM posts GROUP BY ALL""",
     ),
 )
 def weekly_tokens_csv(spark, sf):
@@ -247,6 +247,6 @@ def weekly_tokens_csv(spark, sf):
         F.count(F.lit(1)).alias("cnt")
     )
     path = scratch_path(spark, "wide")
-    sinks.export_csv(token_ops.wide_tokens(long, ("src0", "src1", "src2")), path, single_file=True)
+    sinks.export_csv(token_ops.wide_tokens(long), path, single_file=True)
     out = tables.long_weekly_tokens(tables.read_weekly_tokens(spark, path))
     return out.withColumn("cnt", F.col("cnt").cast("bigint"))

@@ -63,6 +63,26 @@ def stream_upsert(spark, sf):
     return spark.read.parquet(path).drop("post_bucket")
 
 
+@query(
+    "stream_late_rows",
+    with_ctes(
+        "event_posts",
+        """, t AS (SELECT event_time, keyword, k % 3 AS part, (SELECT max(event_time) FROM event_posts WHERE k % 3 = 0) - INTERVAL 1 DAY AS mark FROM event_posts)
+SELECT event_time::DATE AS period_start, keyword AS query, count(*)::BIGINT AS post_count
+FROM t WHERE part < 2 OR event_time::DATE + INTERVAL 1 DAY > mark GROUP BY ALL""",
+    ),
+)
+def stream_late_rows(spark, sf):
+    """A third of the posts comes when all but the last days lie behind the watermark, and only those of these days count."""
+    path, store = scratch_path(spark, "landed"), scratch_path(spark, "counts")
+    posts = event_posts(spark, sf)
+    for part in range(3):
+        posts.filter(F.col("k") % 3 == part).coalesce(1).write.mode("append").parquet(path)
+    landed = spark.readStream.schema(posts.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    stream.stream_counts(landed, store, scratch_path(spark, "ckpt"), lateness="1 day")
+    return spark.read.parquet(store).groupBy("period_start", "query").agg(F.sum("post_count").alias("post_count"))
+
+
 @query("stream_dedup", with_ctes("event_posts", "SELECT DISTINCT keyword || '/' || k AS uri FROM event_posts"))
 def stream_dedup(spark, sf):
     path = scratch_path(spark, "posts")

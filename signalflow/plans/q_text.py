@@ -10,6 +10,7 @@ from signalflow.plans import signals
 from signalflow.plans.q_signals import signal
 from signalflow.plans.registry import query
 from signalflow.plans.standins import posts, with_ctes
+from signalflow.session import scratch_path
 
 STOP = ("the", "and", "of", "is", "le", "la", "les", "un", "une", "der", "die", "und", "de", "que", "el")
 STOP_SQL = ", ".join(f"'{w}'" for w in STOP)
@@ -112,15 +113,14 @@ def vocabulary(spark, sf):
     "vectorizer_weekly_counts",
     with_ctes(
         "posts",
-        f""", {_TOKENS},
-v AS (SELECT token FROM tokens GROUP BY token HAVING count(DISTINCT uri) >= 0.2 * (SELECT count(*) FROM posts))
-SELECT * FROM weekly_tokens WHERE token IN (SELECT token FROM v)""",
+        f""", {_TOKENS} SELECT * FROM weekly_tokens""",
     ),
 )
 def vectorizer_weekly_counts(spark, sf):
     tokenized = ops.token_arrays(posts(spark, sf), stop=STOP)
-    model = ops.fit_vectorizer(tokenized, minDF=0.2)
-    return ops.weekly_vectors(tokenized, model)
+    path = scratch_path(spark, "vectorizer")
+    ops.save_vectorizer(ops.fit_vectorizer(tokenized), path)
+    return ops.weekly_vectors(tokenized, ops.load_vectorizer(path))
 
 
 @query(

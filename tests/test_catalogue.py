@@ -12,6 +12,7 @@ SF = f"{check.DATA}/sf0.001"
 NAMES = (
     "signal_weekly", "signal_daily", "incidence_weekly_gapfilled", "daily_counts", "weekly_counts_by_group", "posts_union_distinct",
     "posts_pending", "weekly_token_counts", "rule_annotation", "supervised_frame", "ts_folds", "mmwr_week", "read_post_pages",
+    "stored_posts_by_keyword", "rule_annotation_others", "vectorizer_weekly_counts",
 )
 
 
