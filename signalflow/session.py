@@ -43,7 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
         return base
     if sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     base = tempfile.mkdtemp(prefix="signalflow-")
     sc.setCheckpointDir(base)

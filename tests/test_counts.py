@@ -59,7 +59,7 @@ def test_exact_language(fact, rows):
 
 
 def test_specs_in_one_job_equal_single_jobs(fact, rows):
-    both = ops.group_counts_for_specs(fact, (FRANCE, GERMANY))
+    both = ops.group_counts_for_specs(fact, (FRANCE, GERMANY), names=("grippe_posts", "rest_posts"))
     for spec in (FRANCE, GERMANY):
         mine = both.filter(F.col("series_id") == spec.series_id)
         assert rows(mine, "date", "grippe_posts", "rest_posts") == rows(
