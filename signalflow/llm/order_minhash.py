@@ -10,7 +10,8 @@ Equal texts are one node. The members of a bucket are compared with a pivot, the
 are shared most: in a family of copies that is the text they were made from, or a copy close to it. In
 further rounds the buckets whose members don't all lie in one component get their next pivots, as long as
 that pays: until fewer than one in 200 of the pairs of a round are links. The work of a round is linear in
-the members, however large a family is.
+the members, however large a family is. Of the pairs that are left then those that can't be links are
+excluded exactly, by the shingles that both texts hold, and all others are aligned.
 """
 
 from __future__ import annotations
@@ -31,8 +32,10 @@ SIMILARITY = 0.8
 # Sketches per text, and shingles in each. Texts at the threshold share a sketch with a probability of
 # about 0.5, so that 16 sketches miss one such pair in 65,000.
 SKETCHES, PICKED = 16, 3
-# Rounds of pivots go on while at least this share of the pairs they compare are links.
+# Rounds of pivots go on while at least this share of the pairs they compare are links, then the rest of the pairs is
+# taken at once. Exclusions of texts go on while they drop at least this share of them. Neither changes the outcome.
 LEAST_YIELD = 0.005
+LEAST_DROP = 0.05
 SEED = 0x5EED
 
 _WORD = re.compile(r"\w+")
@@ -82,7 +85,8 @@ def _labelled(s: np.ndarray) -> np.ndarray:
     index = np.arange(len(s))
     earlier = np.empty(len(s), np.uint64)
     earlier[order] = index - np.maximum.accumulate(np.where(new, index, 0))
-    return _mix(s + earlier * np.uint64(0xD6E8FEB86659FD93))
+    # the first of equal shingles is labelled as in a text that holds it once
+    return np.where(earlier == 0, s, _mix(s + earlier * np.uint64(0xD6E8FEB86659FD93)))
 
 
 _SEEDS = _mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(SEED))
@@ -209,14 +213,66 @@ def linked_nodes(docs: DataFrame, table: DataFrame, id_col: str, text: str, thre
         tested = outcome if tested is None else tested.union(outcome)
         if compared.links or found is None:
             found = written(components(tested.filter("linked"), "near"), "near-components")
+        live = written(_mixed(entries.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))), "near-live")
         if compared.links <= LEAST_YIELD * compared.pairs:
-            return found
-        # go on in the buckets whose members aren't all in one component
-        live = entries.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = live.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-        live = written(live.join(mixed.filter("least < most").select("bucket"), "bucket", "left_semi"), "near-live")
+            break
         spent = pivots.select("bucket", F.col("pivot.node").alias("node"))
         used = spent if used is None else used.union(spent)
+    rest = _rest(live, texts, threshold)
+    if rest is None:
+        return found
+    outcome = written(_verified(rest.join(tested, ["a", "b"], "left_anti"), texts, threshold), "near-rest")
+    if outcome.filter("linked").isEmpty():
+        return found
+    return written(components(tested.union(outcome).filter("linked"), "near"), "near-components")
+
+
+def _mixed(live: DataFrame) -> DataFrame:
+    """The rows of buckets whose members aren't all in one component."""
+    mixed = live.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    return live.join(mixed.filter("least < most").select("bucket"), "bucket", "left_semi")
+
+
+def _rest(live: DataFrame, texts: DataFrame, threshold: float) -> DataFrame | None:
+    """Distinct pairs of ``live`` nodes of one bucket and two components, without those that can't be links.
+
+    Both texts of a link hold at least the threshold's share of their shingles in common, equal ones counted.
+    So a text of which fewer occur in any other component has no link to one, and drops out; then others
+    may follow. Of the texts that stay, the members of a bucket's largest component meet only its other
+    members, and a pair is made if the shingles both hold are enough for a link in any order.
+    """
+
+    def compute(batch):
+        return {"shingles": [_labelled(shingles(words_of(t))).view(np.int64).tolist() for t in batch.column("text").to_pylist()]}
+
+    bags = texts.join(live.select("node").distinct(), "node", "left_semi")
+    bags = written(map_batches(bags, compute, [StructField("shingles", ArrayType(LongType()))]).select("node", "shingles"), "near-bags")
+    least = F.ceil(F.col("size") * threshold - 1e-9)
+    while True:
+        nodes = written(live.select("node", "size", "component").distinct(), "near-left")
+        each = bags.join(nodes, "node").withColumn("shingle", F.explode("shingles")).drop("shingles")
+        held = each.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        shared = each.join(held.filter("low < high").select("shingle"), "shingle")
+        shared = shared.groupBy("node", "size").agg(F.collect_list("shingle").alias("shared"))
+        shared = written(shared.filter(F.size("shared") >= least).drop("size"), "near-shared")
+        before, after = nodes.count(), shared.count()
+        if not after:
+            return None
+        if before - after < LEAST_DROP * before:
+            break
+        live = written(_mixed(live.join(shared.select("node"), "node", "left_semi")), "near-live")
+    live = live.select("bucket", "node", "size", "component").join(shared, "node")
+    parts = live.groupBy("bucket", "component").agg(F.count("*").alias("members"))
+    largest = parts.groupBy("bucket").agg(F.max(F.struct("members", "component"))["component"].alias("largest"))
+    one, two = (live.select("bucket", *[F.col(c).alias(f"{c}_{n}") for c in live.columns if c != "bucket"]) for n in ("a", "b"))
+    both = one.join(largest, "bucket").filter("component_a <> largest").join(two, "bucket").filter("component_a <> component_b")
+    both = both.filter((F.col("component_b") == F.col("largest")) | (F.col("node_a") < F.col("node_b")))
+    near_size = F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * threshold - 1e-9
+    # matched / (all - matched) reaches the threshold from so many matches on
+    needed = ((F.col("size_a") + F.col("size_b")) * threshold - 1e-6) / (1 + threshold)
+    both = both.filter(near_size & (F.least(F.size("shared_a"), F.size("shared_b")) >= needed))
+    both = both.filter(F.size(F.array_intersect("shared_a", "shared_b")) >= needed)
+    return both.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
 def _pairs(live: DataFrame, pivots: DataFrame, threshold: float) -> DataFrame:
