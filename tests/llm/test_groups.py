@@ -103,29 +103,6 @@ def test_near_rows_nulls_and_repeats(spark):
     assert order_minhash.near_classes(frame(spark, [])).count() == 0
 
 
-def pairs_in_a_family_of_low_yield(pairs=60, others=900):
-    """Texts with two changes each against one that isn't there: unlike but for the pairs (2i, 2i + 1), which share the crowded buckets."""
-    rng = random.Random(11)
-    words = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
-    base, rows = words(200), []
-    for i in range(pairs + others):
-        text = list(base)
-        for at in (rng.randrange(5, 95), rng.randrange(100, 190)):
-            text[at : at + 2] = words(2)
-        rows.append((2 * i, " ".join(text)))
-        if i < pairs:
-            rows.append((2 * i + 1, " ".join(text[:198] + words(2))))
-    return rows, pairs
-
-
-def test_links_in_a_large_family_of_low_yield(spark):
-    rows, pairs = pairs_in_a_family_of_low_yield()
-    texts = dict(rows)
-    assert order_minhash.similar(texts[0], texts[1]) and not order_minhash.similar(texts[0], texts[2])
-    got = {r.doc_id: r.class_id for r in order_minhash.near_classes(frame(spark, rows)).collect()}
-    assert [i for i in range(pairs) if got[2 * i] != got[2 * i + 1]] == []
-
-
 def test_sketches_of_a_text_with_and_without_a_repeat():
     words = [f"w{i}" for i in range(100)]
     assert set(order_minhash.sketch(words)) & set(order_minhash.sketch(words + words[50:57]))
