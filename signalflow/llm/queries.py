@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from signalflow.llm import bpe, exact_dedup, html_extract, line_join, mixing, order_minhash, quality, secrets, separator_scan, sharding
+from signalflow.llm import alignment, bpe, exact_dedup, html_extract, line_join, mixing, order_minhash, quality, secrets, separator_scan, sharding
 from signalflow.llm.common import documents
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -61,8 +61,17 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(documents(spark, sf_dir), VOCABULARY, public_tokenizers.PATTERN)
 
 
+# the two tokenizers that are aligned
+ALIGN_A, ALIGN_B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op12_fragment_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens, groups and links of two tokenizers over every whole text, and how common the links are."""
+    return alignment.align(documents(spark, sf_dir), ALIGN_A, ALIGN_B)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_html_suffix_array, op2_secret_scan, op3_separator_scan, op4_line_join, op5_mix_to_weights, op6_quality_rules, op7_exact_dedup, op8_order_minhash, op9_feistel_shards, op10_byte_bpe)
+    f.__name__: f for f in (op1_html_suffix_array, op2_secret_scan, op3_separator_scan, op4_line_join, op5_mix_to_weights, op6_quality_rules, op7_exact_dedup, op8_order_minhash, op9_feistel_shards, op10_byte_bpe, op12_fragment_alignment)
 }
 ORACLES: dict[str, str] = {
     "op5_mix_to_weights": mixing.oracle(MIX_SHARE, MIX_EPOCHS),
