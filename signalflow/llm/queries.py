@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from signalflow.llm import alignment, bpe, exact_dedup, html_extract, line_join, mixing, order_minhash, quality, secrets, separator_scan, sharding
+from signalflow.llm import alignment, bpe, exact_dedup, html_extract, line_join, mixing, order_minhash, prefix_trie, quality, secrets, separator_scan, sharding
 from signalflow.llm.common import documents
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -70,10 +70,16 @@ def op12_fragment_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(documents(spark, sf_dir), ALIGN_A, ALIGN_B)
 
 
+def op13_double_array_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all rebuilt conversations."""
+    return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_html_suffix_array, op2_secret_scan, op3_separator_scan, op4_line_join, op5_mix_to_weights, op6_quality_rules, op7_exact_dedup, op8_order_minhash, op9_feistel_shards, op10_byte_bpe, op12_fragment_alignment)
+    f.__name__: f for f in (op1_html_suffix_array, op2_secret_scan, op3_separator_scan, op4_line_join, op5_mix_to_weights, op6_quality_rules, op7_exact_dedup, op8_order_minhash, op9_feistel_shards, op10_byte_bpe, op12_fragment_alignment, op13_double_array_trie)
 }
 ORACLES: dict[str, str] = {
     "op5_mix_to_weights": mixing.oracle(MIX_SHARE, MIX_EPOCHS),
     "op7_exact_dedup": exact_dedup.SQL,
+    "op13_double_array_trie": prefix_trie.SQL,
 }
