@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from signalflow.llm import alignment, bpe, exact_dedup, html_extract, line_join, mixing, order_minhash, prefix_trie, quality, secrets, separator_scan, sharding
+from signalflow.llm import alignment, bpe, exact_dedup, factorization, html_extract, line_join, mixing, order_minhash, prefix_trie, quality, secrets, separator_scan, sharding
 from signalflow.llm.common import documents
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -61,6 +61,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(documents(spark, sf_dir), VOCABULARY, public_tokenizers.PATTERN)
 
 
+def op11_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; the labels of a quarter of the ids are never learnt from."""
+    return factorization.quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 # the two tokenizers that are aligned
 ALIGN_A, ALIGN_B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
@@ -76,7 +81,7 @@ def op13_double_array_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_html_suffix_array, op2_secret_scan, op3_separator_scan, op4_line_join, op5_mix_to_weights, op6_quality_rules, op7_exact_dedup, op8_order_minhash, op9_feistel_shards, op10_byte_bpe, op12_fragment_alignment, op13_double_array_trie)
+    f.__name__: f for f in (op1_html_suffix_array, op2_secret_scan, op3_separator_scan, op4_line_join, op5_mix_to_weights, op6_quality_rules, op7_exact_dedup, op8_order_minhash, op9_feistel_shards, op10_byte_bpe, op11_factorization_machine, op12_fragment_alignment, op13_double_array_trie)
 }
 ORACLES: dict[str, str] = {
     "op5_mix_to_weights": mixing.oracle(MIX_SHARE, MIX_EPOCHS),
