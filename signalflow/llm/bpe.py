@@ -39,10 +39,11 @@ _LETTERS = r"A-Za-z\xAA\xB5\xBA\xC0-\xD6\xD8-\xF6\xF8-\u024F"
 _NUMBERS = r"0-9\xB2\xB3\xB9\xBC-\xBE"
 _BEYOND_LATIN = re.compile(r"[^\x00-\u024F]")
 
-# Entries a worker keeps of words, prefixes and token pairs it has met; beyond it the table starts anew. Results don't depend on it.
-KEPT_WORDS = 500_000
-KEPT_PREFIXES = 250_000
-KEPT_PAIRS = 250_000
+# Entries a worker keeps of words, prefixes and token pairs it has met while it works on a partition, of words up to
+# so many characters: some 60 MB. Beyond it a table starts anew. Results don't depend on it.
+KEPT_WORDS, KEPT_LENGTH = 150_000, 40
+KEPT_PREFIXES = 100_000
+KEPT_PAIRS = 100_000
 # Pieces up to this many bytes are encoded by recursion from the end, longer ones by the table from the start.
 SHORT = 120
 
@@ -168,12 +169,17 @@ class Vocabulary:
                 if packed is None:
                     word = words[i]
                     out[i] = packed = known.get(word) or self.encode_piece(word.encode())
-                    if len(word) <= SHORT:
+                    if len(word) <= KEPT_LENGTH:
                         if len(known) >= KEPT_WORDS:
                             known.clear()
                         known[word] = packed
         return b"".join(out)
 
+    def forget(self) -> None:
+        """Free what was kept of the words met so far."""
+        for table in (self._words, self._prefixes, self._pairs):
+            table.clear()
+
     def decode(self, packed: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, memoryview(packed).cast("I").tolist()))
 
@@ -241,7 +247,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", round_tri
         return {"token_ids": ids} | ({"decoded": [words.decode(i) for i in ids]} if round_trip else {})
 
     new = [StructField("token_ids", BinaryType())] + [StructField("decoded", BinaryType())] * round_trip
-    return map_batches(df, compute, new)
+    return map_batches(df, compute, new, lambda: vocabulary(path, pattern).forget())
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "token_ids") -> DataFrame:

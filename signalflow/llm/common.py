@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from signalflow.session import written
 
+# Rows of an Arrow batch that are worked on together: a batch of long texts is never held twice as a whole.
+ROWS_AT_ONCE = 1000
+
 # What separates words wherever an operator speaks of words: ASCII white space only.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -19,16 +22,30 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """``df`` without the columns of these names in any case, so that an operator can add its own."""
-    taken = {n.lower() for n in names}
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
+def slices(batches: Iterator[pa.RecordBatch], done: Callable[[], None] | None = None) -> Iterator[pa.RecordBatch]:
+    """Short stretches of the batches of a partition; when they end, ``done`` frees what was kept for it."""
+    try:
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                yield batch.slice(start, ROWS_AT_ONCE)
+    finally:
+        if done is not None:
+            done()
+        pa.default_memory_pool().release_unused()
+
 
+def whole_rows(df: DataFrame) -> Column:
+    """All columns of ``df`` as one, so that an operator's own columns can't clash with them; ``select("row.*")`` is the way back."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
 
-def map_batches(df: DataFrame, compute: Callable[[pa.RecordBatch], dict], new: Sequence[StructField]) -> DataFrame:
-    """Append columns that ``compute`` makes from each Arrow batch; they replace columns of the same name.
 
-    ``compute`` gets the whole batch, also columns it replaces, and returns a list for every new field.
+def map_batches(
+    df: DataFrame, compute: Callable[[pa.RecordBatch], dict], new: Sequence[StructField], done: Callable[[], None] | None = None
+) -> DataFrame:
+    """Append columns that ``compute`` makes from Arrow batches; they replace columns of the same name.
+
+    ``compute`` gets all columns of a stretch of rows, also those it replaces, and returns a list for every new
+    field. ``done`` is called at the end of a partition: a worker lives on, and must not keep what it no longer needs.
     """
     names = {f.name.lower() for f in new}
     kept = [f for f in df.schema.fields if f.name.lower() not in names]
@@ -38,7 +55,7 @@ def map_batches(df: DataFrame, compute: Callable[[pa.RecordBatch], dict], new: S
         from pyspark.sql.pandas.types import to_arrow_type
 
         types = [to_arrow_type(f.dataType) for f in new]
-        for batch in batches:
+        for batch in slices(batches, done):
             made = compute(batch)
             arrays = [batch.column(f.name) for f in kept]
             arrays += [pa.array(made[f.name], type=t) for f, t in zip(new, types)]

@@ -8,6 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from signalflow.llm.common import whole_rows
 from signalflow.session import written
 
 PREFIX_CHARS = 256
@@ -82,17 +83,29 @@ def refine(docs: DataFrame, id_col: str = "doc_id", text: str = "text", carry: M
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    digest = F.sha2(lower_ascii(F.col(text)), 256)
-    verdict = refine(docs, id_col, text, {"sha": digest}).filter("kept").select(F.col("id").alias("kept_id"), F.col("sha").alias("kept_sha"))
-    row = docs.withColumn("row_sha", digest)
-    stay = row.join(verdict, row[id_col].eqNullSafe(verdict["kept_id"]) & (F.col("row_sha") == F.col("kept_sha")), "left_semi")
-    # rows with the same id and text: the least of them by all columns
-    stay = stay.withColumn("same", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
-    repeated = docs.groupBy(id_col).agg(F.count("*").alias("n")).filter("n > 1")
+    """The rows of ``docs`` that stay, with all their columns, whatever their names; the rules are those of :func:`refine`.
+
+    Only rows whose length and prefix have a partner are hashed whole and shuffled, by id and hash; the others
+    pass through the scan. Of rows with the same id and text the least by all columns stays.
+    """
+    slot = F.pmod(F.xxhash64(_length(text), _prefix(text)), F.lit(TABLE_BITS))
+    word = F.element_at(_shared_slots(docs, text), (F.floor(slot / 64) + 1).cast("int"))
+    alike = F.getbit(word, F.pmod(slot, F.lit(64)).cast("int")) == 1
+    rows = docs.select(whole_rows(docs), F.col(f"`{id_col}`").alias("id"), F.when(alike, F.sha2(lower_ascii(F.col(f"`{text}`")), 256)).alias("digest"))
+    again = rows.filter("digest IS NOT NULL")
+    known = written(again.select("id", "digest"), "exact-known")
+    groups = known.groupBy("digest").agg(F.max("id").alias("keep_id"), F.count("*").alias("n")).filter("n > 1")
+    each = written(known.join(groups, "digest").groupBy("id", "digest", "keep_id").agg(F.count("*").alias("copies")), "exact-each")
+    heads = F.col("id").eqNullSafe(F.col("keep_id"))
+    gone = each.filter(~heads).select(F.col("id").alias("gone_id"), F.col("digest").alias("gone_digest"))
+    same = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("digest") == F.col("gone_digest"))
+    stay = again.join(gone, same, "left_anti")
+    alone = rows.filter("digest IS NULL").select("row.*")
+    repeated = each.filter(heads & (F.col("copies") > 1)).select(F.col("id").alias("gone_id"), F.col("digest").alias("gone_digest"))
     if repeated.isEmpty():
-        return stay.select(*[F.col(f"`{c}`") for c in docs.columns])
-    return stay.groupBy(id_col, "row_sha").agg(F.min("same").alias("one")).select("one.*")
+        return alone.union(stay.select("row.*"))
+    one = stay.join(repeated, same, "left_semi").groupBy("id", "digest").agg(F.min("row").alias("row"))
+    return alone.union(stay.join(repeated, same, "left_anti").select("row.*")).union(one.select("row.*"))
 
 
 def exact_classes(docs: DataFrame) -> DataFrame:

@@ -52,6 +52,10 @@ _KEPT_WORDS, _KEPT_LENGTH = 150_000, 40
 _buckets: dict[str, int] = {}
 
 
+def _forget() -> None:
+    _buckets.clear()
+
+
 def _bucket(word: str) -> int:
     known = _buckets.get(word)
     if known is None:
@@ -225,7 +229,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model:
 
 def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Append ``score``, 0 to 1, to every row; a column of that name is replaced. Texts are read whole, also NULL and empty ones."""
-    return map_batches(df, lambda batch: {"score": [model.score(t.as_py()) for t in batch.column(text)]}, [StructField("score", DoubleType())])
+    return map_batches(df, lambda batch: {"score": [model.score(t.as_py()) for t in batch.column(text)]}, [StructField("score", DoubleType())], _forget)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:

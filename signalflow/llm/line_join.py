@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from signalflow.llm.common import whole_rows
 from signalflow.session import written
 
 # The similarity as a fraction, so that all bounds are whole numbers.
@@ -182,9 +183,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     lines, links = similar_lines(docs, id_col, text)
     gone = judged_lines(lines, links).filter("removed").groupBy("id", "content").agg(F.collect_set("line").alias("gone"))
     gone = gone.withColumnsRenamed({"id": "gone_id", "content": "gone_content"})
-    rows = docs.withColumn("row_content", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    rows = rows.join(gone, rows[id_col].eqNullSafe(gone["gone_id"]) & (F.col("row_content") == F.col("gone_content")), "left")
-    numbered = F.transform(F.split(F.col(text), "\n"), lambda v, i: F.struct(v.alias("v"), i.alias("i")))
+    rows = docs.select(whole_rows(docs), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("content"))
+    rows = rows.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("content") == F.col("gone_content")), "left")
+    numbered = F.transform(F.split("text", "\n"), lambda v, i: F.struct(v.alias("v"), i.alias("i")))
     stay = F.filter(numbered, lambda p: ~F.array_contains("gone", p["i"]))
-    clean = F.when(F.col("gone").isNull(), F.col(text)).otherwise(F.array_join(F.transform(stay, lambda p: p["v"]), "\n"))
-    return rows.withColumn(text, clean).select(*[F.col(f"`{c}`") for c in docs.columns])
+    clean = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda p: p["v"]), "\n"))
+    return rows.select(*[clean.alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns])

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from signalflow.llm.common import WORD
+from signalflow.llm.common import WORD, whole_rows
 from signalflow.session import written
 
 LEVELS = ("domain", "lang", "source")
@@ -128,13 +128,12 @@ def deliver(docs: DataFrame, share: float, epochs: int) -> DataFrame:
     """The documents of the mixture with their own columns, each as often as it is delivered."""
     mixed = mix(written(narrow_rows(docs), "mix-rows"), share, epochs).filter("copies > 0")
     # equal rows of one id and text are told apart by nothing: their copies are added up
-    chosen = mixed.groupBy("id", "content").agg(F.sum("copies").alias("copies"))
-    rows = docs.withColumn("row_content", F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    chosen = mixed.groupBy("id", "content").agg(F.sum("copies").alias("copies")).withColumnsRenamed({"id": "chosen_id", "content": "chosen_content"})
+    rows = docs.select(whole_rows(docs), F.col("doc_id").alias("id"), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("content"))
     if not docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
-        rows = rows.groupBy("doc_id", "row_content").agg(F.min(F.struct(*columns)).alias("one")).select("one.*", "row_content")
-    hit = rows.join(chosen, rows["doc_id"].eqNullSafe(chosen["id"]) & (rows["row_content"] == chosen["content"]))
-    return hit.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*columns)
+        rows = rows.groupBy("id", "content").agg(F.min("row").alias("row"))
+    hit = rows.join(chosen, F.col("id").eqNullSafe(F.col("chosen_id")) & (F.col("content") == F.col("chosen_content")))
+    return hit.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")).select("row.*")
 
 
 def _level_sql(source: str, parent: str, level: str, name: str) -> str:

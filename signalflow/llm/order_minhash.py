@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StructField
 
-from signalflow.llm.common import components, map_batches
+from signalflow.llm.common import components, map_batches, whole_rows
 from signalflow.session import written
 
 SHINGLE = 5
@@ -39,10 +39,15 @@ LEAST_DROP = 0.05
 SEED = 0x5EED
 
 _WORD = re.compile(r"\w+")
-_KEPT_WORDS = 500_000
+# Word hashes a worker keeps while it works on a partition, of words up to so many characters: some 20 MB.
+_KEPT_WORDS, _KEPT_LENGTH = 150_000, 40
 _word_hash: dict[str, int] = {}
 
 
+def _forget() -> None:
+    _word_hash.clear()
+
+
 def words_of(text: str | None) -> list[str]:
     """Lower-cased runs of letters, digits and underscores."""
     return _WORD.findall(text.lower()) if text else []
@@ -63,9 +68,11 @@ def shingles(words: list[str]) -> np.ndarray:
     for w in words:
         h = _word_hash.get(w)
         if h is None:
-            if len(_word_hash) >= _KEPT_WORDS:
-                _word_hash.clear()
-            h = _word_hash[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
+            h = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
+            if len(w) <= _KEPT_LENGTH:
+                if len(_word_hash) >= _KEPT_WORDS:
+                    _word_hash.clear()
+                _word_hash[w] = h
         hashes.append(h)
     w = np.array(hashes, np.uint64)
     size = min(SHINGLE, len(w))
@@ -164,7 +171,7 @@ def sketches(docs: DataFrame, id_col: str, text: str) -> DataFrame:
         return out
 
     fields = [StructField("node", BinaryType()), StructField("size", LongType()), StructField("sketches", ArrayType(LongType()))]
-    return map_batches(_rows(docs, id_col, text), compute, fields).drop("text")
+    return map_batches(_rows(docs, id_col, text), compute, fields, _forget).drop("text")
 
 
 def _rows(docs: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -181,7 +188,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
         columns = batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()
         return {"linked": [similar(x, y, threshold) for x, y in zip(*columns)]}
 
-    return map_batches(rows, compute, [StructField("linked", BooleanType())]).select("a", "b", "linked")
+    return map_batches(rows, compute, [StructField("linked", BooleanType())], _forget).select("a", "b", "linked")
 
 
 def linked_nodes(docs: DataFrame, table: DataFrame, id_col: str, text: str, threshold: float) -> DataFrame:
@@ -246,7 +253,7 @@ def _rest(live: DataFrame, texts: DataFrame, threshold: float) -> DataFrame | No
         return {"shingles": [_labelled(shingles(words_of(t))).view(np.int64).tolist() for t in batch.column("text").to_pylist()]}
 
     bags = texts.join(live.select("node").distinct(), "node", "left_semi")
-    bags = written(map_batches(bags, compute, [StructField("shingles", ArrayType(LongType()))]).select("node", "shingles"), "near-bags")
+    bags = written(map_batches(bags, compute, [StructField("shingles", ArrayType(LongType()))], _forget).select("node", "shingles"), "near-bags")
     least = F.ceil(F.col("size") * threshold - 1e-9)
     while True:
         nodes = written(live.select("node", "size", "component").distinct(), "near-left")
@@ -308,13 +315,12 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", thresho
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
     verdict = classes(docs, id_col, text).filter("kept").select(F.col("id").alias("kept_id"), F.col("content").alias("kept_content"))
-    rows = docs.withColumn("row_content", F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
-    stay = rows.join(verdict, rows[id_col].eqNullSafe(verdict["kept_id"]) & (F.col("row_content") == F.col("kept_content")), "left_semi")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(whole_rows(docs), F.col(f"`{id_col}`").alias("id"), F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")).alias("content"))
+    stay = rows.join(verdict, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("content") == F.col("kept_content")), "left_semi")
     if docs.groupBy(id_col).agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
-        return stay.select(*columns)
+        return stay.select("row.*")
     # rows with the same id and text: the least of them by all columns
-    return stay.groupBy(id_col, "row_content").agg(F.min(F.struct(*columns)).alias("one")).select("one.*")
+    return stay.groupBy("id", "content").agg(F.min("row").alias("row")).select("row.*")
 
 
 def near_classes(docs: DataFrame) -> DataFrame:

@@ -58,6 +58,35 @@ def test_exact_rows_keep_their_columns(spark):
     assert sorted(str(r.doc_id) for r in out.collect()) == ["2", "3", "4", "6", "8"]
 
 
+# names that the stages use for columns of their own
+CLASHING = ("same", "row_sha", "row_content", "copy", "kept_id", "row", "id", "digest", "content", "kept", "gone", "chosen_id", "gone_id")
+
+
+def test_stages_leave_columns_of_any_name_alone(spark):
+    from pyspark.sql import functions as F
+
+    words = " ".join(f"word{i}" for i in range(80))
+    rows = [(1, words), (2, words.upper()), (2, words.upper()), (3, words + " and more"), (None, words + " x y"), (4, "other " + " ".join(f"term{i}" for i in range(90)))]
+    docs = frame(spark, rows).withColumns({c: F.concat(F.lit(c), F.lit(":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))) for c in CLASHING})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        found = out.collect()
+        assert found, name
+        for r in found:
+            own = "none" if r.doc_id is None else str(r.doc_id)
+            assert all(r[c] == f"{c}:{own}" for c in CLASHING), name
+    out = line_join.without_repeats(docs)
+    assert out.columns == docs.columns
+    assert all(r[c].startswith(f"{c}:") for r in out.collect() for c in CLASHING)
+
+
+def test_of_repeated_rows_one_stays(spark):
+    docs = frame(spark, [(1, "x"), (2, "X"), (2, "X"), (2, "x"), (3, "alone"), (None, None), (None, "")])
+    out = [(r.doc_id, r.text) for r in exact_dedup.drop_duplicates(docs).collect()]
+    assert len(out) == 3 and {i for i, _ in out} == {2, 3, None}
+
+
 def copies(rng, base, edits):
     words = base.split()
     for _ in range(edits):
@@ -94,6 +123,42 @@ def test_near_classes_by_brute_force(spark):
     assert all(r.class_size == sizes[r.class_id] for r in got.values())
 
 
+def test_pairs_beyond_the_pivots_are_found_exactly(spark, monkeypatch):
+    """A large family whose members are unlike beside chains of which only neighbours are alike, with one round of pivots."""
+    monkeypatch.setattr(order_minhash, "LEAST_YIELD", 1.0)
+    rng = random.Random(23)
+    core = [f"c{i}" for i in range(70)]
+    rows = [" ".join(core + [f"own{m}x{i}" for i in range(60)]) for m in range(220)]
+    for chain in range(3):
+        line = [f"l{chain}x{i}" for i in range(400)]
+        # each text moves on by a step, so that the ends of a chain share too little
+        rows += [" ".join(core[:20] + line[step * 12 : step * 12 + 150]) for step in range(12)]
+    rng.shuffle(rows)
+    hashes = [order_minhash.shingles(order_minhash.words_of(t)) for t in rows]
+    held = [set(h.tolist()) for h in hashes]
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    links = 0
+    for a in range(len(rows)):
+        for b in range(a):
+            if len(held[a] & held[b]) >= 0.6 * min(len(held[a]), len(held[b])) and order_minhash.similar(rows[a], rows[b]):
+                links += 1
+                ra, rb = root(a), root(b)
+                parent[max(ra, rb)] = min(ra, rb)
+    assert links > 30
+    rest = []
+    exact = order_minhash._rest
+    monkeypatch.setattr(order_minhash, "_rest", lambda *a: rest.append(exact(*a)) or rest[-1])
+    got = {r.doc_id: r.class_id for r in order_minhash.near_classes(frame(spark, list(enumerate(rows)))).collect()}
+    assert got == {i: root(i) for i in range(len(rows))}
+    assert rest and rest[0] is not None and rest[0].count() > 0
+
+
 def test_near_rows_nulls_and_repeats(spark):
     base = " ".join(f"w{i}" for i in range(60))
     docs = frame(spark, [(3, base), (3, base), (None, base + " more"), (4, None), (4, None), (5, base.upper())])
