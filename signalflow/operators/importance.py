@@ -8,7 +8,8 @@ from pyspark.ml import Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from signalflow.operators.models import with_vector
+from signalflow.operators.boosting import BoostedTrees
+from signalflow.operators.models import predict
 from signalflow.operators.ranks import numbered
 from signalflow.session import written
 
@@ -34,7 +35,7 @@ def _shuffled(rows: DataFrame, features: Sequence[str], repeats: int, seed: int,
 
 
 def permutation_importance(
-    fitted: Model,
+    fitted: Model | BoostedTrees,
     df: DataFrame,
     features: Sequence[str],
     key: Sequence[str],
@@ -71,8 +72,7 @@ def permutation_importance(
     )
 
     def mae(frame: DataFrame, *by: str) -> DataFrame:
-        scored = fitted.transform(with_vector(frame, features))
-        return scored.groupBy(*by).agg(F.avg(F.abs(F.col("y") - F.col("yhat"))).alias("mae"))
+        return predict(frame, features, fitted).groupBy(*by).agg(F.avg(F.abs(F.col("y") - F.col("yhat"))).alias("mae"))
 
     base = mae(rows).scalar()
     return mae(variants, "variable", "repeat").select("variable", "repeat", (F.col("mae") - base).alias("value"))
@@ -88,12 +88,13 @@ def top_variables(importance: DataFrame, n: int) -> DataFrame:
     )
 
 
-def wide_importance(importance: DataFrame, variables: Sequence[str]) -> DataFrame:
-    """One row per repeat, one column per variable."""
-    return importance.groupBy("repeat").pivot("variable", list(variables)).agg(F.first("value"))
+def wide_importance(importance: DataFrame, variables: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """One row per series and repeat, one column per variable."""
+    return importance.groupBy(*by, "repeat").pivot("variable", list(variables)).agg(F.first("value"))
 
 
-def long_importance(wide: DataFrame) -> DataFrame:
-    """``(variable, value)`` rows of the wide table."""
-    names = [c for c in wide.columns if c != "repeat"]
-    return wide.unpivot("repeat", names, "variable", "value").drop("repeat")
+def long_importance(wide: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, variable, value)`` rows of the wide table."""
+    ids = [*by, "repeat"]
+    names = [c for c in wide.columns if c not in ids]
+    return wide.unpivot(ids, names, "variable", "value").drop("repeat")

@@ -10,35 +10,26 @@ import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, LinearRegression
+from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from signalflow.config import ForecastSpec
 from signalflow.functions.rates import scaled_target
+from signalflow.operators import boosting
+from signalflow.operators.boosting import BoostedTrees, BoostSpec
 from signalflow.session import written
 
-# Boosted trees hold rows back to stop early only above this many, as the histogram booster's automatic mode does.
-EARLY_STOP_ROWS = 10_000
-KINDS = ("gbt", "gbt_restricted", "gamma", "ridge")
-
 
 def estimator(kind: str, train: DataFrame | None = None, alpha: float = 1.0, **overrides) -> Estimator:
-    """Spark ML counterpart of a model name.
+    """Spark ML estimator of a model name; boosted trees are in ``boosting``.
 
-    ``gbt`` and ``gbt_restricted`` are boosted trees (squared loss, limited by depth
-    and leaf size); ``gamma`` is a log-linear gamma regression for positive targets;
-    ``ridge`` a linear regression with the penalty ``alpha`` on the summed squared error.
+    ``gamma`` is a log-linear gamma regression for positive targets, ``ridge`` a linear regression with the penalty ``alpha`` on the summed squared error.
     Spark averages that error and works on the label divided by its deviation, so
     ``ridge`` reads the number of rows and the deviation of ``y`` from ``train``.
     """
     common = {"labelCol": "y", "predictionCol": "yhat"}
-    if kind == "gbt":
-        return GBTRegressor(**{**common, "maxDepth": 5, "stepSize": 0.1, "maxIter": 100, "minInstancesPerNode": 20, "seed": 42, **overrides})
-    if kind == "gbt_restricted":
-        settings = {"maxDepth": 3, "stepSize": 0.05, "maxIter": 100, "minInstancesPerNode": 10, "featureSubsetStrategy": "0.8", "seed": 42}
-        return GBTRegressor(**{**common, **settings, **overrides})
     if kind == "gamma":
         return GeneralizedLinearRegression(**{**common, "family": "gamma", "link": "log", **overrides})
     if kind == "ridge":
@@ -56,12 +47,6 @@ def with_vector(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
 
 
-def early_stop_flag(df: DataFrame, key: Sequence[str], fraction: float = 0.2, seed: int = 42) -> DataFrame:
-    """Mark a fixed share of rows for validation by a hash of their key (repeatable on re-run)."""
-    draw = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in key]), F.lit(10_000))
-    return df.withColumn("is_validation", draw < int(fraction * 10_000))
-
-
 def cross_validate(
     df: DataFrame,
     features: Sequence[str],
@@ -151,12 +136,17 @@ def ridge_cv(
     return rows.groupBy(*by).applyInPandas(solve, schema)
 
 
-def fit(df: DataFrame, features: Sequence[str], model: Estimator) -> Model:
+def fit(df: DataFrame, features: Sequence[str], model: Estimator | BoostSpec) -> Model | BoostedTrees:
+    """One model over all rows, a distributed fit of either kind."""
+    if isinstance(model, BoostSpec):
+        return boosting.fit(df, features, model)
     return model.fit(with_vector(df, features))
 
 
-def predict(df: DataFrame, features: Sequence[str], fitted: Model) -> DataFrame:
+def predict(df: DataFrame, features: Sequence[str], fitted: Model | BoostedTrees) -> DataFrame:
     """``df`` with the prediction column ``yhat``."""
+    if isinstance(fitted, BoostedTrees):
+        return fitted.predict(df)
     return fitted.transform(with_vector(df, features)).drop("features")
 
 

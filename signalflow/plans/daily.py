@@ -104,9 +104,29 @@ def run_daily(
     if model is None:
         return
     weekly = calendar_features(spark.read.parquet(f"{job.store}/signals/weekly"))
+    forecast_specs(weekly, job, model, spec_params or {}, model_params)
+
+
+def forecast_specs(weekly: DataFrame, job: DailyJob, model: str, spec_params: dict, model_params: dict) -> None:
+    """Forecast all specs of one kind of model in the same jobs, each with its own target, and export one table a spec.
+
+    Only what differs in its settings is a run of its own: the kind of model, whose parameters hold, and whether
+    the target is an incidence, which is forecast per 100,000.
+    """
+    alike: dict[tuple, list] = {}
     for spec in job.specs:
-        series = weekly.filter(F.col("series_id") == spec.series_id).drop("series_id")
-        run_forecast(
-            series, ("country_code",), replace(job.forecast, target=spec.target), spec.model or model, spec.lang,
-            out=f"{job.store}/results", name=spec.series_id, **(model_params if not spec.model else spec_params or {}),
-        )
+        alike.setdefault((spec.model or model, bool(spec.model), "incidence" in spec.target), []).append(spec)
+    targets = {s.target for s in job.specs}
+    by = ("series_id", "country_code")
+    for (kind, own, incidence), specs in alike.items():
+        target = "own_incidence" if incidence else "own_target"
+        series = F.col("series_id")
+        pick, lang = (F.coalesce(*[F.when(series == s.series_id, value(s)) for s in specs]) for value in (lambda s: F.col(s.target), lambda s: F.lit(s.lang)))
+        rows = weekly.filter(series.isin([s.series_id for s in specs])).withColumn(target, pick)
+        settings = replace(job.forecast, target=target, drop=tuple(sorted({*job.forecast.drop, *targets, target})))
+        run = run_forecast(rows, by, settings, kind, lang, **(spec_params if own else model_params))
+        result, importance = written(run.result, "forecast"), written(run.importance, "importance")
+        for spec in specs:
+            mine = series == spec.series_id
+            sinks.export_forecast(result.filter(mine), importance.filter(mine), f"{job.store}/results", spec.series_id)
+        sinks.replace(run.model.withColumn("kind", F.lit(kind)), f"{job.store}/models/{kind}_{target}", ("series_id",))

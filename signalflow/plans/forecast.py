@@ -6,17 +6,17 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Model
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signalflow.config import ForecastSpec
 from signalflow.operators import features as feats
 from signalflow.operators import importance as imp
-from signalflow.operators import models
+from signalflow.operators import models, series_models
 from signalflow.operators.folds import unfoldable
 from signalflow.operators.stats import error_summary, fold_errors, regression_scores
 from signalflow.session import written
-from signalflow.sources.sinks import export_forecast
+from signalflow.sources.sinks import export_forecast, replace
 
 
 @dataclass
@@ -29,7 +29,7 @@ class ForecastRun:
     scores: DataFrame
     importance: DataFrame
     result: DataFrame
-    model: Model
+    model: Model | DataFrame
 
 
 def model_columns(df: DataFrame) -> DataFrame:
@@ -46,7 +46,7 @@ def run_forecast(
     by: Sequence[str],
     spec: ForecastSpec,
     kind: str = "gbt",
-    lang: str = "",
+    lang: str | Column = "",
     split: str | None = None,
     repeats: int = 25,
     alpha: float = 1.0,
@@ -57,8 +57,9 @@ def run_forecast(
     """Fit and evaluate one model kind on a signal frame of one or many series.
 
     Cross-validates on the training rows, fits on all of them, scores train (and test
-    with ``split``), and joins the fold predictions back to the date axis. With ``out``
-    the result tables and the fitted model are stored below it.
+    with ``split``), and joins the fold predictions back to the date axis. Boosted trees and ridge have
+    a model for every series, and all series and folds are fitted in the same few jobs; ``gamma`` is one
+    model over all series. With ``out`` the result tables and the fitted models are stored below it.
     """
     base = model_columns(df).select(*by, *[c for c in df.columns if c not in by])
     base_features = [c for c in base.columns if c not in {*by, "date", *spec.drop}]
@@ -73,17 +74,20 @@ def run_forecast(
     short = unfoldable(train, by, spec.n_splits, spec.test_size, spec.gap)
     if not short.isEmpty():
         raise ValueError(f"series too short for {spec.n_splits} folds, among them: {[tuple(r) for r in short.limit(10).collect()]}")
-    estimator = models.estimator(kind, train, alpha, **model_params)
-    if kind == "ridge" and train.select(*by).distinct().limit(2).count() == 1:
-        # one series: the model of all rows is the model of the series, and its folds are one task
-        cv = models.ridge_cv(train, names, by, spec, alpha)
+    held_out = frame if split is None else frame.filter("split = 'test'")
+    keyed = kind in series_models.KINDS
+    if keyed:
+        how = series_models.trainer(kind, alpha, **model_params)
+        cv = written(series_models.cross_validate(train, names, by, spec, how), "cv")
+        fitted = written(series_models.fit_series(train, names, by, how), "models")
+        predictions = series_models.predict_series(frame, fitted, names, by)
+        importance = series_models.series_importance(held_out, fitted, names, by, repeats=repeats)
     else:
         cv = models.cross_validate(train, names, by, spec, lambda rows: models.estimator(kind, rows, alpha, **model_params))
-    cv = written(cv, "cv")
-    fitted = models.fit(train, names, estimator)
-    predictions = models.predict(frame, names, fitted)
-    held_out = frame if split is None else frame.filter("split = 'test'")
-    importance = imp.permutation_importance(fitted, held_out, names, [*by, "date"], repeats)
+        cv = written(cv, "cv")
+        fitted = models.fit(train, names, models.estimator(kind, train, alpha, **model_params))
+        predictions = models.predict(frame, names, fitted)
+        importance = imp.permutation_importance(fitted, held_out, names, [*by, "date"], repeats)
     in_unit = cv
     if spec.normalize:
         by_row = [*by, "date"]
@@ -91,8 +95,11 @@ def run_forecast(
     result = models.forecast_result(df, in_unit, by, spec.target, lang)
     if out:
         importance = written(importance, "importance")
-        export_forecast(result, importance, out, name)
-        models.save(fitted, f"{out}/{name}_model")
+        export_forecast(result, importance, out, name, by if keyed else ())
+        if keyed:
+            replace(fitted, f"{out}/{name}_model")
+        else:
+            models.save(fitted, f"{out}/{name}_model")
     return ForecastRun(
         features=names,
         frame=frame,

@@ -7,20 +7,20 @@ from pyspark.sql import functions as F
 from signalflow.config import ForecastSpec
 from signalflow.operators import features as feats
 from signalflow.operators import importance as imp
-from signalflow.operators import models
+from signalflow.operators import models, series_models
 from signalflow.operators.align import zero_filled
+from signalflow.operators.boosting import BoostSpec
 from signalflow.operators.stats import error_summary, fold_errors, regression_scores
 from signalflow.plans.forecast import model_columns, run_forecast
 from signalflow.plans.q_features import BY, short_signal
 from signalflow.plans.registry import query
 from signalflow.plans.standins import with_ctes
-from signalflow.session import written
+from signalflow.session import literal_rows, written
 
 # one feature and its lag: small enough that SQL can solve the same regression
 RIDGE = ForecastSpec(lags=1, horizon=1, normalize=False, n_splits=42, max_train=200)
 RIDGE_FEATURES = ("norm_post_count", "norm_post_count_lag1")
 TREES = ForecastSpec(lags=2, horizon=1, normalize=False, n_splits=42, max_train=200, drop=("ili_incidence",))
-TREE_PARAMS = {"maxIter": 10}
 
 
 def ridge_frame(spark, sf):
@@ -113,20 +113,76 @@ def tree_frame(spark, sf):
 
 @query("gbt_cv")
 def gbt_cv(spark, sf):
+    """42 folds of every country, each with its own 100 trees, in one job."""
     rows, names = tree_frame(spark, sf)
-    return models.cross_validate(rows, names, BY, TREES, models.estimator("gbt_restricted", **TREE_PARAMS))
+    return series_models.cross_validate(rows, names, BY, TREES, series_models.trainer("gbt_restricted"))
 
 
 @query("gbt_metrics")
 def gbt_metrics(spark, sf):
+    """Scores of the default booster, one model a country."""
     rows, names = tree_frame(spark, sf)
-    flagged = models.early_stop_flag(rows, ("country_code", "date"))
-    if rows.count() > models.EARLY_STOP_ROWS:
-        estimator = models.estimator("gbt", **TREE_PARAMS, validationIndicatorCol="is_validation")
-    else:
-        estimator = models.estimator("gbt", **TREE_PARAMS)
-    fitted = models.fit(flagged, names, estimator)
-    return regression_scores(models.predict(flagged, names, fitted), ("is_validation",))
+    fitted = written(series_models.fit_series(rows, names, BY, series_models.trainer("gbt")), "models")
+    return regression_scores(series_models.predict_series(rows, fitted, names, BY), BY)
+
+
+STUMP = BoostSpec("gamma", iterations=1, rate=0.05, max_depth=1, min_leaf=10, l2=1.0, max_bins=1 << 20)
+
+_STUMP = """, f AS (SELECT country_code, date, ili_incidence, coalesce(grippe_posts, 0) AS grippe_posts, coalesce(rest_posts, 0) AS rest_posts, norm_post_count,
+         year(date) AS year, month(date) AS month, week(date) AS week,
+         CASE WHEN month(date) IN (12, 1, 2) THEN 0 WHEN month(date) < 6 THEN 1 WHEN month(date) < 9 THEN 2 ELSE 3 END AS season FROM wsig),
+{lags}
+rows AS (SELECT * FROM l WHERE y IS NOT NULL AND {known}),
+means AS (SELECT {keys}avg(y) AS mean FROM rows GROUP BY ALL),
+cells AS (UNPIVOT (SELECT {keys}1 - y / mean AS g, y / mean AS h, {columns} FROM rows {join_base}) ON {names} INTO NAME feature VALUE v),
+sums AS (SELECT {keys}feature, v, sum(g) AS g, sum(h) AS h, count(*) AS n FROM cells GROUP BY ALL),
+total AS (SELECT {keys}sum(1 - y / mean) AS tg, sum(y / mean) AS th, count(*) AS tn FROM rows {join_base} GROUP BY ALL),
+left_side AS (SELECT *, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(n) OVER w AS nl, (v + lead(v) OVER w0) / 2 AS threshold
+  FROM sums WINDOW w AS (PARTITION BY {keys}feature ORDER BY v ROWS UNBOUNDED PRECEDING), w0 AS (PARTITION BY {keys}feature ORDER BY v)),
+gains AS (SELECT l.*, tg, th, gl * gl / (hl + 1) + (tg - gl) ** 2 / (th - hl + 1) - tg * tg / (th + 1) AS gain FROM left_side l {join_total}
+  WHERE threshold IS NOT NULL AND nl >= 10 AND tn - nl >= 10 AND hl >= 0.001 AND th - hl >= 0.001),
+tops AS (SELECT *, max(gain) OVER ({by}) AS top FROM gains),
+best AS (SELECT * FROM tops QUALIFY row_number() OVER ({by} ORDER BY round(gain / top, 9) DESC, list_position({order}, feature), threshold) = 1)
+SELECT {keys}feature, round(threshold, 9) AS threshold, round(gain, 6) AS gain,
+       round(-0.05 * gl / (hl + 1), 9) AS left_value, round(-0.05 * (tg - gl) / (th - hl + 1), 9) AS right_value FROM best"""
+
+
+def _stump_sql(by: str) -> str:
+    base = ["grippe_posts", "rest_posts", "norm_post_count", "year", "month", "week", "season"]
+    names = feats.feature_names(base, TREES.lags)
+    lags = ", ".join(f"lag({c}, {k}) OVER w AS {c}_lag{k}" for k in range(1, TREES.lags + 1) for c in base)
+    lagged = f"l AS (SELECT *, {lags}, lead(ili_incidence) OVER w * 100000 AS y FROM f WINDOW w AS (PARTITION BY country_code ORDER BY date)),"
+    # rows with a NULL feature, also one that is no feature of the model, are no rows of the supervised frame
+    known = " AND ".join(f"{c} IS NOT NULL" for c in names)
+    return _STUMP.format(
+        lags=lagged, known=known, keys=f"{by}, " if by else "", columns=", ".join(f"{c}::DOUBLE AS {c}" for c in names), names=", ".join(names),
+        join_base=f"JOIN means USING ({by})" if by else "CROSS JOIN means", join_total=f"JOIN total USING ({by})" if by else "CROSS JOIN total",
+        by=f"PARTITION BY {by}" if by else "", order=names,
+    )
+
+
+def _stump(nodes, by):
+    """The split of a tree's first node beside the values of its two leaves."""
+    root = nodes.filter("node = 0").select(*by, "feature", F.round("threshold", 9).alias("threshold"), F.round("gain", 6).alias("gain"))
+    left, right = (nodes.filter(F.col("node") == k).select(*by, F.round("value", 9).alias(f"{side}_value")) for k, side in ((1, "left"), (2, "right")))
+    return root.join(left, list(by)).join(right, list(by)) if by else root.crossJoin(left).crossJoin(right)
+
+
+@query("boosted_stumps", with_ctes("wsig", _stump_sql("country_code")))
+def boosted_stumps(spark, sf):
+    """The first tree of every country's model, cut after its first split."""
+    rows, names = tree_frame(spark, sf)
+    fitted = written(series_models.fit_series(rows, names, BY, series_models.Trainer(boost=STUMP)), "models")
+    return _stump(series_models.tree_nodes(fitted, BY), BY)
+
+
+@query("boosted_pooled_stump", with_ctes("wsig", _stump_sql("")))
+def boosted_pooled_stump(spark, sf):
+    """The same over the rows of all countries at once, by the fit that is distributed over rows."""
+    rows, names = tree_frame(spark, sf)
+    fitted = models.fit(rows, names, STUMP)
+    nodes = literal_rows(spark, ("node", "feature", "threshold", "gain", "value"), [s[1:] for s in fitted.splits()])
+    return _stump(nodes, ())
 
 
 @query("gamma_metrics")
@@ -164,8 +220,8 @@ def train_test_predictions(spark, sf):
 
 def tree_importance(spark, sf):
     rows, names = tree_frame(spark, sf)
-    fitted = models.fit(rows, names, models.estimator("gbt_restricted", **TREE_PARAMS))
-    return imp.permutation_importance(fitted, rows, names, ("country_code", "date"), repeats=25), names
+    fitted = written(series_models.fit_series(rows, names, BY, series_models.trainer("gbt_restricted")), "models")
+    return series_models.series_importance(rows, fitted, names, BY, repeats=25), names
 
 
 @query("permutation_importance")
@@ -181,12 +237,10 @@ def top_variables(spark, sf):
 @query("importance_long_table")
 def importance_long_table(spark, sf):
     importance, names = tree_importance(spark, sf)
-    return imp.long_importance(imp.wide_importance(written(importance, "importance"), names))
+    return imp.long_importance(imp.wide_importance(written(importance, "importance"), names, BY), BY)
 
 
 @query("forecast_job")
 def forecast_job(spark, sf):
     """The whole job with boosted trees on a split: its result table on the date axis."""
-    frame = full_signal(spark, sf)
-    run = run_forecast(frame, BY, TREES, "gbt_restricted", lang="F", split="2000-08-01", repeats=25, **TREE_PARAMS)
-    return run.result
+    return run_forecast(full_signal(spark, sf), BY, TREES, "gbt_restricted", lang="F", split="2000-08-01", repeats=25).result

@@ -18,8 +18,8 @@ OTHER_SPEC = replace(SPEC, series_id="O", lang="O", country_code="3", age_codes=
 SPECS = (SPEC, OTHER_SPEC)
 
 
-def weekly(spark, sf):
-    return signals.weekly_incidence(cases(spark, sf), CAL.start, CAL.end, age_codes=SPEC.age_codes)
+def weekly(spark, sf, gappy=False):
+    return signals.weekly_incidence(cases(spark, sf, gappy), CAL.start, CAL.end, age_codes=SPEC.age_codes)
 
 
 def signal(spark, sf):
@@ -90,9 +90,9 @@ def signals_for_all_specs(spark, sf):
     return signals.weekly_signals(counts(spark, sf), cases(spark, sf), SPECS, CAL, ("grippe_posts", "rest_posts"))
 
 
-@query("incidence_weekly_gapfilled", with_ctes("weekly", "SELECT * FROM weekly"))
+@query("incidence_weekly_gapfilled", with_ctes("weekly", "SELECT * FROM weekly", gappy=True))
 def incidence_weekly_gapfilled(spark, sf):
-    return weekly(spark, sf)
+    return weekly(spark, sf, gappy=True)
 
 
 @query(
@@ -111,9 +111,9 @@ def incidence_weekly_listed_countries(spark, sf):
     )
 
 
-@query("incidence_daily_upsampled", with_ctes("daily", "SELECT * FROM daily"))
+@query("incidence_daily_upsampled", with_ctes("daily", "SELECT * FROM daily", gappy=True))
 def incidence_daily_upsampled(spark, sf):
-    return signals.daily_incidence(weekly(spark, sf), CAL.start, CAL.end)
+    return signals.daily_incidence(weekly(spark, sf, gappy=True), CAL.start, CAL.end)
 
 
 @query(
@@ -132,10 +132,11 @@ FROM g ASOF LEFT JOIN ki p ON g.country_code = p.country_code AND g.date >= p.da
 ASOF LEFT JOIN ki q ON g.country_code = q.country_code AND g.date < q.date
 ASOF LEFT JOIN ka a ON g.country_code = a.country_code AND g.date >= a.date
 LEFT JOIN c ON g.country_code = c.country_code AND g.date = c.date""",
+        gappy=True,
     ),
 )
 def gap_fill_methods(spark, sf):
-    rows = cases(spark, sf).filter("agegroup_code = 'O'").withColumnRenamed("iso_weekstartdate", "date")
+    rows = cases(spark, sf, gappy=True).filter("agegroup_code = 'O'").withColumnRenamed("iso_weekstartdate", "date")
     methods = {"ili_case": "linear", "ari_case": "locf", "ili_pop_cov": "null"}
     return gap_fill(rows, "date", methods, ("country_code",), bucket_days=7)
 

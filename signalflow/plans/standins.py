@@ -41,19 +41,20 @@ def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cases(spark: SparkSession, sf_dir: str, gappy: bool = False) -> DataFrame:
     """Surveillance fact: shipped quantities per week, supplier nation and line status.
 
-    Every fifth calendar week is missing, which leaves gaps inside the series.
+    ``gappy`` leaves out every fifth calendar week, for the queries whose feature it is to fill gaps.
     """
     lines = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_linestatus", "l_returnflag", "l_quantity", "l_extendedprice", iso_week("l_shipdate").alias("iso_weekstartdate")
     )
     nations = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").cast("string").alias("country_code"))
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    if gappy:
+        lines = lines.filter(F.weekofyear("iso_weekstartdate") % 5 != 0)
     return (
-        lines.filter(F.weekofyear("iso_weekstartdate") % 5 != 0)
-        .join(nations, F.col("l_suppkey") == F.col("s_suppkey"))
+        lines.join(nations, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("iso_weekstartdate", "country_code", F.col("l_linestatus").alias("agegroup_code"))
         .agg(
             F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity"))).alias("ili_case"),
@@ -113,7 +114,7 @@ CTES = {
          sum(CASE WHEN l_returnflag = 'A' THEN l_quantity END) AS ari_case,
          sum(round(l_extendedprice * 100)::BIGINT)::BIGINT / 100.0::DOUBLE AS ari_pop_cov
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
-  WHERE week(l_shipdate) % 5 <> 0 GROUP BY 1, 2, 3)""",
+  GROUP BY 1, 2, 3)""",
     "posts": """posts AS (
   SELECT doc_id::VARCHAR AS uri, o_orderdate AS record__created_at, text AS record__text,
          CASE WHEN source IN ('src0', 'src1', 'src2') THEN lang || ',en' ELSE lang END AS record__langs,
@@ -189,8 +190,8 @@ _NEEDS = {
 }
 
 
-def with_ctes(names: str, body: str) -> str:
-    """``body`` behind the named stand-in CTEs and all they need."""
+def with_ctes(names: str, body: str, gappy: bool = False) -> str:
+    """``body`` behind the named stand-in CTEs and all they need; ``gappy`` as in :func:`cases`."""
     wanted: set[str] = set()
 
     def add(name: str) -> None:
@@ -200,4 +201,7 @@ def with_ctes(names: str, body: str) -> str:
 
     for name in names.split():
         add(name)
-    return "WITH " + ",\n".join(CTES[n] for n in _ORDER if n in wanted) + "\n" + body
+    ctes = dict(CTES)
+    if gappy:
+        ctes["cases"] = ctes["cases"].replace("  GROUP BY 1, 2, 3)", "  WHERE week(l_shipdate) % 5 <> 0 GROUP BY 1, 2, 3)")
+    return "WITH " + ",\n".join(ctes[n] for n in _ORDER if n in wanted) + "\n" + body

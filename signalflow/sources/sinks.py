@@ -131,7 +131,7 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).csv(path)
 
 
-def export_forecast(result: DataFrame, importance: DataFrame, path: str, name: str) -> None:
-    """Forecast and long importance table as CSV folders for the dashboard."""
+def export_forecast(result: DataFrame, importance: DataFrame, path: str, name: str, by: Sequence[str] = ()) -> None:
+    """Forecast and long importance table as CSV folders for the dashboard; ``by`` names the columns of several series."""
     export_csv(result, f"{path}/{name}")
-    export_csv(importance.select("variable", "value"), f"{path}/{name}_featureimp")
+    export_csv(importance.select(*by, "variable", "value"), f"{path}/{name}_featureimp")

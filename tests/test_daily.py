@@ -3,7 +3,7 @@ from datetime import date, timedelta
 
 import pytest
 
-from signalflow.config import Calendar, DailyJob, ForecastSpec, language_spec
+from signalflow.config import FRANCE, GERMANY, Calendar, DailyJob, ForecastSpec, language_spec
 from signalflow.plans.daily import ingest_pages, run_daily
 
 START = date(2024, 1, 1)
@@ -78,6 +78,41 @@ def test_nightly_run_of_two_specs(spark, tmp_path, job):
         assert result.agg({"cv_preds": "min"}).first()[0] > 100
 
 
+def test_specs_with_own_targets_and_kinds_in_one_run_equal_single_runs(spark, tmp_path):
+    """Two series of one kind and one of another kind, each with its own target, in as many runs as there are kinds."""
+    from dataclasses import replace
+
+    from signalflow.operators.features import calendar_features
+    from signalflow.plans.daily import forecast_specs
+
+    rows = [
+        (s, c, START + timedelta(days=7 * i), 0.001 * (10 + i % 5 + k), 0.002 * (8 + (i * (k + 2)) % 7), 30 + (i * 7 + k) % 11, 90)
+        for k, (s, c) in enumerate((("fr", "FRA"), ("de", "DEU"), ("en", "GBR"))) for i in range(30)
+    ]
+    weekly = spark.createDataFrame(rows, "series_id string, country_code string, date date, ili_incidence double, ari_incidence double, symptom_posts long, control_posts long")
+    weekly = calendar_features(weekly).drop("season")
+    specs = (replace(FRANCE, model=None), replace(GERMANY, model=None), replace(FRANCE, series_id="en", lang="en", target="ari_incidence", model="gbt_restricted"))
+    calendar = Calendar(START, START, date(2023, 12, 31))
+
+    def run(name, chosen):
+        job = DailyJob("", str(tmp_path / name), chosen, calendar, ForecastSpec(n_splits=4, max_train=20))
+        forecast_specs(weekly, job, "ridge", {"iterations": 5, "min_leaf": 3, "repeats": 2}, {"repeats": 2})
+        tables = {}
+        for s in chosen:
+            for kind in ("", "_featureimp"):
+                read = spark.read.option("header", True).csv(str(tmp_path / name / "results" / f"{s.series_id}{kind}"))
+                tables[s.series_id + kind] = sorted(map(str, read.collect()))
+        return tables
+
+    together = run("all", specs)
+    alone = {}
+    for s in specs:
+        alone |= run(s.series_id, (s,))
+    assert together == alone
+    assert all(len(together[s]) == 30 for s in ("fr", "de", "en"))
+    assert {r.split("lang='")[1][:2] for s in ("fr", "de", "en") for r in together[s]} == {"fr", "de", "en"}
+
+
 def test_only_the_days_folders_are_read(spark, tmp_path, job):
     for n in range(6):
         day = START + timedelta(days=n)

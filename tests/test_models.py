@@ -5,7 +5,7 @@ import pytest
 
 from signalflow.config import ForecastSpec
 from signalflow.operators import importance as imp
-from signalflow.operators import models
+from signalflow.operators import models, series_models
 from signalflow.operators.features import supervised
 from signalflow.plans.forecast import run_forecast
 
@@ -53,12 +53,11 @@ def test_short_series_have_no_folds(frame):
     assert models.ridge_cv(frame, NAMES, BY, ForecastSpec(n_splits=58)).count() == 0
 
 
-@pytest.mark.parametrize("kind", ["gbt_restricted", "ridge", "gamma"])
+@pytest.mark.parametrize("kind", ["ridge", "gamma"])
 def test_cross_validate_folds(frame, kind):
     spec = ForecastSpec(n_splits=2, test_size=2, max_train=40)
-    params = {"maxIter": 3} if kind.startswith("gbt") else {"train": frame}
     positive = frame.filter("y > 0")
-    got = models.cross_validate(positive, NAMES, BY, spec, models.estimator(kind, **params)).toPandas()
+    got = models.cross_validate(positive, NAMES, BY, spec, models.estimator(kind, frame)).toPandas()
     assert len(got) == 8 and set(got.fold) == {0, 1} and got.yhat.notna().all()
     for _, g in positive.toPandas().groupby("s"):
         last = set(g.sort_values("date").date.tail(4))
@@ -79,6 +78,8 @@ def test_ridge_penalty(frame):
 def test_unknown_kind():
     with pytest.raises(ValueError):
         models.estimator("forest")
+    with pytest.raises(ValueError):
+        series_models.trainer("forest")
 
 
 def test_result_table_and_saved_model(series, frame, tmp_path):
@@ -120,6 +121,6 @@ def test_forecast_job(spark, series, tmp_path):
     assert run.summary.count() == 2 and run.scores.first().split == "train"
     stored = spark.read.option("header", True).csv(str(tmp_path / "job"))
     assert stored.columns == ["s", "date", "lang", "target", "cv_preds", "abs_diff"] and stored.count() == 120
-    assert spark.read.option("header", True).csv(str(tmp_path / "job_featureimp")).count() == 8
-    split = run_forecast(series, BY, spec, "gbt_restricted", "fr", split="2024-12-02", repeats=1, maxIter=2)
+    assert spark.read.option("header", True).csv(str(tmp_path / "job_featureimp")).count() == 16
+    split = run_forecast(series, BY, spec, "gbt_restricted", "fr", split="2024-12-02", repeats=1, iterations=2)
     assert {r.split for r in split.scores.collect()} == {"train", "test"}
