@@ -149,14 +149,14 @@ def resample(
 
 
 def window_gaps(pages: DataFrame, tolerance: str = "5 seconds") -> DataFrame:
-    """Completeness of a crawl: pages run from newest to oldest, each must start where the next newer one ended.
+    """Completeness of a crawl: pages run from newest to oldest, each must reach up to what the newer ones cover.
 
-    ``pages`` has ``keyword, page_id, period_start, period_end``. A page is ``complete``
-    if its upper bound lies within ``tolerance`` of the newer page's earliest post. The
+    ``pages`` has ``keyword, page_id, period_start, period_end``. A page is ``complete`` if its upper bound lies within
+    ``tolerance`` of the earliest post of all newer pages, so a wide page covers the holes between narrower ones. The
     crawl works in windows of one keyword and day, so chains start anew every day.
     """
     newest_first = Window.partitionBy("keyword", F.to_date("period_end")).orderBy(F.col("period_end").desc(), "page_id")
-    newer = F.lag("period_start").over(newest_first)
+    newer = F.min("period_start").over(newest_first.rowsBetween(Window.unboundedPreceding, -1))
     return pages.select(
         "keyword",
         "page_id",
@@ -165,3 +165,30 @@ def window_gaps(pages: DataFrame, tolerance: str = "5 seconds") -> DataFrame:
         newer.alias("newer_start"),
         F.coalesce(F.col("period_end") >= newer - F.expr(f"interval {tolerance}"), F.lit(True)).alias("complete"),
     )
+
+
+def crawl_gaps(pages: DataFrame, wanted: DataFrame, tolerance: str = "5 seconds") -> DataFrame:
+    """Windows to crawl again, ``(keyword, window_start, window_end)``: what no page covers of the wanted ones.
+
+    ``pages`` has ``keyword, period_start, period_end`` and may overlap in any way; ``wanted`` has ``keyword,
+    window_start, window_end``, windows within one day. Pages are cut at midnight, so that a group is the pages of a keyword
+    and day; in order of their start, a gap opens where a page starts behind all ends so far. Gaps up to ``tolerance``
+    count as covered. A page without both times covers nothing.
+    """
+    day = F.explode(F.sequence(F.to_date("period_start"), F.to_date("period_end"))).alias("day")
+    cut = pages.filter("period_start <= period_end").select("keyword", "period_start", "period_end", day)
+    kind = dict(pages.dtypes)["period_start"]
+    midnight = F.col("day").cast(kind)
+    cut = cut.select(
+        "keyword", "day", F.greatest("period_start", midnight).alias("start"), F.least("period_end", midnight + F.expr("interval 1 day")).alias("end")
+    )
+    windows = wanted.select("keyword", F.to_date("window_start").alias("day"), *[F.col(c).cast(kind).alias(c) for c in ("window_start", "window_end")])
+    inside = windows.join(cut, ["keyword", "day"]).filter("start <= window_end and end >= window_start")
+    # an empty page at the end of each window closes it
+    closing = windows.withColumns({"start": F.col("window_end"), "end": F.col("window_end")})
+    window = ("keyword", "day", "window_start", "window_end")
+    before = Window.partitionBy(*window).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.coalesce(F.greatest("window_start", F.max("end").over(before)), F.col("window_start"))
+    gaps = inside.select(*window, "start", "end").unionByName(closing.select(*window, "start", "end")).withColumn("reached", reached)
+    gaps = gaps.filter(F.col("start") > F.col("reached") + F.expr(f"interval {tolerance}"))
+    return gaps.select("keyword", F.col("reached").alias("window_start"), F.col("start").alias("window_end"))

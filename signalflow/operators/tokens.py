@@ -12,11 +12,13 @@ from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
+from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from signalflow.functions.dates import week_bucket
 from signalflow.functions.text import clean_text, joined, raw_words, without_words, words
+from signalflow.operators.ranks import numbered
 
 Stemmer = Callable[[str], str]
 WEEK = "iso_weekstartdate"
@@ -137,6 +139,58 @@ def vocabulary(tokens: DataFrame, min_weeks: int = 10, min_mention: int = 10) ->
     )
 
 
+def token_correlation(tokens: DataFrame, series: DataFrame, value: str, ts: str = "date", digits: int | None = None) -> DataFrame:
+    """Pearson correlation of every token's weekly count with a series: ``(token, weeks, r)``.
+
+    A week in which a token does not occur counts 0 without being stored: with the values taken from
+    their mean, three sums per token over the rows there are suffice. Weeks are those of the series that have any token
+    and a value. ``r`` is NULL for a token or a series that doesn't vary. ``tokens`` has one row per week and token.
+    """
+    weeks = tokens.select(WEEK).distinct()
+    known = series.select(F.col(ts).alias(WEEK), F.col(value).cast("double").alias("__y")).filter("__y IS NOT NULL").join(weeks, WEEK)
+    known = known.withColumn("__y", F.col("__y") - known.agg(F.avg("__y")).scalar())
+    n, syy = known.agg(F.count("__y")).scalar(), known.agg(F.sum(F.col("__y") * F.col("__y"))).scalar()
+    x, y = F.col("cnt").cast("double"), F.col("__y")
+    sums = tokens.join(known, WEEK).groupBy("token").agg(F.count("*").alias("weeks"), F.sum(x).alias("__x"), F.sum(x * x).alias("__xx"), F.sum(x * y).alias("__xy"))
+    spread = (F.col("__xx") - F.col("__x") * F.col("__x") / n) * syy
+    r = F.when(spread > 1e-9 * F.col("__xx") * syy, F.try_divide(F.col("__xy"), F.sqrt(spread)))
+    return sums.select("token", "weeks", (r if digits is None else F.round(r, digits)).alias("r"))
+
+
+def token_lags(tokens: DataFrame, dates: DataFrame, lags: int, by: Sequence[str] = (), ts: str = "date") -> DataFrame:
+    """Counts of every token and their lags along the axis ``dates`` in long form: ``(*by, date, token, lag, cnt)``, no zeros.
+
+    A count is the feature of its own date (lag 0) and of the next ``lags`` dates of its series, by position. So a lag
+    is an offset that each stored count is copied to, at ``lags + 1`` rows a count whatever the vocabulary, and nothing
+    becomes a column.
+    """
+    placed = dates.select(*by, ts).distinct().withColumn("__at", F.row_number().over(Window.partitionBy(*by).orderBy(ts)))
+    counts = placed.join(tokens.select(F.col(WEEK).alias(ts), "token", "cnt"), ts).select(*by, "__at", "token", "cnt")
+    copies = counts.select(*by, "token", "cnt", F.col("__at").alias("__own"), F.explode(F.sequence(F.lit(0), F.lit(lags))).alias("lag"))
+    copies = copies.withColumn("__at", F.col("__own") + F.col("lag")).drop("__own")
+    return placed.join(copies, [*by, "__at"]).select(*by, ts, "token", "lag", "cnt")
+
+
+def token_vectors(long: DataFrame, frame: DataFrame, lags: int, by: Sequence[str] = (), ts: str = "date") -> DataFrame:
+    """``frame`` with the sparse vector ``features`` of its tokens and lags; dates without tokens have an empty one.
+
+    ``long`` is the outcome of :func:`token_lags`. Tokens are numbered by a distributed rank, and lag l of token i is entry
+    ``l * size + i``, so the vocabulary is never on the driver; only its size is.
+    """
+    index = numbered(long.select("token").distinct(), ["token"], "__i", "token-index")
+    size = index.count()
+    entries = long.join(index, "token").select(*by, ts, (F.col("lag") * size + F.col("__i")).cast("int").alias("i"), F.col("cnt").cast("double").alias("v"))
+    packed = entries.groupBy(*by, ts).agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("__e"))
+    joined = frame.join(packed, [*by, ts], "left").withColumn("__e", F.coalesce("__e", F.array().cast("array<struct<i:int,v:double>>")))
+    total = max(size, 1) * (lags + 1)
+
+    @F.udf(VectorUDT())
+    def sparse(indices, values):
+        return SparseVector(total, indices, values)
+
+    return joined.withColumn("features", sparse(F.col("__e.i"), F.col("__e.v"))).drop("__e")
+
+
 def wide_tokens(tokens: DataFrame, names: Sequence[str] | None = None, max_columns: int | None = None) -> DataFrame:
     """One row per week, one column per token, 0 where a token is absent.
 

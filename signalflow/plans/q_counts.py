@@ -144,7 +144,8 @@ def dense_daily_counts(spark, sf):
     with_ctes(
         "event_posts",
         """, p AS (SELECT keyword, page_id, min(event_time) AS period_start, max(event_time) AS period_end FROM event_posts GROUP BY 1, 2),
-w AS (SELECT *, lag(period_start) OVER (PARTITION BY keyword, period_end::DATE ORDER BY period_end DESC, page_id) AS newer_start FROM p)
+w AS (SELECT *, min(period_start) OVER (PARTITION BY keyword, period_end::DATE ORDER BY period_end DESC, page_id
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newer_start FROM p)
 SELECT keyword, page_id, period_start, period_end, newer_start, coalesce(period_end >= newer_start - INTERVAL 10 MINUTE, true) AS complete FROM w""",
     ),
 )
@@ -155,6 +156,32 @@ def window_completeness(spark, sf):
     return ops.window_gaps(pages, "10 minutes")
 
 
+@query(
+    "crawl_gaps",
+    with_ctes(
+        "event_posts",
+        """, p AS (SELECT keyword, min(event_time) AS s, max(event_time) AS e FROM event_posts GROUP BY keyword, page_id
+  UNION ALL SELECT keyword, min(event_time), max(event_time) FROM event_posts GROUP BY keyword, floor(epoch(event_time) / 9000)),
+days AS (SELECT keyword, unnest(generate_series(min(event_time)::DATE, max(event_time)::DATE, INTERVAL 1 DAY))::TIMESTAMP AS ws FROM event_posts GROUP BY 1),
+w AS (SELECT keyword, ws, ws + INTERVAL 86399 SECOND AS we FROM days),
+r AS (SELECT w.keyword, ws, we, greatest(s, ws) AS s, e FROM w JOIN p ON p.keyword = w.keyword AND s <= we AND e >= ws
+  UNION ALL SELECT keyword, ws, we, we, we FROM w),
+g AS (SELECT *, greatest(ws, coalesce(max(e) OVER (PARTITION BY keyword, ws ORDER BY s, least(e, ws + INTERVAL 1 DAY) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), ws)) AS reached FROM r)
+SELECT keyword, reached AS window_start, s AS window_end FROM g WHERE s > reached + INTERVAL 10 MINUTE""",
+    ),
+)
+def crawl_gaps(spark, sf):
+    """What pages of an hour and pages of two and a half hours, which overlap, leave uncovered of every day."""
+    events = event_posts(spark, sf)
+    bounds = (F.min("event_time").alias("period_start"), F.max("event_time").alias("period_end"))
+    wide = F.floor(F.unix_seconds(F.col("event_time").cast("timestamp")) / 9000)
+    pages = events.groupBy("keyword", "page_id").agg(*bounds).drop("page_id").unionByName(events.groupBy("keyword", wide.alias("block")).agg(*bounds).drop("block"))
+    days = events.groupBy("keyword").agg(F.to_date(F.min("event_time")).alias("lo"), F.to_date(F.max("event_time")).alias("hi"))
+    days = days.select("keyword", F.explode(F.transform(F.sequence("lo", "hi"), lambda d: d.cast("timestamp_ntz"))).alias("window_start"))
+    wanted = days.withColumn("window_end", F.col("window_start") + F.expr("interval 86399 seconds"))
+    return ops.crawl_gaps(pages, wanted, "10 minutes")
+
+
 GROUPS = (KeywordGroup("symptom_posts", ("error", "signup")), KeywordGroup("control_posts", ("view", "click", "no such word")))
 _GROUP_SQL = """sum(CASE WHEN keyword IN ('error', 'signup') THEN 1 END)::BIGINT AS symptom_posts,
        sum(CASE WHEN keyword IN ('view', 'click') THEN 1 END)::BIGINT AS control_posts

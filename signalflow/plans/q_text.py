@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from signalflow.functions.text import clean_text, stop_words
 from signalflow.operators import tokens as ops
+from signalflow.operators.models import estimator
+from signalflow.operators.stats import regression_scores
 from signalflow.plans import signals
 from signalflow.plans.q_signals import signal
 from signalflow.plans.registry import query
 from signalflow.plans.standins import posts, with_ctes
-from signalflow.session import scratch_path
+from signalflow.session import scratch_path, written
 
 STOP = ("the", "and", "of", "is", "le", "la", "les", "un", "une", "der", "die", "und", "de", "que", "el")
 STOP_SQL = ", ".join(f"'{w}'" for w in STOP)
@@ -138,6 +140,61 @@ def signal_with_tokens(spark, sf):
     return signals.signal_with_tokens(signal(spark, sf), wide)
 
 
+# surviving vocabulary of all posts, and the weekly signal of one country
+_KEPT = """kept AS (SELECT * FROM weekly_tokens WHERE token IN (
+  SELECT token FROM weekly_tokens WHERE cnt >= 3 GROUP BY token HAVING count(*) >= 10))"""
+_ONE = "one AS (SELECT date, ili_incidence * 100000 AS y, row_number() OVER (ORDER BY date) AS at FROM signal WHERE country_code = '7')"
+LAGS = 2
+
+
+def one_signal(spark, sf):
+    return signal(spark, sf).filter("country_code = '7'").select("date", (F.col("ili_incidence") * 100_000).alias("y"))
+
+
+@query(
+    "signal_token_lags",
+    with_ctes(
+        "signal posts",
+        f""", {_TOKENS}, {_KEPT}, {_ONE}
+SELECT b.date, k.token, (b.at - a.at)::INT AS lag, k.cnt, round(b.y, 6) AS y FROM kept k JOIN one a ON a.date = k.iso_weekstartdate
+JOIN one b ON b.at BETWEEN a.at AND a.at + {LAGS}""",
+    ),
+)
+def signal_token_lags(spark, sf):
+    """Every surviving token and its lags beside the signal, in long form."""
+    kept = ops.frequent_tokens(weekly_tokens(spark, sf), min_weeks=10, min_mention=3)
+    one = one_signal(spark, sf)
+    return ops.token_lags(kept, one, LAGS).join(one, "date").withColumn("y", F.round("y", 6))
+
+
+@query(
+    "token_correlation",
+    with_ctes(
+        "signal posts",
+        f""", {_TOKENS}, {_ONE},
+rated AS (SELECT date, y FROM one WHERE y IS NOT NULL AND date IN (SELECT iso_weekstartdate FROM weekly_tokens)),
+x AS (SELECT token, date, y, cnt FROM weekly_tokens JOIN rated ON date = iso_weekstartdate),
+m AS (SELECT avg(y) AS my, count(*) AS n, var_pop(y) * count(*) AS syy FROM rated),
+s AS (SELECT token, count(*)::BIGINT AS weeks, sum(cnt)::DOUBLE AS sx, sum(cnt * cnt)::DOUBLE AS sxx, sum(cnt * (y - my)) AS sxy, any_value(n) AS n, any_value(syy) AS syy
+      FROM x CROSS JOIN m GROUP BY 1)
+SELECT token, weeks, CASE WHEN sxx - sx * sx / n > 1e-9 * sxx THEN round(sxy / sqrt((sxx - sx * sx / n) * syy), 6) END AS r FROM s""",
+    ),
+)
+def token_correlation(spark, sf):
+    """Correlation of each token of the whole vocabulary with the incidence."""
+    return ops.token_correlation(weekly_tokens(spark, sf), one_signal(spark, sf), "y", digits=6)
+
+
+@query("token_ridge_scores")
+def token_ridge_scores(spark, sf):
+    """Fit on the sparse vectors of all surviving tokens and their lags; its scores on its own rows."""
+    kept = ops.frequent_tokens(weekly_tokens(spark, sf), min_weeks=10, min_mention=3)
+    one = one_signal(spark, sf).filter("y IS NOT NULL")
+    rows = written(ops.token_vectors(ops.token_lags(kept, one, LAGS), one, LAGS), "token-vectors")
+    fitted = estimator("ridge", rows, alpha=10.0, solver="l-bfgs", maxIter=50).fit(rows)
+    return regression_scores(fitted.transform(rows))
+
+
 @query("french_default_stop_words")
 def french_default_stop_words(spark, sf):
     """Weekly tokens of French posts without the stop list that ships with Spark."""

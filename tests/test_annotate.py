@@ -3,8 +3,8 @@ import pytest
 from signalflow.operators import annotate as ops
 
 TEXTS = {
-    "own": "Day 2 in bed: I have a fever of 101, a dry cough and body aches, it started 2 days ago. Worst flu ever",
-    "news": "Flu season is here, says the health office. Time for a flu shot",
+    "own": "Had to leave choir early, I have chills and a sore throat since Monday, 4 days now and a cough on top, plus fever",
+    "news": "The pharmacy on our street sells flu tea this week",
     "other": "My son... no: the neighbour has fever, cough and chills",
     "both": "I caught it from my son: fever, cough and chills",
     "third": "She has fever, cough and chills",
@@ -26,7 +26,7 @@ def posts(spark):
 def test_rules(posts):
     got = {r.uri: r for r in ops.rule_annotation(posts).collect()}
     assert {u for u, r in got.items() if r.ili_related} == {"own", "both", "fr", "de"}
-    assert got["own"].symptoms == ["fever", "cough", "body aches"] and got["own"].duration == "2 days"
+    assert got["own"].symptoms == ["chills", "sore throat", "cough", "fever"] and got["own"].duration == "4 days"
     assert got["news"].symptoms == [] and got["news"].duration is None
     assert got["fr"].symptoms == ["fièvre", "tousse", "courbatures"] and got["fr"].duration == "3 jours"
     assert got["third"].symptoms == ["fever", "cough", "chills"]
@@ -35,7 +35,7 @@ def test_rules(posts):
 
 def test_function_errors_stay_pending(posts, rows):
     def fn(text):
-        if "flu" in text.lower():
+        if "flu" in text or "choir" in text:
             raise RuntimeError("service down")
         return {"ili_related": True, "symptoms": ["a", "b"]}
 

@@ -1,5 +1,7 @@
-from datetime import date, datetime
+import random
+from datetime import date, datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,3 +96,40 @@ def test_window_gaps(spark, rows):
     ]
     pages = spark.createDataFrame(data, "keyword string, page_id string, period_start timestamp_ntz, period_end timestamp_ntz")
     assert rows(ops.window_gaps(pages), "page_id", "complete") == [("p1", True), ("p2", True), ("p3", False)]
+
+
+def test_wide_page_covers_holes_between_narrow_ones(spark):
+    at = lambda h: datetime(2024, 1, 1, h)
+    pages = [("k", "wide", at(0), at(10)), ("k", "late", at(5), at(8)), ("k", "early", at(1), at(4)), ("k", "gone", at(12), at(13))]
+    df = spark.createDataFrame(pages, "keyword string, page_id string, period_start timestamp_ntz, period_end timestamp_ntz")
+    assert {r.page_id: r.complete for r in ops.window_gaps(df).collect()} == {"gone": True, "wide": False, "late": True, "early": True}
+
+
+def test_crawl_gaps_by_the_minute(spark):
+    rng = random.Random(5)
+    begin = datetime(2024, 1, 1)
+    pages, covered = [], {k: np.zeros(3 * 1440 + 1, bool) for k in "ab"}
+    for _ in range(60):
+        k, s = rng.choice("ab"), rng.randrange(3 * 1440 - 1)
+        e = min(s + rng.choice([0, 5, 40, 300]), 3 * 1440 - 1)
+        pages.append((k, begin + timedelta(minutes=s), begin + timedelta(minutes=e)))
+        covered[k][s:e] = True
+    pages += [("a", None, begin), ("other", begin, begin + timedelta(days=1))]
+    df = spark.createDataFrame(pages, "keyword string, period_start timestamp_ntz, period_end timestamp_ntz")
+    wanted = [(k, begin + timedelta(days=d), begin + timedelta(days=d + 1, minutes=-1)) for k in ("a", "b", "none") for d in range(3)]
+    windows = spark.createDataFrame(wanted, "keyword string, window_start timestamp_ntz, window_end timestamp_ntz")
+    got = {(r.keyword, r.window_start, r.window_end) for r in ops.crawl_gaps(df, windows, "0 seconds").collect()}
+    want = set()
+    for k, lo, hi in wanted:
+        first, last = (int((t - begin).total_seconds() // 60) for t in (lo, hi))
+        open_ = None
+        # a page without length also ends a gap and begins another
+        points = {int((s - begin).total_seconds() // 60) for kk, s, e in pages if kk == k and s == e and s is not None}
+        for m in range(first, last + 1):
+            free = m < last and not covered.get(k, np.zeros(3 * 1440 + 1, bool))[m]
+            if open_ is not None and (not free or m in points) and m > open_:
+                want.add((k, begin + timedelta(minutes=open_), begin + timedelta(minutes=m)))
+                open_ = None
+            if free and open_ is None:
+                open_ = m
+    assert got == want

@@ -1,6 +1,7 @@
 from collections import Counter
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
+import numpy as np
 import pytest
 
 from signalflow.operators import tokens as ops
@@ -71,3 +72,47 @@ def test_wide(posts):
     assert [tuple(r) for r in wide.orderBy("iso_weekstartdate").collect()] == [(W1, 1, 0, 3, 1), (W2, 1, 1, 0, 0)]
     with pytest.raises(ValueError):
         ops.wide_tokens(ops.weekly_tokens(posts), max_columns=2)
+
+
+def weekly(spark):
+    weeks = [date(2024, 1, 1) + timedelta(days=7 * i) for i in range(8)]
+    counts = {"up": [1, 2, 3, 4, 5, 6, 7, 8], "rare": [0, 0, 5, 0, 0, 0, 0, 1], "flat": [2] * 8}
+    rows = [(w, t, c) for t, cs in counts.items() for w, c in zip(weeks, cs) if c]
+    y = [1.0, 3.0, None, 2.0, 5.0, 4.0, 7.0, 9.0]
+    return weeks, counts, y, spark.createDataFrame(rows, "iso_weekstartdate date, token string, cnt long"), spark.createDataFrame(list(zip(weeks, y)), "date date, y double")
+
+
+def test_correlation_counts_absent_tokens_as_zero(spark):
+    weeks, counts, y, tokens, series = weekly(spark)
+    got = {r.token: r.r for r in ops.token_correlation(tokens, series, "y").collect()}
+    there = [i for i, v in enumerate(y) if v is not None]
+    for t in ("up", "rare"):
+        want = np.corrcoef([counts[t][i] for i in there], [y[i] for i in there])[0, 1]
+        assert abs(got[t] - want) < 1e-12
+    assert got["flat"] is None
+    assert ops.token_correlation(tokens.limit(0), series, "y").count() == 0
+
+
+def test_lags_of_tokens_in_long_form_and_as_vectors(spark):
+    weeks, counts, y, tokens, series = weekly(spark)
+    axis = series.filter("y IS NOT NULL")  # without the third week: lags go by position
+    long = ops.token_lags(tokens, axis, 2)
+    there = [w for w, v in zip(weeks, y) if v is not None]
+    want = {}
+    for i, w in enumerate(there):
+        for lag in range(3):
+            for t, cs in counts.items():
+                if i >= lag and cs[weeks.index(there[i - lag])]:
+                    want[w, t, lag] = cs[weeks.index(there[i - lag])]
+    assert {(r.date, r.token, r["lag"]): r.cnt for r in long.collect()} == want
+    vectors = {r.date: r.features for r in ops.token_vectors(long, axis, 2).collect()}
+    names = sorted({t for _, t, _ in want})
+    assert len(vectors) == 7
+    for w, v in vectors.items():
+        dense = np.zeros(len(names) * 3)
+        for (d, t, lag), c in want.items():
+            if d == w:
+                dense[lag * len(names) + names.index(t)] = c
+        assert np.array_equal(v.toArray(), dense)
+    empty = ops.token_vectors(long.limit(0), axis, 2).collect()
+    assert len(empty) == 7 and all(r.features.numNonzeros() == 0 for r in empty)
