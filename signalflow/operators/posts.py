@@ -55,6 +55,41 @@ def pending(posts: DataFrame, hints: DataFrame, lang: str, limit: int | None = N
     return rows if limit is None else rows.limit(limit)
 
 
+# Tries after which a post that could not be annotated is left alone.
+MOST_TRIES = 5
+LEDGER_COLUMNS = "uri string, record__text string, record__langs string, tries int"
+
+
+def enqueued(ledger: DataFrame, posts: DataFrame, hints: DataFrame) -> DataFrame:
+    """The ledger of posts to annotate with those of a night's batch: ``(uri, record__text, record__langs, tries)``.
+
+    A post enters once, whatever keywords found it, unless it has an annotation or stands in the ledger already; with
+    different texts the greatest holds. ``hints`` needs only to hold the annotations that the batch's uris may have, so
+    a night reads the backlog and the new posts, not all posts against all hints. A post without uri can't
+    be annotated by uri and doesn't enter. The ledger has one row a uri.
+    """
+    new = posts.filter("uri IS NOT NULL").groupBy("uri").agg(F.max(F.struct("record__text", "record__langs")).alias("__post"))
+    new = new.join(hints.select("uri"), "uri", "left_anti").join(ledger.select("uri"), "uri", "left_anti")
+    return ledger.select("uri", "record__text", "record__langs", "tries").unionByName(new.select("uri", "__post.*", F.lit(0).alias("tries")))
+
+
+def settled(ledger: DataFrame, labels: DataFrame, most_tries: int = MOST_TRIES) -> DataFrame:
+    """The ledger after a night: annotated posts leave it, a failed one has one try more and leaves after the last.
+
+    ``labels`` has ``uri`` and ``error`` (NULL: annotated) of the posts that were tried, others wait on.
+    """
+    tried = labels.groupBy("uri").agg(F.max(F.col("error").isNull()).alias("__done"))
+    rows = ledger.join(tried, "uri", "left").filter("__done IS NULL OR NOT __done")
+    rows = rows.withColumn("tries", F.col("tries") + F.when(F.col("__done").isNull(), 0).otherwise(1)).drop("__done")
+    return rows.filter(F.col("tries") < most_tries).select(*ledger.columns)
+
+
+def due(ledger: DataFrame, langs: Sequence[str], limit: int | None = None) -> DataFrame:
+    """Posts of the ledger in exactly one of these languages, the least tried first where ``limit`` asks for a test run."""
+    rows = ledger.filter(F.col("record__langs").isin(list(langs)))
+    return rows if limit is None else rows.orderBy("tries", "uri").limit(limit)
+
+
 def weekly_distinct(posts: DataFrame, name: str) -> DataFrame:
     """Distinct uris per ISO week of creation."""
     return posts.groupBy(iso_week("record__created_at").alias("iso_weekstartdate")).agg(

@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, timedelta
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +17,7 @@ from signalflow.config import DailyJob
 from signalflow.operators.annotate import annotate, hint_rows, rule_annotation
 from signalflow.operators.counts import daily_counts
 from signalflow.operators.features import calendar_features
-from signalflow.operators.posts import pending
+from signalflow.operators.posts import LEDGER_COLUMNS, due, enqueued, settled
 from signalflow.plans import signals
 from signalflow.plans.forecast import run_forecast
 from signalflow.session import written
@@ -46,17 +45,21 @@ def ingest_pages(spark: SparkSession, job: DailyJob, start: date, end: date | No
     return posts
 
 
-def annotate_pending(spark: SparkSession, job: DailyJob, fn: Callable[[str], dict] | None = None) -> None:
-    """Label the stored posts that have no label yet: by rules, or by the caller's function."""
-    posts = sinks.read_table(spark, f"{job.store}/posts", POST_COLUMNS)
-    path = f"{job.store}/hints"
-    stored = sinks.read_table(spark, path, HINT_COLUMNS)
-    langs = sorted({s.lang for s in job.specs})
-    todo = reduce(DataFrame.union, [pending(posts, stored, lang) for lang in langs])
-    # a post that several keywords found is labelled once
-    todo = todo.groupBy("uri").agg(F.min("record__text").alias("record__text"))
-    labels = annotate(todo, fn) if fn else rule_annotation(todo)
+def annotate_pending(spark: SparkSession, job: DailyJob, posts: DataFrame, fn: Callable[[str], dict] | None = None) -> None:
+    """Label the night's ``posts`` and what is left in the ledger: by rules, or by the caller's function.
+
+    The ledger at ``store/pending`` holds the posts that wait, so neither all stored posts nor all labels are read. A
+    post whose label failed is tried again in the next nights; labels are stored before the ledger lets a post go.
+    """
+    path, ledger = f"{job.store}/hints", f"{job.store}/pending"
+    waiting = sinks.read_table(spark, ledger, LEDGER_COLUMNS)
+    new = posts.select("uri", "record__text", "record__langs")
+    waiting = written(enqueued(waiting, new, sinks.hints_of(spark, path, new, HINT_COLUMNS)), "pending")
+    todo = due(waiting, sorted({s.lang for s in job.specs}))
+    labels = annotate(todo, fn) if fn else rule_annotation(todo).withColumn("error", F.lit(None).cast("string"))
+    labels = written(labels, "labels")
     sinks.upsert_hints(spark, path, hint_rows(labels))
+    sinks.replace(settled(waiting, labels), ledger)
 
 
 def ingest_cases(spark: SparkSession, job: DailyJob, schema: str | None = None) -> None:
@@ -98,7 +101,7 @@ def run_daily(
     posts = ingest_pages(spark, job, start, end)
     if posts.isEmpty() and not sinks.table_exists(spark, f"{job.store}/posts"):
         return
-    annotate_pending(spark, job, fn)
+    annotate_pending(spark, job, staged_posts(posts), fn)
     ingest_cases(spark, job, case_schema)
     build_signals(spark, job)
     if model is None:

@@ -13,7 +13,7 @@ from signalflow.plans import signals
 from signalflow.plans.q_signals import signal, weekly
 from signalflow.plans.registry import query
 from signalflow.plans.standins import CAL, POST_SPEC, SPEC, cases, counts, event_posts, hints, posts, table, with_ctes
-from signalflow.session import scratch_path
+from signalflow.session import scratch_path, written
 from signalflow.sources import sinks
 from signalflow.sources.flatten import child_rows, flatten_struct
 
@@ -304,7 +304,7 @@ def stored_posts_by_keyword(spark, sf):
     path = scratch_path(spark, "posts")
     versions = event_posts(spark, sf).select("keyword", F.col("k").cast("string").alias("uri"), "event_time")
     for batch in (versions.filter("minute(event_time) < 40"), versions.filter("minute(event_time) >= 20")):
-        sinks.upsert_posts(spark, path, batch, "event_time", buckets=4)
+        sinks.upsert_posts(spark, path, batch, "event_time", buckets=4, created="event_time")
     return spark.read.parquet(path).groupBy("keyword").agg(F.count("uri").alias("uris"), F.max("event_time").alias("newest"))
 
 
@@ -343,7 +343,31 @@ def annotation_run(spark, sf):
     stored = spark.read.parquet(path)
     fresh = annotate(ops.pending(posts(spark, sf), stored, "en"), _length_rule)
     sinks.upsert_hints(spark, path, hint_rows(fresh), buckets=4)
-    return spark.read.parquet(path).drop("uri_bucket")
+    return spark.read.parquet(path).drop("hint_month", "uri_bucket")
+
+
+@query(
+    "annotation_ledger",
+    with_ctes(
+        "posts hints",
+        """SELECT uri, CASE WHEN record__langs <> 'en' THEN 0 WHEN record__created_at < TIMESTAMP '1998-01-01' THEN 2 ELSE 1 END AS tries
+FROM posts WHERE uri NOT IN (SELECT uri FROM hints) AND (record__langs <> 'en' OR length(record__text) > 10000)""",
+    ),
+)
+def annotation_ledger(spark, sf):
+    """What waits after two nights: posts of other languages, and English ones whose annotation fails, with their tries."""
+    path = scratch_path(spark, "hints")
+    sinks.upsert_hints(spark, path, hints(spark, sf), buckets=4)
+    schema = "uri string, ili_related boolean, symptoms string"
+    ledger = spark.createDataFrame([], ops.LEDGER_COLUMNS)
+    early = F.col("record__created_at") < F.lit("1998-01-01").cast("timestamp")
+    for night in (early, ~early):
+        new = posts(spark, sf).filter(night)
+        ledger = written(ops.enqueued(ledger, new, sinks.hints_of(spark, path, new, schema, buckets=4)), "ledger")
+        labels = written(annotate(ops.due(ledger, ("en",)), _length_rule), "labels")
+        sinks.upsert_hints(spark, path, hint_rows(labels), buckets=4)
+        ledger = written(ops.settled(ledger, labels), "ledger")
+    return ledger.select("uri", "tries")
 
 
 @query(

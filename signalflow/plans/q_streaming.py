@@ -59,8 +59,8 @@ def stream_upsert(spark, sf):
     """Latest version of a post per keyword over all landed files (the value in ``props`` stands for the uri)."""
     path = scratch_path(spark, "posts")
     versions = landed_posts(spark, sf).select(F.col("k").cast("string").alias("uri"), "event_time", "keyword")
-    stream.stream_posts(versions, path, scratch_path(spark, "ckpt"), order="event_time")
-    return spark.read.parquet(path).drop("post_bucket")
+    stream.stream_posts(versions, path, scratch_path(spark, "ckpt"), order="event_time", created="event_time")
+    return spark.read.parquet(path).drop("post_month", "post_bucket")
 
 
 @query(

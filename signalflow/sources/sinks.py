@@ -91,22 +91,135 @@ def upsert(
 
 # Layouts of the merged tables: keys and partition column.
 COUNT_KEYS = ("period_start", "langs", "query")
-URI_BUCKETS = 64
+URI_BUCKETS = 16
 
 
 def upsert_counts(spark: SparkSession, path: str, counts: DataFrame, order: str | None = None) -> None:
     upsert(spark, path, counts, COUNT_KEYS, ("period_month", F.trunc("period_start", "month")), order)
 
 
-def upsert_posts(spark: SparkSession, path: str, posts: DataFrame, order: str | None = None, buckets: int = URI_BUCKETS) -> None:
-    """Posts by keyword and uri, in hash buckets of both; a post that two keywords find is stored for each."""
+# A key filter has so many bits for the keys of one table partition; Spark cuts it into bitmaps of 4 KB, of which
+# only those with a key are stored.
+FILTER_BITS = 1 << 20
+
+
+def _slot(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS))
+
+
+def _key_filter(rows: DataFrame, keys: Sequence[str], parts: Sequence[str]) -> DataFrame:
+    """``(*parts, word, bits)``: which hashes of keys occur in each table partition."""
+    slots = rows.select(*parts, _slot(keys).alias("slot"))
+    return slots.groupBy(*parts, F.bitmap_bucket_number("slot").alias("word")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+
+
+def possible_partitions(filters: DataFrame, batch: DataFrame, keys: Sequence[str], parts: Sequence[str]) -> DataFrame:
+    """Distinct table partitions that may hold a key of ``batch``, which has the last of ``parts`` (the key's bucket)."""
+    bucket, slot = parts[-1], F.col("__slot")
+    wanted = batch.select(bucket, _slot(keys).alias("__slot")).distinct()
+    wanted = wanted.select(bucket, F.bitmap_bucket_number(slot).alias("word"), F.bitmap_bit_position(slot).alias("__at"))
+    byte = F.conv(F.hex(F.substring(F.col("bits"), F.expr("cast(__at div 8 + 1 as int)"), F.lit(1))), 16, 10).cast("int")
+    hit = byte.bitwiseAND(F.expr("shiftleft(1, cast(__at % 8 as int))")) != 0
+    return filters.join(wanted, [bucket, "word"]).filter(hit).select(*parts).distinct()
+
+
+def _among(parts: Sequence[str], listed: Sequence[tuple]) -> Column:
+    """Whether a row lies in one of the listed table partitions; a filter on partition columns only, so it prunes the scan."""
+    out = F.lit(False)
+    by_first: dict = {}
+    for first, bucket in listed:
+        by_first.setdefault(first, []).append(bucket)
+    for first, buckets in by_first.items():
+        own = F.col(parts[0]).isNull() if first is None else F.col(parts[0]) == F.lit(first)
+        out = out | (own & F.col(parts[1]).isin(buckets))
+    return F.coalesce(out, F.lit(False))
+
+
+def merge(
+    spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], period: tuple[str, Column], bucket: tuple[str, Column], order: str | None = None
+) -> None:
+    """Merge ``batch`` into a table whose partitions are a period and, within it, a bucket of the key's hash.
+
+    The period need not follow from the key: a known key stays in the partition it was first stored in. Beside the table, at
+    ``<path>_keys``, lies a filter of the keys of each partition. Only partitions that may hold a key of the batch
+    by their filter are read and rewritten; the rows of all others are appended as new files. So the cost follows
+    the batch and what it replaces, not the age of the table. ``order`` and repeated batches are as in :func:`upsert`.
+
+    Filters are written first: if the driver dies before the data are there, the next run reads a partition in vain
+    or finds the rows, but never stores a key twice. Merged partitions are written beside the table before they are swapped.
+    """
+    parts = (period[0], bucket[0])
+    incoming = written(keep_latest(batch.withColumns(dict([period, bucket])), keys, [order] if order else []), "batch")
+    if incoming.isEmpty():
+        return
+    filters = f"{path}_keys"
+    new = written(_key_filter(incoming, keys, parts), "keys")
+    listed: list[tuple] = []
+    if table_exists(spark, filters) and table_exists(spark, path):
+        hits = possible_partitions(spark.read.schema(new.schema).parquet(filters), incoming, keys, parts)
+        listed = [tuple(r) for r in hits.collect()]  # partitions, of which a table has few beside its rows
+    if not listed:
+        new.write.mode("append").partitionBy(*parts).parquet(filters)
+        _append(incoming, path, parts)
+        return
+    touched = _among(parts, listed)
+    old = spark.read.schema(incoming.schema).parquet(path).filter(touched)
+    both = incoming.withColumn("__source", F.lit(1)).unionByName(old.withColumn("__source", F.lit(0)))
+    # a known key stays where it is
+    home = F.min(F.when(F.col("__source") == 0, F.struct(*[F.col(p).alias(f"__{p}") for p in parts]))).alias("__home")
+    rest = [c for c in both.columns if c not in keys and c not in (order, "__source")]
+    newest = F.max(F.struct(*([order] if order else []), "__source", *rest)).alias("__row")
+    latest = both.groupBy(*keys).agg(newest, home).select(*keys, "__row.*", "__home")
+    for p in parts:
+        latest = latest.withColumn(p, F.when(F.col("__home").isNotNull(), F.col(f"__home.__{p}")).otherwise(F.col(p)))
+    rows = written(latest.select(*incoming.columns), "merge")
+    kept, fresh = rows.filter(touched), rows.filter(~touched)
+    new.write.mode("append").partitionBy(*parts).parquet(filters)
+    kept.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+    _append(fresh, path, parts)
+    # now the rewritten partitions' filters can be made of what they hold, once each
+    _key_filter(kept, keys, parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(filters)
+
+
+def stored_keys(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], bucket: tuple[str, Column], period: str, schema: str) -> DataFrame:
+    """Rows of the table of :func:`merge` that may have a key of ``batch``: those of the partitions its filters name."""
+    if not (table_exists(spark, path) and table_exists(spark, f"{path}_keys")):
+        return spark.createDataFrame([], schema)
+    parts = (period, bucket[0])
+    filters = spark.read.parquet(f"{path}_keys")
+    listed = [tuple(r) for r in possible_partitions(filters, batch.withColumn(*bucket), keys, parts).collect()]
+    return spark.read.parquet(path).filter(_among(parts, listed))
+
+
+def _append(rows: DataFrame, path: str, parts: Sequence[str]) -> None:
+    if not rows.isEmpty():
+        rows.hint("rebalance", *parts).write.mode("append").partitionBy(*parts).parquet(path)
+
+
+def upsert_posts(
+    spark: SparkSession, path: str, posts: DataFrame, order: str | None = None, buckets: int = URI_BUCKETS, created: str | None = "record__created_at"
+) -> None:
+    """Posts by keyword and uri, by month of creation and hash bucket; a post that two keywords find is stored for each.
+
+    ``created`` names the column of the month; without one all posts are of one period.
+    """
+    month = F.trunc(created, "month") if created else F.lit(None).cast("date")
     bucket = F.pmod(F.xxhash64("keyword", "uri"), F.lit(buckets)).cast("int")
-    upsert(spark, path, posts, ("keyword", "uri"), ("post_bucket", bucket), order)
+    merge(spark, path, posts, ("keyword", "uri"), ("post_month", month), ("post_bucket", bucket), order)
 
 
 def upsert_hints(spark: SparkSession, path: str, hints: DataFrame, buckets: int = URI_BUCKETS) -> None:
-    """Annotations by uri, in hash buckets: they have no date of their own and are narrow rows."""
-    upsert(spark, path, hints, ("uri",), ("uri_bucket", F.pmod(F.xxhash64("uri"), F.lit(buckets)).cast("int")))
+    """Annotations by uri, by the month they were made in and hash bucket; they are narrow rows without a date of their own."""
+    merge(spark, path, hints, ("uri",), ("hint_month", F.trunc(F.current_date(), "month")), _hint_bucket(buckets))
+
+
+def _hint_bucket(buckets: int) -> tuple[str, Column]:
+    return "uri_bucket", F.pmod(F.xxhash64("uri"), F.lit(buckets)).cast("int")
+
+
+def hints_of(spark: SparkSession, path: str, posts: DataFrame, schema: str, buckets: int = URI_BUCKETS) -> DataFrame:
+    """Stored annotations that posts of ``posts`` may have, without reading what none of their uris can hit."""
+    return stored_keys(spark, path, posts.select("uri"), ("uri",), _hint_bucket(buckets), "hint_month", schema)
 
 
 def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None = None) -> DataFrame:

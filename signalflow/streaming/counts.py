@@ -68,9 +68,11 @@ def stream_counts(posts: DataFrame, path: str, checkpoint: str, unit: str = "day
     )
 
 
-def stream_posts(posts: DataFrame, path: str, checkpoint: str, order: str | None = None) -> StreamingQuery:
-    """Merge landed posts into the post table by keyword and uri."""
-    return merge_stream(posts, lambda df: sinks.upsert_posts(df.sparkSession, path, df, order), checkpoint)
+def stream_posts(
+    posts: DataFrame, path: str, checkpoint: str, order: str | None = None, created: str | None = "record__created_at"
+) -> StreamingQuery:
+    """Merge landed posts into the post table by keyword and uri; a micro-batch of new posts only appends files."""
+    return merge_stream(posts, lambda df: sinks.upsert_posts(df.sparkSession, path, df, order, created=created), checkpoint)
 
 
 def append_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

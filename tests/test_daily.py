@@ -137,3 +137,24 @@ def test_empty_landing_is_no_error(spark, tmp_path, job):
     land(tmp_path / "landing", "grippe", START, [])
     run_daily(spark, job, START)
     assert not (tmp_path / "store" / "signals").exists()
+
+
+def test_failed_posts_are_tried_again_without_reading_all_posts(spark, tmp_path, job):
+    landing, store = tmp_path / "landing", tmp_path / "store"
+    who(landing, ("FRA", "DEU"))
+    for n in range(3):
+        day = START + timedelta(days=n)
+        land(landing, "grippe", day, [post(f"u{n}", day, FR if n else "broken " + FR, ["fr"])])
+    asked = []
+
+    def fn(text):
+        if text.startswith("broken"):
+            raise RuntimeError("down")
+        return {"ili_related": True, "symptoms": []}
+
+    for n in range(3):
+        run_daily(spark, job, START + timedelta(days=n), fn=fn, model=None)
+        asked.append({(r.uri, r.tries) for r in spark.read.parquet(f"{store}/pending").collect()})
+    # a day's pages reach into its neighbours, so the first post is met again on the second day, and stands in the ledger once
+    assert asked == [{("u0", 1)}, {("u0", 2)}, {("u0", 3)}]
+    assert {r.uri for r in spark.read.parquet(f"{store}/hints").collect()} == {"u1", "u2"}

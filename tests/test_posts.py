@@ -60,3 +60,22 @@ def test_weekly_and_long_counts(posts, spark, rows):
 def test_sample_size(posts):
     assert ops.sample_rows(posts, 2, 1).count() == 2
     assert ops.sample_rows(posts, 99, 1).count() == 5
+
+
+def test_ledger_of_pending_posts(spark, rows):
+    def made(*data):
+        return spark.createDataFrame(list(data), "uri string, record__text string, record__langs string")
+
+    hints = spark.createDataFrame([("known", True), (None, False)], "uri string, ili_related boolean")
+    ledger = spark.createDataFrame([("old", "t", "fr", 2)], ops.LEDGER_COLUMNS)
+    batch = made(("a", "x", "fr"), ("a", "y", "fr"), ("b", "z", "de"), ("known", "k", "fr"), ("old", "new text", "fr"), (None, "n", "fr"), ("c", None, None))
+    ledger = ops.enqueued(ledger, batch, hints).cache()
+    assert rows(ledger, "uri", "record__text", "tries") == [("a", "y", 0), ("b", "z", 0), ("c", None, 0), ("old", "t", 2)]
+    assert rows(ops.due(ledger, ("fr",)), "uri") == [("a",), ("old",)]
+    assert [r.uri for r in ops.due(ledger, ("fr", "de"), 2).collect()] == ["a", "b"]
+    labels = spark.createDataFrame([("a", None), ("old", "down"), ("b", "down")], "uri string, error string")
+    left = ops.settled(ledger, labels, most_tries=3).cache()
+    # done, failed for the last time, failed once, not tried
+    assert rows(left, "uri", "tries") == [("b", 1), ("c", 0)]
+    assert rows(ops.enqueued(left, batch.limit(0), hints.limit(0)), "uri", "tries") == [("b", 1), ("c", 0)]
+    assert ops.settled(left.limit(0), labels).count() == 0

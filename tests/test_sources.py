@@ -120,7 +120,7 @@ def test_posts_are_stored_per_keyword(spark, tmp_path, rows):
     path, schema = str(tmp_path / "posts"), "keyword string, uri string, seen int"
 
     def put(*data):
-        sinks.upsert_posts(spark, path, spark.createDataFrame(list(data), schema), "seen")
+        sinks.upsert_posts(spark, path, spark.createDataFrame(list(data), schema), "seen", created=None)
         return rows(spark.read.parquet(path), "keyword", "uri", "seen")
 
     assert put(("grippe", "u", 5), ("fievre", "u", 4), ("grippe", "u", 3)) == [("fievre", "u", 4), ("grippe", "u", 5)]
@@ -129,6 +129,39 @@ def test_posts_are_stored_per_keyword(spark, tmp_path, rows):
         assert put(("grippe", "u", 4), ("fievre", "u", 6)) == [("fievre", "u", 6), ("grippe", "u", 5)]
 
 
+def test_merge_touches_only_what_a_key_can_hit(spark, tmp_path, rows):
+    path, schema = tmp_path / "posts", "keyword string, uri string, record__created_at timestamp_ntz, v int"
+
+    def files():
+        return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+    def night(month, first, last, v):
+        batch = spark.createDataFrame([("k", f"u{i}", datetime(2024, month, 1 + i % 28), v) for i in range(first, last)], schema)
+        before = files()
+        sinks.upsert_posts(spark, str(path), batch, buckets=4)
+        after = files()
+        gone = {f for f in before if f not in after or after[f] != before[f]}
+        return gone, {f for f in after if f not in before}
+
+    stored = {}
+    for month in (1, 2, 3):
+        gone, new = night(month, month * 100, month * 100 + 60, month)
+        assert not gone and all(f"post_month=2024-0{month}-01" in f for f in new)
+        stored |= {f"u{i}": month for i in range(month * 100, month * 100 + 60)}
+    gone, new = night(3, 300, 360, 7)  # the same night again, with other values
+    assert gone and all("post_month=2024-03-01" in f for f in gone | new)
+    gone, new = night(4, 150, 151, 8)  # a key of January found again, dated otherwise: it stays where it is
+    assert len({f.rsplit("/", 1)[0] for f in gone | new}) == 1 and all("post_month=2024-01-01" in f for f in gone | new)
+    stored |= {f"u{i}": 7 for i in range(300, 360)} | {"u150": 8}
+    for _ in range(2):
+        night(4, 340, 380, 9)  # known and new keys in one batch, twice
+    stored |= {f"u{i}": 9 for i in range(340, 380)}
+    got = spark.read.parquet(str(path))
+    assert {r.uri: r.v for r in got.collect()} == stored and got.count() == len(stored)
+    filters = spark.read.parquet(f"{path}_keys").groupBy("post_month", "post_bucket", "word").count()
+    assert filters.filter("post_month < '2024-04-01' and count > 1").count() == 0
+
+
 def test_upsert_joins_partitions_beyond_the_list(spark, tmp_path, rows, monkeypatch):
     monkeypatch.setattr(sinks, "LISTED_PARTITIONS", 3)
     path, schema = str(tmp_path / "t"), "k int, v int"
