@@ -19,9 +19,10 @@ def numbered(df: DataFrame, order: Sequence[Column | str], name: str, label: str
     ranged = written(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()), label)
     part = F.shiftright("__at", 33)
     sizes = ranged.groupBy(part.alias("part")).agg(F.count("*").alias("n")).orderBy("part").collect()  # one row per partition
-    starts, total = [], 0
-    for row in sizes:
-        starts += [F.lit(row.part).cast("long"), F.lit(total).cast("long")]
-        total += row.n
-    start = F.element_at(F.create_map(*starts), part) if starts else F.lit(0).cast("long")
+    # partition numbers are dense, so a row finds its start in a literal array by index
+    starts, total, counts = [], 0, {row.part: row.n for row in sizes}
+    for number in range(max(counts, default=-1) + 1):
+        starts.append(total)
+        total += counts.get(number, 0)
+    start = F.get(F.lit(starts).cast("array<bigint>"), part.cast("int")) if starts else F.lit(0).cast("long")
     return ranged.withColumn(name, start + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))).drop("__at")

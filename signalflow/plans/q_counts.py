@@ -113,14 +113,10 @@ _AGG_SQL = {"sum": "sum", "mean": "avg", "min": "min", "max": "max", "count": "c
 def daily_aggregates(spark, sf):
     """Every aggregate by name, and one given as a function, of a small integer (a page's post count)."""
     posts = event_posts(spark, sf).withColumn("langs", F.array_join("langs", ","))
-    functions = {**{name: name for name in ops.AGGREGATES}, "range": lambda c: F.max(c) - F.min(c)}
-    out = None
-    for name, fn in functions.items():
-        part = ops.by_day(posts, "event_time", fn, "k").select(
-            F.lit(name).alias("fn"), "event_time", "langs", F.round(F.col("k").cast("double"), 6).alias("k")
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+    functions = {**ops.AGGREGATES, "range": lambda c: F.max(c) - F.min(c)}
+    wide = ops.by_day(posts, "event_time", lambda c: F.struct(*[F.round(fn(c).cast("double"), 6).alias(name) for name, fn in functions.items()]), "k")
+    # all measures come from one scan and one aggregation
+    return wide.select("event_time", "langs", "k.*").unpivot(["event_time", "langs"], list(functions), "fn", "k")
 
 
 @query(

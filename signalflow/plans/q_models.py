@@ -10,12 +10,14 @@ from signalflow.operators import importance as imp
 from signalflow.operators import models, series_models
 from signalflow.operators.align import zero_filled
 from signalflow.operators.boosting import BoostSpec
+from signalflow.operators.folds import positioned
 from signalflow.operators.stats import error_summary, fold_errors, regression_scores
 from signalflow.plans.forecast import model_columns, run_forecast
 from signalflow.plans.q_features import BY, short_signal
 from signalflow.plans.registry import query
 from signalflow.plans.standins import with_ctes
-from signalflow.session import literal_rows, written
+from signalflow.session import literal_rows, scratch_path, written
+from signalflow.sources import sinks
 
 # one feature and its lag: small enough that SQL can solve the same regression
 RIDGE = ForecastSpec(lags=1, horizon=1, normalize=False, n_splits=42, max_train=200)
@@ -99,6 +101,43 @@ def forecast_result(spark, sf):
     return out.withColumns({"cv_preds": F.round("cv_preds", 6), "abs_diff": F.round("abs_diff", 6)})
 
 
+_EXPORTED = """SELECT w.country_code, w.date, 'F' AS lang, w.ili_incidence * 100000 AS target,
+       round(r.yhat, 6) AS cv_preds, round(abs(r.y - r.yhat), 6) AS abs_diff
+FROM wsig w LEFT JOIN ridge r ON w.country_code = r.country_code AND w.date = r.target_date"""
+
+
+@query("forecast_export", with_ctes("wsig", _RIDGE + _EXPORTED))
+def forecast_export(spark, sf):
+    """The result table as it is exported for the dashboard and read back."""
+    path = scratch_path(spark, "export")
+    rows = written(ridge_frame(spark, sf), "ridge-rows")
+    fitted = written(series_models.fit_series(rows, RIDGE_FEATURES, BY, series_models.trainer("ridge")), "models")
+    importance = series_models.series_importance(rows, fitted, RIDGE_FEATURES, BY, repeats=2)
+    result = models.forecast_result(short_signal(spark, sf), models.ridge_cv(rows, RIDGE_FEATURES, BY, RIDGE), BY, "ili_incidence", "F")
+    sinks.export_forecast(result, importance, path, "signal", BY)
+    schema = "country_code string, date date, lang string, target double, cv_preds double, abs_diff double"
+    stored = spark.read.option("header", True).schema(schema).csv(f"{path}/signal")
+    return stored.withColumns({"cv_preds": F.round("cv_preds", 6), "abs_diff": F.round("abs_diff", 6)})
+
+
+@query(
+    "stored_models",
+    with_ctes(
+        "wsig",
+        _RIDGE.replace("r.rn < t.rn AND r.rn >= t.rn - 200", "true")
+        + "SELECT country_code, date, round(y, 4) AS y, round(yhat, 4) AS yhat FROM ridge",
+    ),
+)
+def stored_models(spark, sf):
+    """Models of all countries, stored, loaded again, and applied to the last 42 rows of each."""
+    path = scratch_path(spark, "models")
+    rows = written(ridge_frame(spark, sf), "ridge-rows")
+    sinks.replace(series_models.fit_series(rows, RIDGE_FEATURES, BY, series_models.trainer("ridge")), path)
+    placed = positioned(rows, BY).filter("rn >= n - 42 and n > 42").drop("rn", "n")
+    made = series_models.predict_series(placed, spark.read.parquet(path), RIDGE_FEATURES, BY)
+    return made.select("country_code", "date", F.round("y", 4).alias("y"), F.round("yhat", 4).alias("yhat"))
+
+
 def full_signal(spark, sf):
     """Weekly signal with calendar features; weeks without posts count 0 here, as in the daily signal."""
     return feats.calendar_features(zero_filled(short_signal(spark, sf), ("grippe_posts", "rest_posts")))

@@ -53,6 +53,6 @@ def test_post_merge(spark, tmp_path, rows):
     landed, table, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
     for hour, word in ((10, "first"), (12, "latest"), (11, "latest")):
         land(spark, landed, ("a", datetime(2024, 1, 1, hour), word, []))
-        ops.stream_posts(source(spark, landed).drop("langs"), table, ckpt, order="event_time")
+        ops.stream_posts(source(spark, landed).drop("langs"), table, ckpt, order="event_time", created="event_time")
     got = rows(spark.read.parquet(table), "uri", "keyword", "event_time")
     assert got == [("a", "first", datetime(2024, 1, 1, 10)), ("a", "latest", datetime(2024, 1, 1, 12))]
