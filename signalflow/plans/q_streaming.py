@@ -83,6 +83,25 @@ def stream_late_rows(spark, sf):
     return spark.read.parquet(store).groupBy("period_start", "query").agg(F.sum("post_count").alias("post_count"))
 
 
+@query(
+    "stream_late_repaired",
+    with_ctes(
+        "event_posts",
+        "SELECT event_time::DATE AS period_start, langs, keyword AS query, count(*)::BIGINT AS post_count FROM event_posts GROUP BY ALL",
+    ),
+)
+def stream_late_repaired(spark, sf):
+    """Posts that come days late, kept aside and counted by a repair of their days: the counts of all posts."""
+    path, base, store = (scratch_path(spark, n) for n in ("landed", "late", "counts"))
+    posts = event_posts(spark, sf)
+    for part in range(3):
+        posts.filter(F.col("k") % 3 == part).write.mode("append").parquet(path)
+    landed = spark.readStream.schema(posts.schema).option("maxFilesPerTrigger", 4).parquet(path)
+    stream.stream_counts_with_late(landed, base, store, scratch_path(spark, "ckpt"))
+    stream.repair_late_days(spark, base, store)
+    return spark.read.parquet(store).select("period_start", "langs", "query", "post_count")
+
+
 @query("stream_dedup", with_ctes("event_posts", "SELECT DISTINCT keyword || '/' || k AS uri FROM event_posts"))
 def stream_dedup(spark, sf):
     path = scratch_path(spark, "posts")
