@@ -1,7 +1,7 @@
 """Secret scan: three fixed patterns, and a battery of randomness tests for strings the patterns miss.
 
 A key or token is drawn at random from the alphabet of an encoding; a name, path, date or number is
-not. Every long enough string whose characters fit an encoding (hexadecimal, base32, base62, base64)
+not. Every long enough string whose characters fit an encoding (hexadecimal, base32, base36, base62, base64)
 is tested for uniform use of the alphabet (chi-squared), for the number of runs above and below the
 alphabet's middle, and for correlation of neighbours. A string that looks unlike random in any test
 is a discovery of structure; the discoveries are limited to a given false rate by the step-up rule of
@@ -26,14 +26,17 @@ ASSIGN = (
 )
 KINDS = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]{14,}", "hex": r"[0-9a-f]{16,}"}
 LEAST_ASSIGNED = 12
-# Candidates of the method: maximal runs of these characters.
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+# Candidates of the method: maximal runs of these characters; an equals sign only ends one, so that a name before it is
+# a run of its own.
+CANDIDATE = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 # Encodings by what their strings hold; the first that fits is taken. A string of one class of characters
 # (a word, a number) fits none.
 ENCODINGS = (
     ("hex", r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]+$", "0123456789abcdef"),
     ("HEX", r"^(?=.*[0-9])(?=.*[A-F])[0-9A-F]+$", "0123456789ABCDEF"),
     ("base32", r"^(?=.*[2-7])(?=.*[A-Z])[A-Z2-7]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
+    ("base36", r"^(?=.*[0-9])(?=.*[a-z])[a-z0-9]+$", "abcdefghijklmnopqrstuvwxyz0123456789"),
+    ("BASE36", r"^(?=.*[0-9])(?=.*[A-Z])[A-Z0-9]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"),
     ("base62", r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"),
     ("base64", r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9+/]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64url", r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9_-]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
@@ -112,6 +115,27 @@ def _spans(text: Column, pattern: str, groups: bool = False) -> Column:
     )
 
 
+def _without_base(run: Column) -> Column:
+    """The parts of a run that lie outside all spans of the column ``base``, which is in order."""
+
+    def part(begin: Column, end: Column) -> Column:
+        return F.struct(begin.alias("start"), end.alias("end"), F.substring(run["value"], begin - run["start"] + 1, end - begin).alias("value"))
+
+    hits = F.filter("base", lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    begun = F.struct(run["start"].alias("at"), none.alias("out"))
+
+    def cut(acc: Column, b: Column) -> Column:
+        behind = F.greatest(acc["at"], b["end"])
+        before = F.when(b["start"] > acc["at"], F.array_append(acc["out"], part(acc["at"], b["start"]))).otherwise(acc["out"])
+        return F.struct(behind.alias("at"), before.alias("out"))
+
+    def rest(acc: Column) -> Column:
+        return F.when(acc["at"] < run["end"], F.array_append(acc["out"], part(acc["at"], run["end"]))).otherwise(acc["out"])
+
+    return F.when(F.size(hits) == 0, F.array(run)).otherwise(F.aggregate(hits, begun, cut, rest))
+
+
 def _of_kind(number: int):
     return lambda s: F.struct(s["start"].alias("start"), F.lit(number).alias("kind"), s["end"].alias("end"))
 
@@ -144,8 +168,8 @@ def structure_limits(tested: DataFrame) -> DataFrame:
 def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``id`` and ``spans``, an array of ``(start, kind, end)`` in order, of every row of ``docs``.
 
-    Kinds are numbered as in :data:`KINDS`, 3 is a string found by the tests alone (it overlaps no
-    span of the patterns). A NULL text is empty. The texts are scanned once; positions and p-values
+    Kinds are numbered as in :data:`KINDS`, 3 is a string found by the tests alone. Spans of the patterns are taken out of
+    a run of characters, and what is left on either side is tested if it is long enough. A NULL text is empty. The texts are scanned once; positions and p-values
     are written, then the limits are counted from them and applied. Rows are never shuffled.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
@@ -157,7 +181,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
         base.append(F.transform(spans, _of_kind(number)))
     rows = docs.select(F.col(id_col).alias("id"), whole.alias("whole"))
     rows = rows.select("id", F.array_sort(F.concat(*base)).alias("base"), _spans(F.col("whole"), CANDIDATE).alias("runs"))
-    free = F.filter("runs", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
+    free = F.flatten(F.transform("runs", _without_base))
     encoding, alphabet = F.lit(None).cast("string"), F.lit(None).cast("string")
 
     def tested(r: Column) -> Column:

@@ -194,6 +194,31 @@ def test_random_strings_are_found_and_structured_ones_are_not(spark):
     assert got[first].spans == f"random:4:{4 + len(keys[first])}"
 
 
+def test_names_before_values_and_alphabets_of_36(spark):
+    rng = random.Random(22)
+    low, high = "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    both = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    draw = lambda letters, n=40: "".join(rng.choice(letters) for _ in range(n))
+    texts = [f"AWS_ACCESS_NUMBER_OF_US={draw(both)}" for _ in range(40)] + [f"auth={draw(low)} x" for _ in range(40)] + [f"id: {draw(high)}" for _ in range(40)]
+    plain = [f"chapter1section{i}aaaaaaaabbbbbbb" for i in range(60)]
+    # a span of the patterns inside a run: what is left behind it is tested
+    texts += [f"deadbeef0123456789_{draw(both)}" for _ in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts + plain)), "doc_id long, text string")
+    got = {r.doc_id: r for r in secrets.secret_spans(docs).collect()}
+    hits = [got[i].n_random for i in range(len(texts))]
+    assert all(sum(hits[k : k + 40]) >= 34 for k in (0, 40, 80))
+    assert sum(hits[120:]) >= 14
+    assert sum(got[len(texts) + i].n_random for i in range(len(plain))) <= 3
+    for i, text in enumerate(texts[:120]):
+        for span in got[i].spans.split(","):
+            if span.startswith("random"):
+                _, a, b = span.split(":")
+                assert len(text[int(a) : int(b)]) == 40 and "=" not in text[int(a) : int(b)]
+    for i in range(120, 140):
+        spans = sorted((int(a), int(b), k) for k, a, b in (x.split(":") for x in got[i].spans.split(",")))
+        assert spans[0] == (0, 18, "hex") and all(x[1] <= y[0] for x, y in zip(spans, spans[1:]))
+
+
 def test_separator_scan_over_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(separator_scan, "SEGMENT_BLOCKS", 3)
     rng = random.Random(3)
