@@ -14,10 +14,12 @@ VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def op1_html_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page; a NULL or empty page has an empty one."""
     return html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every whole text, by three patterns and by tests of randomness."""
     return secrets.secret_spans(documents(spark, sf_dir))
 
 
@@ -26,10 +28,12 @@ END_OF_DOCUMENT = 50256
 
 
 def op3_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in flat files without an index."""
     return separator_scan.token_counts(documents(spark, sf_dir), VOCABULARY, public_tokenizers.PATTERN, END_OF_DOCUMENT)
 
 
 def op4_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its lines with words, those that an earlier line matches, and links between lines."""
     return line_join.line_verdicts(documents(spark, sf_dir))
 
 
@@ -38,26 +42,32 @@ MIX_SHARE, MIX_EPOCHS = 1.0, 2
 
 
 def op5_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each document is delivered under the budgets of domain, language and source."""
     return mixing.mixed_documents(documents(spark, sf_dir), MIX_SHARE, MIX_EPOCHS)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of the quality rules for every document."""
     return quality.quality_rules(documents(spark, sf_dir))
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of equal texts of every document, and which one of it stays."""
     return exact_dedup.exact_classes(documents(spark, sf_dir))
 
 
 def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates of every document."""
     return order_minhash.near_classes(documents(spark, sf_dir))
 
 
 def op9_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document in a reproducible shuffle."""
     return sharding.shard_documents(documents(spark, sf_dir))
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the token ids of every text and of what they decode to."""
     return bpe.token_digests(documents(spark, sf_dir), VOCABULARY, public_tokenizers.PATTERN)
 
 
