@@ -12,7 +12,7 @@ from signalflow.plans.q_signals import signal
 from signalflow.plans.registry import query
 from signalflow.plans.standins import cases, event_posts, posts, table, with_ctes
 from signalflow.session import scratch_path
-from signalflow.sources import pages, sinks, surveillance, tables
+from signalflow.sources import drift, pages, sinks, surveillance, tables
 
 INSTANT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
@@ -250,3 +250,30 @@ def weekly_tokens_csv(spark, sf):
     sinks.export_csv(token_ops.wide_tokens(long), path, single_file=True)
     out = tables.long_weekly_tokens(tables.read_weekly_tokens(spark, path))
     return out.withColumn("cnt", F.col("cnt").cast("bigint"))
+
+
+@query(
+    "json_drift",
+    """WITH e AS (SELECT event_id, CAST(props->>'k' AS INT) AS k, user_id, event_type, value, ts >= TIMESTAMP '2024-01-16' AS later FROM events)
+SELECT event_id, user_id AS user__id, CASE WHEN later THEN 'k' || k ELSE k::VARCHAR END AS k,
+  CASE WHEN later THEN event_type END AS user__kind, CASE WHEN later THEN value END AS post_value,
+  CASE WHEN later THEN event_type || ',' || k END AS tags
+FROM e""",
+)
+def json_drift(spark, sf):
+    """Two batches of events: the second has new fields, and another type in an old one."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    text = k.cast("string")
+    user, later = F.col("user_id").alias("id"), F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
+    early = F.to_json(F.struct(k.alias("k"), F.struct(user).alias("user")))
+    full = F.struct(
+        F.concat(F.lit("k"), text).alias("k"),
+        F.struct(user, F.col("event_type").alias("kind")).alias("user"),
+        F.col("value").alias("postValue"),
+        F.array(F.col("event_type"), text).alias("tags"),
+    )
+    events, path = table(spark, sf, "events"), scratch_path(spark, "drift")
+    drift.land_batch(events.filter(~later).withColumn("raw", early), path, "1", "raw", ("event_id",))
+    drift.land_batch(events.filter(later).withColumn("raw", F.to_json(full)), path, "2", "raw", ("event_id",))
+    rows = drift.read_drifting(spark, path, ("event_id",))
+    return rows.select("event_id", "user__id", "k", "user__kind", F.col("post_value").cast("double"), F.array_join("tags", ",").alias("tags"))
