@@ -9,6 +9,7 @@ built for a vocabulary of known size.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import wraps
 
 import pandas as pd
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
@@ -20,12 +21,30 @@ from signalflow.functions.dates import week_bucket
 from signalflow.functions.text import clean_text, joined, raw_words, without_words, words
 from signalflow.operators.ranks import numbered
 
-Stemmer = Callable[[str], str]
+# A function of a word in Python, or a column expression marked by ``by_columns``.
+Stemmer = Callable[[str], str] | Callable[[Column], Column]
 WEEK = "iso_weekstartdate"
 
 
+def by_columns(expression: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    """Mark a stemmer as a column expression, so that it stays in the JVM."""
+
+    @wraps(expression)
+    def marked(word: Column) -> Column:
+        return expression(word)
+
+    marked.by_columns = True
+    return marked
+
+
+def _is_expression(stemmer: Stemmer) -> bool:
+    return getattr(stemmer, "by_columns", False)
+
+
 def stemmed(tokens: Column, stemmer: Stemmer) -> Column:
-    """Apply a per-word stemmer to token arrays, each distinct word of a batch once."""
+    """Apply a per-word stemmer to token arrays; one in Python sees each distinct word of a batch once."""
+    if _is_expression(stemmer):
+        return F.transform(tokens, stemmer)
 
     @F.pandas_udf("array<string>")
     def apply(batch: pd.Series) -> pd.Series:
@@ -42,6 +61,9 @@ def stemmed(tokens: Column, stemmer: Stemmer) -> Column:
 
 
 def stemmed_word(token: Column, stemmer: Stemmer) -> Column:
+    if _is_expression(stemmer):
+        return stemmer(token)
+
     @F.pandas_udf("string")
     def apply(batch: pd.Series) -> pd.Series:
         return batch.map({w: stemmer(w) for w in batch.unique()})
@@ -88,8 +110,8 @@ def weekly_tokens(
 ) -> DataFrame:
     """Long weekly token counts ``(*by, iso_weekstartdate, token, cnt)``.
 
-    Single words are counted before they are stemmed, so the Python stemmer sees
-    each (week, word) once instead of every occurrence.
+    Single words are counted before they are stemmed, and every distinct word of the
+    vocabulary is stemmed once; its counts then meet their stem in a join on the word.
     """
     week = week_bucket(created, anchor).alias(WEEK)
     keys = [*by, WEEK, "token"]
@@ -113,7 +135,8 @@ def weekly_tokens(
     counted = exploded.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
     if stemmer is None or ngram_range != (1, 1):
         return counted
-    stems = counted.withColumn("token", stemmed_word(F.col("token"), stemmer))
+    vocabulary = counted.select("token").distinct().select("token", stemmed_word(F.col("token"), stemmer).alias("__stem"))
+    stems = counted.join(vocabulary, "token").select(*keys[:-1], F.col("__stem").alias("token"), "cnt")
     if stop:
         stems = stems.filter(~F.col("token").isin(*stop))
     return stems.groupBy(*keys).agg(F.sum("cnt").alias("cnt"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from signalflow.functions.french import french_stem
 from signalflow.functions.text import clean_text, stop_words
 from signalflow.operators import tokens as ops
 from signalflow.operators.models import estimator
@@ -59,8 +60,9 @@ def weekly_token_counts(spark, sf):
     return weekly_tokens(spark, sf)
 
 
-def _first_five(word: str) -> str:
-    return word[:5]
+@ops.by_columns
+def _first_five(word):
+    return F.left(word, F.lit(5))
 
 
 @query(
@@ -77,6 +79,12 @@ def weekly_stem_counts(spark, sf):
     return weekly_tokens(spark, sf, stemmer=_first_five)
 
 
+@query("weekly_french_stem_counts")
+def weekly_french_stem_counts(spark, sf):
+    """The French stems of all posts per week, without those equal to a stop word of the default French list."""
+    return ops.weekly_tokens(posts(spark, sf), stop=stop_words(spark, "french"), stemmer=ops.by_columns(french_stem))
+
+
 @query(
     "weekly_bigram_counts",
     with_ctes(

@@ -116,3 +116,13 @@ def test_lags_of_tokens_in_long_form_and_as_vectors(spark):
         assert np.array_equal(v.toArray(), dense)
     empty = ops.token_vectors(long.limit(0), axis, 2).collect()
     assert len(empty) == 7 and all(r.features.numNonzeros() == 0 for r in empty)
+
+
+def test_stemmer_as_expression(posts):
+    from signalflow.functions.french import french_stem
+
+    french = ops.by_columns(french_stem)
+    got = counts(ops.weekly_tokens(posts, stop=["la", "et"], stemmer=french))
+    assert got == {(W1, "jai"): 1, (W1, "gripp"): 3, (W1, "fievr"): 1, (W2, "fievr"): 2}
+    arrays = {r.uri: r.preprocessed_text for r in ops.token_arrays(posts, stop=["la", "et"], stemmer=french).collect()}
+    assert arrays["u1"] == "jai gripp gripp" and arrays["u2"] == "gripp fievr" and arrays["u4"] == ""
