@@ -3,12 +3,13 @@
 A line is the set of its words. Two lines match when the Jaccard similarity of their sets is at least
 4/5. Words are put in one global order, rare ones first; sets that match must then share a word
 among their first few (prefix filter), at places from which enough words can still follow (positional
-filter), and have similar sizes (length filter). What passes is verified on the whole sets. Equal sets
-are one class and are joined as one; only classes that differ form pairs.
+filter), and have similar sizes (length filter). A signature of 64 bits, each the parity of the words
+that hash to it, bounds from below how many words two sets don't share, so most of the other candidates
+end in the join itself. What passes is verified on the whole sets. Equal sets are one class and are
+joined as one; only classes that differ form pairs.
 
-The order is a table of fixed size: words are counted by slots of their hash, and within one class
-of counts longer words come first. Any global order gives the same links; a better one only gives
-fewer candidates.
+The order is a table of fixed size: words are counted by slots of their hash. Any global order gives
+the same links; a better one only gives fewer candidates. Words are compared by 64 bits of hash.
 """
 
 from __future__ import annotations
@@ -30,38 +31,39 @@ LEAST = 4
 MOST = 1 << 31
 # Bits of the table of lines that have a candidate.
 TABLE_BITS = 1 << 18
+WHITE = r"[\x20\x09-\x0D]+"
 
 
 def _words(line: Column) -> Column:
-    """Distinct words of a line."""
-    return F.array_remove(F.array_distinct(F.split(line, r"[\x20\x09-\x0D]+")), "")
+    """Hashes of the distinct words of a line, in ascending order."""
+    words = F.filter(F.split(line, WHITE), lambda w: w != "")
+    return F.sort_array(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))))
 
 
-def _lines(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+def _texts(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     whole = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(whole).alias("content"), F.posexplode(F.split(whole, "\n")).alias("line", "value"))
-    return rows.select("id", "content", "line", _words(F.col("value")).alias("words"))
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(whole).alias("content"), F.posexplode(F.split(whole, "\n")).alias("line", "value"))
 
 
-def _slot(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(SLOTS)).cast("int")
-
-
-def word_order(lines: DataFrame) -> bytearray:
-    """Per slot a step of its count, 0 to 127, from all lines: ``STEPS`` times the binary logarithm."""
-    counts = lines.select(F.explode(F.transform("words", lambda w: _slot(w))).alias("slot")).groupBy("slot").agg(F.count("*").alias("n"))
-    table = bytearray(SLOTS)
+def word_order(docs: DataFrame, text: str) -> list[int]:
+    """Per slot a step of its words' count in all texts: ``STEPS`` times the binary logarithm."""
+    words = docs.select(F.explode(F.split(F.col(text), WHITE)).alias("word"))
+    counts = words.groupBy(F.pmod(F.xxhash64("word"), F.lit(SLOTS)).cast("int").alias("slot")).agg(F.count("*").alias("n"))
+    table = [0] * SLOTS
     for slot, step in counts.select("slot", F.least(F.lit(127), F.floor(F.log2("n") * STEPS)).cast("int")).collect():  # SLOTS rows at most
         table[slot] = step
     return table
 
 
-def _rank(word: Column, table: bytearray) -> Column:
-    """A word's place in the global order: count step, then length, then 48 bits of hash, in one number."""
-    step = F.ascii(F.substring(F.lit(bytes(table)), _slot(word) + 1, F.lit(1)).cast("string"))
-    short = F.lit(63) - F.least(F.char_length(word), F.lit(63))
-    head = (step * 64 + short).cast("long")
-    return F.shiftleft(head, 48).bitwiseOR(F.shiftrightunsigned(F.xxhash64(word), 16))
+def _ranks(words: Column, table: list[int]) -> Column:
+    """Places of words in the global order, ascending: count step, then 56 bits of hash, in one number."""
+    steps = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
+    return F.sort_array(F.transform(words, lambda w: F.shiftleft(F.get(steps, F.pmod(w, F.lit(SLOTS)).cast("int")), 56).bitwiseOR(F.shiftrightunsigned(w, 8))))
+
+
+def _signature(words: Column) -> Column:
+    """A bit per value of a word's last six bits: whether an odd number of words have it."""
+    return F.aggregate(words, F.lit(0).cast("long"), lambda bits, w: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(w, F.lit(64)).cast("int"))))
 
 
 def _prefix_size(size: Column) -> Column:
@@ -70,66 +72,70 @@ def _prefix_size(size: Column) -> Column:
 
 
 def _set_id(words: Column) -> Column:
-    return F.unhex(F.md5(F.array_join(F.sort_array(words), " ").cast("binary")))
+    """128 bits that name a set; ``h1`` alone names it on the way to verification."""
+    return F.struct(F.xxhash64(words).alias("h1"), F.xxhash64(F.lit(1), words).alias("h2"))
 
 
 def _entries(sets: DataFrame) -> DataFrame:
-    """One row per set and prefix word, already dealt by the word: ``(word, node, place)``.
+    """One row per set and prefix word: ``(word, node, place, bits)``.
 
     ``place`` packs the set's size and the word's position in it, so that the rows that are shuffled
-    hold three numbers.
+    hold four numbers.
     """
-    rows = sets.select("node", "size", F.posexplode("prefix").alias("at", "word"))
-    return rows.select("word", "node", (F.col("size") * MOST + F.col("at")).cast("long").alias("place"))
+    rows = sets.select(F.col("node.h1").alias("node"), "size", "bits", F.posexplode("prefix").alias("at", "word"))
+    return rows.select("word", "node", (F.col("size") * MOST + F.col("at")).cast("long").alias("place"), "bits")
 
 
 def candidates(entries: DataFrame) -> DataFrame:
-    """Distinct pairs ``(a, b)`` of sets that pass the prefix, positional and length filters."""
-    left, right = (entries.select("word", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "place")]) for side in ("a", "b"))
+    """Distinct pairs ``(a, b)`` of sets that pass the prefix, positional, length and signature filters."""
+    left, right = (entries.select("word", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "place", "bits")]) for side in ("a", "b"))
     (size_a, at_a), (size_b, at_b) = ((F.expr(f"place_{s} div {MOST}"), F.expr(f"place_{s} % {MOST}")) for s in ("a", "b"))
     follow = F.least(size_a - at_a, size_b - at_b)
     shared = (NUM + DEN) * follow >= NUM * (size_a + size_b)
     lengths = DEN * F.least(size_a, size_b) >= NUM * F.greatest(size_a, size_b)
-    pairs = left.join(right, "word").filter((F.col("node_a") < F.col("node_b")) & lengths & shared)
+    # every bit that differs stands for a word of its own that only one of both sets has
+    apart = F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b")))
+    alike = (NUM + DEN) * (size_a + size_b - apart) >= 2 * NUM * (size_a + size_b)
+    pairs = left.join(right, "word").filter((F.col("node_a") < F.col("node_b")) & lengths & shared & alike)
     return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose sets match; ``sets`` is ``(node, words)``."""
-    a, b = (sets.select(F.col("node").alias(n), F.col("words").alias(f"words_{n}")) for n in ("a", "b"))
+    """The pairs of sets that match, by their full names; ``sets`` is ``(node, words)``."""
+    a, b = (sets.select(F.col("node.h1").alias(n), F.col("node").alias(f"node_{n}"), F.col("words").alias(f"words_{n}")) for n in ("a", "b"))
     common = F.size(F.array_intersect("words_a", "words_b"))
     both = pairs.join(a, "a").join(b, "b")
-    return both.filter((NUM + DEN) * common >= NUM * (F.size("words_a") + F.size("words_b"))).select("a", "b")
+    matching = both.filter((NUM + DEN) * common >= NUM * (F.size("words_a") + F.size("words_b")))
+    return matching.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 
 def similar_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Lines ``(id, content, line, node, size)`` and links ``(a, b)`` between the nodes of different sets."""
-    lines = _lines(docs, id_col, text)
-    table = word_order(lines)
-    size = F.size("words")
-    ranks = F.sort_array(F.transform("words", lambda w: _rank(w, table)))
-    prefix = F.when(size >= LEAST, F.slice(ranks, 1, _prefix_size(size)))
-    placed = written(lines.select("id", "content", "line", _set_id(F.col("words")).alias("set"), size.alias("size")), "lines")
-    sets = lines.filter(size >= LEAST).select(_set_id(F.col("words")).alias("set"), size.alias("size"), prefix.alias("prefix"))
-    sets = sets.groupBy("set").agg(F.first("size").alias("size"), F.first("prefix").alias("prefix"))
-    # short numbers in place of the sets' hashes; written once, so that they stay the same
-    sets = written(sets.withColumn("node", F.monotonically_increasing_id()), "line-sets")
+    id_col, text = f"`{id_col}`", f"`{text}`"
+    texts, table = _texts(docs, id_col, text), word_order(docs, text)
+    # a column of its own each, so that no step is computed twice
+    lines = texts.select("id", "content", "line", F.xxhash64("value").alias("raw"), _words(F.col("value")).alias("words"))
+    size, large = F.size("words"), F.size("words") >= LEAST
+    prefix = F.when(large, F.slice(_ranks(F.col("words"), table), 1, _prefix_size(size)))
+    bits = F.when(large, _signature(F.col("words")))
+    rows = lines.select("id", "content", "line", "raw", _set_id(F.col("words")).alias("node"), size.alias("size"), prefix.alias("prefix"), bits.alias("bits"))
+    # the texts' words are split once for all that follows but the verification
+    placed = written(rows, "line-sets")
+    sets = placed.filter(F.col("size") >= LEAST).groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "prefix", "bits")])
     pairs = written(candidates(_entries(sets)), "line-pairs")
-    # the words of the sets that have a candidate, found by a bit table of fixed size, then exactly
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = written(sets.select("set", "node").join(wanted, "node", "left_semi"), "line-wanted")
-    byte, bit = F.expr(f"cast(pmod(xxhash64(set), {TABLE_BITS}) div 7 as int)"), F.expr(f"shiftleft(1, cast(pmod(xxhash64(set), {TABLE_BITS}) % 7 as int))")
+    # the words of the sets that have a candidate: one line of each, found by a bit table of fixed size, then exactly
+    wanted = pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct()
+    named = placed.select("raw", "node", F.col("node.h1").alias("h1")).join(wanted, "h1", "left_semi")
+    wanted = written(named.groupBy("node").agg(F.min("raw").alias("raw")), "line-wanted")
+    byte, bit = F.expr(f"cast(pmod(raw, {TABLE_BITS}) div 7 as int)"), F.expr(f"shiftleft(1, cast(pmod(raw, {TABLE_BITS}) % 7 as int))")
     marks = bytearray(TABLE_BITS // 7 + 1)  # seven bits of each byte, so that it is an ASCII character
-    for place, bits in wanted.groupBy(byte.alias("place")).agg(F.bit_or(bit)).collect():  # at most as many rows as the table has bytes
-        marks[place] = bits
+    for place, found in wanted.groupBy(byte.alias("place")).agg(F.bit_or(bit)).collect():  # at most as many rows as the table has bytes
+        marks[place] = found
     marked = F.ascii(F.substring(F.lit(bytes(marks)), byte + 1, F.lit(1)).cast("string")).bitwiseAND(bit) != 0
-    words = lines.filter(size >= LEAST).select(_set_id(F.col("words")).alias("set"), F.transform("words", lambda w: F.xxhash64(w)).alias("words")).filter(marked)
-    words = words.join(wanted, "set").groupBy("node").agg(F.first(F.sort_array("words")).alias("words"))
-    links = verify(pairs, written(words, "line-words"))
-    # back to the sets' hashes
-    for side in ("a", "b"):
-        links = links.join(wanted.select(F.col("node").alias(side), F.col("set").alias(f"set_{side}")), side)
-    return placed.withColumnRenamed("set", "node"), written(links.select(F.col("set_a").alias("a"), F.col("set_b").alias("b")), "line-links")
+    named = texts.select(F.xxhash64("value").alias("raw"), "value").filter(marked).join(wanted.select("raw").distinct(), "raw", "left_semi")
+    words = named.select(_words(F.col("value")).alias("words")).select(_set_id(F.col("words")).alias("node"), "words")
+    words = words.groupBy("node").agg(F.first("words").alias("words"))
+    return placed.select("id", "content", "line", "node", "size"), written(verify(pairs, words), "line-links")
 
 
 def judged_lines(lines: DataFrame, links: DataFrame) -> DataFrame:
