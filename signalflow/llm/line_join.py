@@ -9,7 +9,7 @@ end in the join itself. What passes is verified on the whole sets. Equal sets ar
 joined as one; only classes that differ form pairs.
 
 The order is a table of fixed size: words are counted by slots of their hash. Any global order gives
-the same links; a better one only gives fewer candidates. Words are compared by 64 bits of hash.
+the same links; a better one only gives fewer candidates. Sets are named by 128 bits of hash, and verified on their words.
 """
 
 from __future__ import annotations
@@ -66,14 +66,19 @@ def _signature(words: Column) -> Column:
     return F.aggregate(words, F.lit(0).cast("long"), lambda bits, w: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(w, F.lit(64)).cast("int"))))
 
 
+def _keys(ranks: Column) -> Column:
+    """The ranks' last 32 bits: enough to bring sets together, and half the bytes to carry."""
+    return F.transform(ranks, lambda r: (F.pmod(r, F.lit(1 << 32)) - (1 << 31)).cast("int"))
+
+
 def _prefix_size(size: Column) -> Column:
     """Words of which a matching set must share one: size - ceil(size * 4/5) + 1."""
     return size - F.ceil(size * NUM / DEN).cast("int") + 1
 
 
-def _set_id(words: Column) -> Column:
-    """128 bits that name a set; ``h1`` alone names it on the way to verification."""
-    return F.struct(F.xxhash64(words).alias("h1"), F.xxhash64(F.lit(1), words).alias("h2"))
+def _name(value: Column) -> Column:
+    """128 bits that name a set of words, or a line; ``h1`` alone names a set on the way to verification."""
+    return F.struct(F.xxhash64(value).alias("h1"), F.xxhash64(F.lit(1), value).alias("h2"))
 
 
 def _entries(sets: DataFrame) -> DataFrame:
@@ -101,11 +106,15 @@ def candidates(entries: DataFrame) -> DataFrame:
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs of sets that match, by their full names; ``sets`` is ``(node, words)``."""
-    a, b = (sets.select(F.col("node.h1").alias(n), F.col("node").alias(f"node_{n}"), F.col("words").alias(f"words_{n}")) for n in ("a", "b"))
-    common = F.size(F.array_intersect("words_a", "words_b"))
+    """The pairs of sets that match, by their full names; ``sets`` is ``(node, size, value)``, the value a line of the set.
+
+    Lines travel as text: similar ones lie side by side and shrink in the shuffle, hashes of their words don't.
+    """
+    a, b = (sets.select(F.col("node.h1").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in ("node", "size", "value")]) for n in ("a", "b"))
     both = pairs.join(a, "a").join(b, "b")
-    matching = both.filter((NUM + DEN) * common >= NUM * (F.size("words_a") + F.size("words_b")))
+    shared = F.array_intersect(F.split("value_a", WHITE), F.split("value_b", WHITE))
+    common = F.size(F.array_remove(shared, ""))
+    matching = both.filter((NUM + DEN) * common >= NUM * (F.col("size_a") + F.col("size_b")))
     return matching.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 
@@ -114,28 +123,27 @@ def similar_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -
     id_col, text = f"`{id_col}`", f"`{text}`"
     texts, table = _texts(docs, id_col, text), word_order(docs, text)
     # a column of its own each, so that no step is computed twice
-    lines = texts.select("id", "content", "line", F.xxhash64("value").alias("raw"), _words(F.col("value")).alias("words"))
+    lines = texts.select("id", "content", "line", _name(F.col("value")).alias("raw"), _words(F.col("value")).alias("words"))
     size, large = F.size("words"), F.size("words") >= LEAST
-    prefix = F.when(large, F.slice(_ranks(F.col("words"), table), 1, _prefix_size(size)))
+    prefix = F.when(large, _keys(F.slice(_ranks(F.col("words"), table), 1, _prefix_size(size))))
     bits = F.when(large, _signature(F.col("words")))
-    rows = lines.select("id", "content", "line", "raw", _set_id(F.col("words")).alias("node"), size.alias("size"), prefix.alias("prefix"), bits.alias("bits"))
+    rows = lines.select("id", "content", "line", "raw", _name(F.col("words")).alias("node"), size.alias("size"), prefix.alias("prefix"), bits.alias("bits"))
     # the texts' words are split once for all that follows but the verification
     placed = written(rows, "line-sets")
     sets = placed.filter(F.col("size") >= LEAST).groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "prefix", "bits")])
     pairs = written(candidates(_entries(sets)), "line-pairs")
     # the words of the sets that have a candidate: one line of each, found by a bit table of fixed size, then exactly
     wanted = pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct()
-    named = placed.select("raw", "node", F.col("node.h1").alias("h1")).join(wanted, "h1", "left_semi")
-    wanted = written(named.groupBy("node").agg(F.min("raw").alias("raw")), "line-wanted")
-    byte, bit = F.expr(f"cast(pmod(raw, {TABLE_BITS}) div 7 as int)"), F.expr(f"shiftleft(1, cast(pmod(raw, {TABLE_BITS}) % 7 as int))")
+    named = placed.select("raw", "size", "node", F.col("node.h1").alias("h1")).join(wanted, "h1", "left_semi")
+    wanted = written(named.groupBy("node").agg(F.first("size").alias("size"), F.min("raw").alias("raw")), "line-wanted")
+    byte, bit = F.expr(f"cast(pmod(raw.h1, {TABLE_BITS}) div 7 as int)"), F.expr(f"shiftleft(1, cast(pmod(raw.h1, {TABLE_BITS}) % 7 as int))")
     marks = bytearray(TABLE_BITS // 7 + 1)  # seven bits of each byte, so that it is an ASCII character
     for place, found in wanted.groupBy(byte.alias("place")).agg(F.bit_or(bit)).collect():  # at most as many rows as the table has bytes
         marks[place] = found
     marked = F.ascii(F.substring(F.lit(bytes(marks)), byte + 1, F.lit(1)).cast("string")).bitwiseAND(bit) != 0
-    named = texts.select(F.xxhash64("value").alias("raw"), "value").filter(marked).join(wanted.select("raw").distinct(), "raw", "left_semi")
-    words = named.select(_words(F.col("value")).alias("words")).select(_set_id(F.col("words")).alias("node"), "words")
-    words = words.groupBy("node").agg(F.first("words").alias("words"))
-    return placed.select("id", "content", "line", "node", "size"), written(verify(pairs, words), "line-links")
+    named = texts.select(_name(F.col("value")).alias("raw"), "value").filter(marked).join(wanted.select("raw"), "raw", "left_semi")
+    values = named.groupBy("raw").agg(F.first("value").alias("value")).join(wanted, "raw")
+    return placed.select("id", "content", "line", "node", "size"), written(verify(pairs, values), "line-links")
 
 
 def judged_lines(lines: DataFrame, links: DataFrame) -> DataFrame:
@@ -145,17 +153,20 @@ def judged_lines(lines: DataFrame, links: DataFrame) -> DataFrame:
     matches it. Lines without words stay.
     """
     worded = lines.filter("size > 0")
-    firsts = worded.groupBy("node").agg(F.min(F.struct("id", "content", "line")).alias("first"))
-    firsts = written(firsts, "line-firsts")
+    firsts = worded.groupBy("node").agg(F.min(F.struct("id", "content", "line")).alias("first"), F.count("*").alias("n"))
+    # a set that occurs once and has no link decides nothing about other lines
+    linked = links.select(F.col("a").alias("node")).union(links.select("b")).distinct().withColumn("linked", F.lit(True))
+    firsts = written(firsts.join(linked, "node", "left").filter("n > 1 OR linked").select("node", "first"), "line-firsts")
     other = links.union(links.select("b", "a")).join(firsts.select(F.col("node").alias("b"), F.col("first").alias("their")), "b")
     earlier = other.groupBy(F.col("a").alias("node")).agg(F.min("their").alias("earliest"), F.count("*").alias("links"))
     known = firsts.join(earlier, "node", "left")
     own = F.struct("id", "content", "line")
     judged = lines.join(known, "node", "left").select(
         "id", "content", "line", "size",
-        ((F.col("size") > 0) & ((F.col("first") < own) | F.coalesce(F.col("earliest") < own, F.lit(False)))).alias("removed"),
+        ((F.col("size") > 0) & (F.coalesce(F.col("first") < own, F.lit(False)) | F.coalesce(F.col("earliest") < own, F.lit(False)))).alias("removed"),
         F.when(F.col("size") > 0, F.coalesce("links", F.lit(0))).otherwise(0).cast("long").alias("links"),
-        F.least(F.col("first.id"), F.col("earliest.id")).alias("origin"),
+        # a line of an unknown set has no earlier one; an id may be NULL, which comes first
+        F.when(F.col("first").isNull(), F.when(F.col("size") > 0, F.col("id"))).otherwise(F.least(F.col("first.id"), F.col("earliest.id"))).alias("origin"),
     )
     return judged
 
@@ -168,18 +179,17 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -
     are one document, returned as often as it is there; a NULL text has no lines.
     """
     lines, links = similar_lines(docs, id_col, text)
-    judged = judged_lines(lines, links).groupBy("id", "content", "line").agg(
-        F.count("*").alias("copies"), *[F.max(c).alias(c) for c in ("size", "removed", "links", "origin")]
-    )
-    gone = F.sort_array(F.collect_list(F.when(F.col("removed"), F.col("line"))))
+    judged = judged_lines(lines, links)
+    # copies of a document have the same lines, verdicts and links
     each = judged.groupBy("id", "content").agg(
-        F.max("copies").alias("copies"),
+        F.count_if(F.col("line") == 0).alias("copies"),
         F.count_if(F.col("size") > 0).alias("n_lines"),
         F.count_if("removed").alias("n_removed"),
         F.sum("links").alias("n_links"),
         F.coalesce(F.min("origin"), F.first("id")).alias("class_id"),
-        F.array_join(gone.cast("array<string>"), ",").alias("removed_lines"),
+        F.array_join(F.sort_array(F.collect_set(F.when(F.col("removed"), F.col("line")))).cast("array<string>"), ",").alias("removed_lines"),
     )
+    each = each.withColumns({c: F.expr(f"{c} div copies") for c in ("n_lines", "n_removed", "n_links")})
     each = each.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     return each.select(F.col("id").alias("doc_id"), "n_lines", "n_removed", "n_links", "class_id", "removed_lines")
 
