@@ -12,14 +12,15 @@ from collections.abc import Callable, Sequence
 from functools import wraps
 
 import pandas as pd
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
-from pyspark.ml.linalg import SparseVector, VectorUDT
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from signalflow.functions.dates import week_bucket
 from signalflow.functions.text import clean_text, joined, raw_words, without_words, words
 from signalflow.operators.ranks import numbered
+from signalflow.session import literal_rows, scratch_path, written
 
 # A function of a word in Python, or a column expression marked by ``by_columns``.
 Stemmer = Callable[[str], str] | Callable[[Column], Column]
@@ -204,14 +205,25 @@ def token_vectors(long: DataFrame, frame: DataFrame, lags: int, by: Sequence[str
     size = index.count()
     entries = long.join(index, "token").select(*by, ts, (F.col("lag") * size + F.col("__i")).cast("int").alias("i"), F.col("cnt").cast("double").alias("v"))
     packed = entries.groupBy(*by, ts).agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("__e"))
-    joined = frame.join(packed, [*by, ts], "left").withColumn("__e", F.coalesce("__e", F.array().cast("array<struct<i:int,v:double>>")))
+    joined = frame.join(packed, [*by, ts], "left")
     total = max(size, 1) * (lags + 1)
 
-    @F.udf(VectorUDT())
-    def sparse(indices, values):
-        return SparseVector(total, indices, values)
+    return with_sparse(joined, "__e", total, "features")
 
-    return joined.withColumn("features", sparse(F.col("__e.i"), F.col("__e.v"))).drop("__e")
+
+def with_sparse(df: DataFrame, entries: str, size: int, name: str) -> DataFrame:
+    """``df`` with the array ``entries`` of sorted ``(i, v)`` as a sparse vector ``name`` of ``size``; NULL is the empty one.
+
+    The vectors are written as the plain columns they are stored in and read back by their type, so no Python worker sees them.
+    """
+    index, value = F.transform(entries, lambda e: e["i"]), F.transform(entries, lambda e: e["v"])
+    indices, values = F.coalesce(index, F.array().cast("array<int>")), F.coalesce(value, F.array().cast("array<double>"))
+    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), indices.alias("indices"), values.alias("values"))
+    plain = df.withColumn(name, vector).drop(entries)
+    schema = T.StructType([T.StructField(f.name, VectorUDT()) if f.name == name else f for f in plain.schema.fields])
+    path = scratch_path(df.sparkSession, "vectors")
+    plain.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
 def wide_tokens(tokens: DataFrame, names: Sequence[str] | None = None, max_columns: int | None = None) -> DataFrame:
@@ -237,37 +249,105 @@ def wide_tokens(tokens: DataFrame, names: Sequence[str] | None = None, max_colum
     return wide.na.fill(0, subset=list(names)) if names else wide
 
 
-def fit_vectorizer(tokenized: DataFrame, **params) -> CountVectorizerModel:
-    """Count vectoriser with the whole vocabulary, unless ``vocabSize`` asks for less.
+class TokenVectorizer:
+    """Count vectoriser whose vocabulary ``(token, i)`` is a table, the most frequent token first.
 
-    The distinct tokens are counted first, because Spark's own default would cut the vocabulary silently.
+    Spark's own model holds the vocabulary as one array on the driver and in every task.
     """
-    if "vocabSize" not in params:
-        distinct = tokenized.select(F.explode("tokenized_text").alias("token")).distinct().count()
-        params["vocabSize"] = max(distinct, 1)
-    return CountVectorizer(inputCol="tokenized_text", outputCol="count_vector", **params).fit(tokenized)
-
 
-def save_vectorizer(model: CountVectorizerModel, path: str) -> None:
+    def __init__(self, vocabulary: DataFrame, size: int, binary: bool = False, min_tf: float = 1.0):
+        self.vocabulary, self.size, self.binary, self.min_tf = vocabulary, size, binary, min_tf
+
+    def entries(self, tokenized: DataFrame, keys: Sequence[Column]) -> DataFrame:
+        """``(*keys, token, cnt)``: what the vectors of all rows with equal keys add up to, without zeros.
+
+        Counts are added up by token before they meet their number, with map-side combine, since a number stands for one token.
+        """
+        tokens = F.array_distinct("tokenized_text") if self.binary and self.min_tf == 1 else F.col("tokenized_text")
+        rows = tokenized.select(*keys, tokens.alias("__tokens"))
+        names = rows.columns[:-1]
+        one = F.count(F.lit(1)).alias("cnt")
+        if self.min_tf == 1:
+            return _exploded(rows, names).groupBy(*names, "token").agg(one)
+        # the least count is one of a row, so these are counted first
+        rows = rows.withColumns({"__at": F.monotonically_increasing_id(), "__n": F.size("__tokens")})
+        each = _exploded(rows, [*names, "__at", "__n"]).groupBy(*names, "__at", "__n", "token").agg(one)
+        each = each.filter(F.col("cnt") >= (self.min_tf if self.min_tf >= 1 else F.col("__n") * self.min_tf))
+        return each.groupBy(*names, "token").agg((F.count(F.lit(1)) if self.binary else F.sum("cnt")).alias("cnt"))
+
+    def transform(self, tokenized: DataFrame) -> DataFrame:
+        """``tokenized`` with the sparse vector ``count_vector`` of each row."""
+        columns = tokenized.columns
+        rows = written(tokenized.withColumn("__row", F.monotonically_increasing_id()), "vectorizer-rows")
+        counted = self.entries(rows, [F.col("__row")]).join(self.vocabulary, "token")
+        packed = counted.groupBy("__row").agg(F.sort_array(F.collect_list(F.struct("i", F.col("cnt").cast("double").alias("v")))).alias("__e"))
+        return with_sparse(rows.join(packed, "__row", "left"), "__e", self.size, "count_vector").select(*columns, "count_vector")
+
+    def write(self) -> _VectorizerWriter:
+        return _VectorizerWriter(self)
+
+    @classmethod
+    def load(cls, path: str) -> TokenVectorizer:
+        spark = SparkSession.active()
+        kept = spark.read.parquet(f"{path}/params").first()
+        return cls(spark.read.parquet(f"{path}/vocabulary"), kept["size"], kept["binary"], kept["min_tf"])
+
+
+class _VectorizerWriter:
+    def __init__(self, model: TokenVectorizer):
+        self.model, self.mode = model, "error"
+
+    def overwrite(self) -> _VectorizerWriter:
+        self.mode = "overwrite"
+        return self
+
+    def save(self, path: str) -> None:
+        model = self.model
+        model.vocabulary.write.mode(self.mode).parquet(f"{path}/vocabulary")
+        params = literal_rows(model.vocabulary.sparkSession, ("size", "binary", "min_tf"), [(model.size, model.binary, float(model.min_tf))])
+        params.write.mode(self.mode).parquet(f"{path}/params")
+
+
+def _exploded(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    # explode_outer, for the reason given in ``weekly_tokens``
+    return rows.select(*names, F.explode_outer("__tokens").alias("token")).filter("token is not null")
+
+
+def fit_vectorizer(
+    tokenized: DataFrame, vocabSize: int | None = None, minDF: float = 1.0, maxDF: float | None = None, minTF: float = 1.0, binary: bool = False
+) -> TokenVectorizer:
+    """Count vectoriser with the whole vocabulary, unless ``vocabSize`` asks for less; parameters as in Spark's own.
+
+    ``minDF`` and ``maxDF`` are numbers of rows, or shares of them below 1. The vocabulary is numbered by a distributed
+    rank of its counts and never on the driver.
+    """
+    tokens = tokenized.select(F.col("tokenized_text").alias("__tokens"))
+    counted = _exploded(tokens, []).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    if minDF != 1 or maxDF is not None:
+        held = _exploded(tokens.select(F.array_distinct("__tokens").alias("__tokens")), []).groupBy("token").agg(F.count(F.lit(1)).alias("__df"))
+        total = tokens.count() if minDF < 1 or (maxDF or 1) < 1 else 0
+        within = F.col("__df") >= (minDF if minDF >= 1 else minDF * total)
+        if maxDF is not None:
+            within = within & (F.col("__df") <= (maxDF if maxDF >= 1 else maxDF * total))
+        counted = counted.join(held.filter(within).select("token"), "token")
+    ranked = numbered(counted, [F.desc("n"), F.asc("token")], "i", "vectorizer").select("token", F.col("i").cast("int").alias("i"))
+    if vocabSize is not None:
+        ranked = ranked.filter(F.col("i") < vocabSize)
+    return TokenVectorizer(ranked, ranked.count(), binary, minTF)
+
+
+def save_vectorizer(model: TokenVectorizer, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-def load_vectorizer(path: str) -> CountVectorizerModel:
-    return CountVectorizerModel.load(path)
+def load_vectorizer(path: str) -> TokenVectorizer:
+    return TokenVectorizer.load(path)
 
 
-def weekly_vectors(
-    tokenized: DataFrame, model: CountVectorizerModel, created: str = "record__created_at"
-) -> DataFrame:
-    """Weekly sums of the count vectors as long rows.
+def weekly_vectors(tokenized: DataFrame, model: TokenVectorizer, created: str = "record__created_at") -> DataFrame:
+    """Weekly sums of the count vectors as long rows, each named by its token.
 
-    Only the entries that are not zero are unpacked, summed with map-side combine, and named by a join
-    with the vocabulary, so no task holds a vector as long as the vocabulary.
+    Tokens outside the vocabulary drop out in the join with it; no task holds a vector as long as the vocabulary.
     """
-    indices, values = F.unwrap_udt("count_vector")["indices"], F.unwrap_udt("count_vector")["values"]
-    entries = model.transform(tokenized).select(
-        week_bucket(created).alias(WEEK), F.inline(F.arrays_zip(indices.alias("i"), values.alias("cnt")))
-    )
-    sums = entries.groupBy(WEEK, "i").agg(F.sum("cnt").cast("bigint").alias("cnt"))
-    names = tokenized.sparkSession.createDataFrame(pd.DataFrame({"i": range(len(model.vocabulary)), "token": model.vocabulary}), "i int, token string")
-    return sums.join(names, "i").select(WEEK, "token", "cnt")
+    sums = model.entries(tokenized, [week_bucket(created).alias(WEEK)])
+    return sums.join(model.vocabulary.select("token"), "token").select(WEEK, "token", "cnt")

@@ -3,6 +3,7 @@ from datetime import date, datetime, timedelta
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from signalflow.operators import tokens as ops
 
@@ -59,6 +60,27 @@ def test_vectorizer_gives_the_same_counts(posts, tmp_path):
     assert counts(ops.weekly_vectors(tokenized, again)) == counts(ops.weekly_tokens(posts, stop=["la"]))
 
 
+def test_vectorizer_keeps_its_vocabulary_as_a_table(spark, tmp_path):
+    from pyspark.ml.feature import CountVectorizer
+
+    data = [(["b", "a", "b", "c"],), (["b", "d"],), ([],), (["a", "a", "a", "a", "e", "b"],)]
+    df = spark.createDataFrame(data, "tokenized_text array<string>")
+    for params in ({}, {"vocabSize": 2}, {"minDF": 2}, {"minDF": 0.5, "binary": True}, {"minTF": 2}, {"minTF": 0.4, "binary": True}, {"maxDF": 2}):
+        model = ops.fit_vectorizer(df, **params)
+        assert not isinstance(model.vocabulary, list)  # a table, not an array on the driver
+        ops.save_vectorizer(model, str(tmp_path / "cv"))
+        model = ops.load_vectorizer(str(tmp_path / "cv"))
+        names = [r.token for r in model.vocabulary.orderBy("i").collect()]
+        own = CountVectorizer(inputCol="tokenized_text", outputCol="v", **params).fit(df)
+        assert sorted(names) == sorted(own.vocabulary) and model.size == len(names)
+
+        def named(frame, column, words):
+            found = [(r.tokenized_text, r[column]) for r in frame.collect()]
+            return sorted((t, sorted((words[i], n) for i, n in zip(v.indices, v.values))) for t, v in found)
+
+        assert named(model.transform(df), "count_vector", names) == named(own.transform(df), "v", own.vocabulary)
+
+
 def test_vocabulary(spark, rows):
     data = [(date(2024, 1, 1 + 7 * w), t, c) for w in range(4) for t, c in (("often", 5), ("rare", 1), ("once", 9 if w == 0 else 1))]
     df = spark.createDataFrame(data, "iso_weekstartdate date, token string, cnt bigint")
