@@ -13,7 +13,7 @@ from signalflow.plans import signals
 from signalflow.plans.q_signals import signal
 from signalflow.plans.registry import query
 from signalflow.plans.standins import posts, with_ctes
-from signalflow.session import scratch_path, written
+from signalflow.session import scratch_path
 
 STOP = ("the", "and", "of", "is", "le", "la", "les", "un", "une", "der", "die", "und", "de", "que", "el")
 STOP_SQL = ", ".join(f"'{w}'" for w in STOP)
@@ -198,7 +198,7 @@ def token_ridge_scores(spark, sf):
     """Fit on the sparse vectors of all surviving tokens and their lags; its scores on its own rows."""
     kept = ops.frequent_tokens(weekly_tokens(spark, sf), min_weeks=10, min_mention=3)
     one = one_signal(spark, sf).filter("y IS NOT NULL")
-    rows = written(ops.token_vectors(ops.token_lags(kept, one, LAGS), one, LAGS), "token-vectors")
+    rows = ops.token_vectors(ops.token_lags(kept, one, LAGS), one, LAGS)
     fitted = estimator("ridge", rows, alpha=10.0, solver="l-bfgs", maxIter=50).fit(rows)
     return regression_scores(fitted.transform(rows))
 

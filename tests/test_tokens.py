@@ -148,3 +148,10 @@ def test_stemmer_as_expression(posts):
     assert got == {(W1, "jai"): 1, (W1, "gripp"): 3, (W1, "fievr"): 1, (W2, "fievr"): 2}
     arrays = {r.uri: r.preprocessed_text for r in ops.token_arrays(posts, stop=["la", "et"], stemmer=french).collect()}
     assert arrays["u1"] == "jai gripp gripp" and arrays["u2"] == "gripp fievr" and arrays["u4"] == ""
+
+
+def test_vectors_are_made_without_python_workers(spark, monkeypatch):
+    weeks, counts, y, tokens, series = weekly(spark)
+    monkeypatch.setattr(F, "udf", None)
+    vectors = ops.token_vectors(ops.token_lags(tokens, series, 1), series, 1)
+    assert vectors.count() == 8 and "Python" not in vectors._jdf.queryExecution().toString()
