@@ -7,6 +7,7 @@ spelling but not by sound are upper-cased first, so that they count as consonant
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -215,3 +216,134 @@ def french_stem(word: Column) -> Column:
         return _let(_let(_standard(w, at), first), _closing)
 
     return _let(_marked(word), lambda m: _let(F.struct(m.alias("w"), _regions(m).alias("at")), whole))
+
+
+# The same rules for one word in Python, for the distinct words of a vocabulary: the nested lambdas above are interpreted.
+_VOWEL = frozenset(VOWELS)
+_RV_START = re.compile(f"{V}{V}.|{RV_PREFIXES}")
+_RV, _R1, _R2 = re.compile(f".{C}*{V}"), re.compile(f"{C}*{V}+{C}"), re.compile(f"{C}*{V}+{C}+{V}+{C}")
+_DOUBLED, _ACCENT = ("enn", "onn", "ett", "ell", "eill"), re.compile(f"[éè](?={C}+$)")
+
+
+def _by_length(*lists: str) -> list[tuple[int, frozenset[str]]]:
+    endings = " ".join(lists).split()
+    return [(n, frozenset(e for e in endings if len(e) == n)) for n in sorted({len(e) for e in endings}, reverse=True)]
+
+
+_STANDARD_ENDINGS = _by_length(PLAIN, AGENT, LOGY, USION, ENCE, EMENT, ITY, IVE, "eaux aux", EUSE, ISSEMENT, "amment emment", MENT)
+_ADVERB_ENDINGS = _by_length(EMENT, ISSEMENT, "amment emment", MENT)
+_I_ENDINGS, _OTHER_ENDINGS, _LAST_ENDINGS = _by_length(VERBS_I), _by_length("ions", VERBS_E, VERBS_A), _by_length(RESIDUAL)
+_RULE = {e: name for name, text in (("plain", PLAIN), ("agent", AGENT), ("logy", LOGY), ("usion", USION), ("ence", ENCE), ("ement", EMENT),
+    ("ity", ITY), ("ive", IVE), ("eaux", "eaux"), ("aux", "aux"), ("euse", EUSE), ("issement", ISSEMENT)) for e in text.split()}
+_MENT, _VERB_E = frozenset(MENT.split()), frozenset(VERBS_E.split())
+
+
+def _longest(word: str, endings: list[tuple[int, frozenset[str]]]) -> str:
+    return next((word[-n:] for n, those in endings if word[-n:] in those), "")
+
+
+def _mark_word(word: str) -> str:
+    done = ""
+    for at, letter in enumerate(word):
+        if letter in "uiy":
+            before, after = done[-1:] in _VOWEL, word[at + 1 : at + 2] in _VOWEL
+            sounded = (before or after) if letter == "y" else (before and after) or (letter == "u" and done.endswith("q"))
+            letter = letter.upper() if sounded else letter
+        done += letter
+    return done
+
+
+def _standard_word(word: str, rv: int, r1: int, r2: int) -> str | None:
+    suffix = _longest(word, _STANDARD_ENDINGS)
+    rule, base = _RULE.get(suffix), word[: len(word) - len(suffix)]
+    p = len(base)
+
+    def less(n: int, other: str) -> str:
+        return base[:-n] if p - n >= r2 else base[:-n] + other
+
+    if rule == "ement":
+        if p < rv:
+            return None
+        for end, n in (("ativ", 4), ("iv", 2), ("eus", 3)):
+            if base.endswith(end) and p - n >= r2:
+                return base[:-n]
+        if base.endswith("eus") and p - 3 >= r1:
+            return base[:-3] + "eux"
+        if base.endswith(("abl", "iqU")) and p - 3 >= r2:
+            return base[:-3]
+        return base[:-3] + "i" if base.endswith(("ièr", "Ièr")) and p - 3 >= rv else base
+    if rule == "eaux":
+        return base + "eau"
+    if rule == "aux":
+        return base + "al" if p >= r1 else None
+    if rule == "issement":
+        return base if p >= r1 and base and base[-1] not in _VOWEL else None
+    if rule == "euse" and p < r2:
+        return base + "eux" if p >= r1 else None
+    if rule is None or p < r2:
+        return None
+    if rule in ("logy", "usion", "ence"):
+        return base + {"logy": "log", "usion": "u", "ence": "ent"}[rule]
+    if rule == "ity" and base.endswith("abil"):
+        return less(4, "abl")
+    if rule in ("agent", "ity") and base.endswith("ic"):
+        return less(2, "iqU")
+    if rule == "ity" and base.endswith("iv") and p - 2 >= r2:
+        return base[:-2]
+    if rule == "ive" and base.endswith("icat") and p - 2 >= r2:
+        return less(4, "iqU")
+    return base[:-2] if rule == "ive" and base.endswith("at") and p - 2 >= r2 else base
+
+
+def _without_adverb(word: str, rv: int) -> str:
+    suffix = _longest(word, _ADVERB_ENDINGS)
+    base = word[: len(word) - len(suffix)]
+    if suffix in ("amment", "emment") and len(base) >= rv:
+        return base + ("ant" if suffix == "amment" else "ent")
+    return base if suffix in _MENT and base[-1:] in _VOWEL and len(base) - 1 >= rv else word
+
+
+def _verb_word(word: str, rv: int, r2: int) -> str | None:
+    tail = word[rv:]
+    i, other = _longest(tail, _I_ENDINGS), _longest(tail, _OTHER_ENDINGS)
+    before = tail[: len(tail) - len(i)]
+    if i and before and before[-1] not in _VOWEL:
+        return word[: -len(i)]
+    if not other:
+        return None
+    rest = word[: -len(other)]
+    if other == "ions":
+        return rest if len(rest) >= r2 else None
+    return rest[:-1] if other not in _VERB_E and tail[: -len(other)].endswith("e") else rest
+
+
+def _residual_word(word: str, rv: int, r2: int) -> str:
+    if len(word) > 1 and word[-1] == "s" and word[-2] not in "aiouès":
+        word = word[:-1]
+    tail = word[rv:]
+    suffix = _longest(tail, _LAST_ENDINGS)
+    base = word[: len(word) - len(suffix)]
+    if suffix == "ion":
+        return base if len(base) >= r2 and tail.endswith(("sion", "tion")) else word
+    if suffix == "ë":
+        return base if tail.endswith("guë") else word
+    return base if suffix in ("", "e") else base + "i"
+
+
+def stem(word: str) -> str:
+    """Stem of one lower-case French word, equal to :func:`french_stem`."""
+    w = _mark_word(word)
+    rv, r1, r2 = (m.end() if m else len(w) for m in (_RV.match(w), _R1.match(w), _R2.match(w)))
+    if _RV_START.match(w):
+        rv = 3
+    gone = _standard_word(w, rv, r1, r2)
+    if gone is None:
+        kept = _without_adverb(w, rv)
+        gone = _verb_word(kept, rv, r2)
+    if gone is None:
+        gone = _residual_word(kept, rv, r2)
+    elif gone.endswith(("Y", "ç")):
+        gone = gone[:-1] + ("i" if gone[-1] == "Y" else "c")
+    if gone.endswith(_DOUBLED):
+        gone = gone[:-1]
+    return _ACCENT.sub("e", gone).lower()

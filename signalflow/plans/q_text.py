@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from signalflow.functions.french import french_stem
+from signalflow.functions import french
 from signalflow.functions.text import clean_text, stop_words
 from signalflow.operators import tokens as ops
 from signalflow.operators.models import estimator
@@ -82,7 +82,7 @@ def weekly_stem_counts(spark, sf):
 @query("weekly_french_stem_counts")
 def weekly_french_stem_counts(spark, sf):
     """The French stems of all posts per week, without those equal to a stop word of the default French list."""
-    return ops.weekly_tokens(posts(spark, sf), stop=stop_words(spark, "french"), stemmer=ops.by_columns(french_stem))
+    return ops.weekly_tokens(posts(spark, sf), stop=stop_words(spark, "french"), stemmer=french.stem)
 
 
 @query(

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from signalflow.functions.french import french_stem
@@ -52,3 +54,16 @@ def test_null_empty_and_foreign(spark):
     words = spark.createDataFrame([(None,), ("",), ("s",), ("zzz",), ("日本",), ("é" * 3000,)], "word string")
     got = [r[0] for r in words.select(french_stem(words.word)).collect()]
     assert got[:5] == [None, "", "s", "zzz", "日本"] and got[5] is not None
+
+
+def test_one_word_in_python_has_the_stem_of_the_expression(spark):
+    """Made words: starts and endings of the rules in many regions."""
+    from signalflow.functions import french
+
+    rng = random.Random(12)
+    endings = " ".join(v for k, v in vars(french).items() if isinstance(v, str) and k.isupper() and k[0] != "_" and len(k) > 1 and k not in ("VOWELS", "RV_PREFIXES")).lower().split()
+    parts = [*french.VOWELS, *"bcdlmnpqrstvgyç", "qu", "par", "ic", "iv", "at", "eus", "abil", "abl", "icat", "ièr", "gu", "ell", "enn", "", "iss"]
+    made = {"".join(rng.choices(parts, k=rng.randrange(0, 6))) + rng.choice(endings) for _ in range(6000)} | {"", "s", "y", "é", "ions"}
+    words = spark.createDataFrame([(w,) for w in sorted(made)], "w string").repartition(8)
+    wrong = [(r.w, r.s, french.stem(r.w)) for r in words.select("w", french.french_stem(words.w).alias("s")).collect() if r.s != french.stem(r.w)]
+    assert wrong == []
