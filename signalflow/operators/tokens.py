@@ -25,6 +25,8 @@ from signalflow.session import literal_rows, scratch_path, written
 # A function of a word in Python, or a column expression marked by ``by_columns``.
 Stemmer = Callable[[str], str] | Callable[[Column], Column]
 WEEK = "iso_weekstartdate"
+# Characters of a week's posts whose n-grams are counted by one task.
+WEEK_CHARS = 1 << 25
 
 
 def by_columns(expression: Callable[[Column], Column]) -> Callable[[Column], Column]:
@@ -117,24 +119,21 @@ def weekly_tokens(
     week = week_bucket(created, anchor).alias(WEEK)
     keys = [*by, WEEK, "token"]
     rows = posts.select(*by, week, clean_text(text).alias("__text"))
-    if ngram_range == (1, 1):
-        # empty and stop words are dropped after the explode, in generated code
-        grams = raw_words("__text")
-        dropped = ["", *stop] if stemmer is None else [""]
-    else:
+    if ngram_range != (1, 1):
         tokens = words("__text")
         if stemmer is not None:
             tokens = stemmed(tokens, stemmer)
         # a column of its own: inside a lambda the tokeniser would run per element
         rows = rows.select(*by, WEEK, without_words(tokens, stop).alias("__words"))
-        grams, dropped = ngrams(F.col("__words"), *ngram_range), []
+        return _weekly_ngrams(posts.select(*by, week, F.char_length(text).alias("__n")), rows, ngram_range, by)
+    # empty and stop words are dropped after the explode, in generated code
+    dropped = ["", *stop] if stemmer is None else [""]
     # explode_outer: for a plain explode the optimizer adds a filter on the array's
     # size below it, which runs the whole cleaning and splitting a second time
-    exploded = rows.select(*by, WEEK, F.explode_outer(grams).alias("token")).filter("token is not null")
-    if dropped:
-        exploded = exploded.filter(~F.col("token").isin(dropped))
+    exploded = rows.select(*by, WEEK, F.explode_outer(raw_words("__text")).alias("token")).filter("token is not null")
+    exploded = exploded.filter(~F.col("token").isin(dropped))
     counted = exploded.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
-    if stemmer is None or ngram_range != (1, 1):
+    if stemmer is None:
         return counted
     vocabulary = counted.select("token").distinct().select("token", stemmed_word(F.col("token"), stemmer).alias("__stem"))
     stems = counted.join(vocabulary, "token").select(*keys[:-1], F.col("__stem").alias("token"), "cnt")
@@ -143,6 +142,25 @@ def weekly_tokens(
     return stems.groupBy(*keys).agg(F.sum("cnt").alias("cnt"))
 
 
+def _weekly_ngrams(lengths: DataFrame, rows: DataFrame, ngram_range: tuple[int, int], by: Sequence[str]) -> DataFrame:
+    """Counts of the runs of ``__words``, most of which occur once, so that they are made behind the shuffle.
+
+    The words themselves are dealt out by week, where all equal runs of a week meet. Weeks of more than :data:`WEEK_CHARS`
+    characters are cut into several parts, all weeks alike, whose counts are added up in one more shuffle.
+    """
+    sizes = lengths.groupBy(*by, WEEK).agg(F.sum("__n").alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("total")).first()
+    parts = max(-(-(sizes.most or 0) // WEEK_CHARS), 1)
+    spark = rows.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism, (sizes.total or 0) // WEEK_CHARS)
+    salt = [] if parts == 1 else ["__part"]
+    if salt:
+        rows = rows.withColumn("__part", F.pmod(F.xxhash64("__words"), F.lit(parts)))
+    dealt = rows.repartition(tasks, *by, WEEK, *salt)
+    exploded = dealt.select(*by, WEEK, *salt, F.explode_outer(ngrams(F.col("__words"), *ngram_range)).alias("token")).filter("token is not null")
+    counted = exploded.groupBy(*by, WEEK, *salt, "token").agg(F.count(F.lit(1)).alias("cnt"))
+    return counted.groupBy(*by, WEEK, "token").agg(F.sum("cnt").alias("cnt")) if salt else counted
+
+
 def frequent_tokens(tokens: DataFrame, min_weeks: int = 10, min_mention: int = 10, by: Sequence[str] = ()) -> DataFrame:
     """Keep tokens counted at least ``min_mention`` times in at least ``min_weeks`` weeks.
 

@@ -155,3 +155,14 @@ def test_vectors_are_made_without_python_workers(spark, monkeypatch):
     monkeypatch.setattr(F, "udf", None)
     vectors = ops.token_vectors(ops.token_lags(tokens, series, 1), series, 1)
     assert vectors.count() == 8 and "Python" not in vectors._jdf.queryExecution().toString()
+
+
+def test_ngrams_are_made_behind_the_shuffle(spark, posts, monkeypatch):
+    whole = ops.weekly_tokens(posts, ngram_range=(1, 2), stop=["la"])
+    plan = whole._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("Generate") < plan.index("REPARTITION_BY_NUM")  # plans are written from the end
+    want = counts(whole)
+    assert want[W1, "grippe"] == 3 and want[W2, "fièvre fièvres"] == 1
+    monkeypatch.setattr(ops, "WEEK_CHARS", 10)
+    assert counts(ops.weekly_tokens(posts, ngram_range=(1, 2), stop=["la"])) == want
+    assert ops.weekly_tokens(posts.limit(0), ngram_range=(1, 2)).count() == 0
