@@ -3,9 +3,9 @@
 A line is the set of its words. Two lines match when the Jaccard similarity of their sets is at least
 4/5. Words are put in one global order, rare ones first; sets that match must then share a word
 among their first few (prefix filter), at places from which enough words can still follow (positional
-filter), and have similar sizes (length filter). A signature of 64 bits, each the parity of the words
+filter), and have similar sizes (length filter). A signature of 128 bits, each the parity of the words
 that hash to it, bounds from below how many words two sets don't share, so most of the other candidates
-end in the join itself. What passes is verified on the whole sets. Equal sets are one class and are
+end in the join itself. What passes is verified on the whole sets, of which one line each is fetched by its hash. Equal sets are one class and are
 joined as one; only classes that differ form pairs.
 
 The order is a table of fixed size: words are counted by slots of their hash. Any global order gives
@@ -30,14 +30,19 @@ LEAST = 4
 # More than the words of any line; a text of Spark holds fewer.
 MOST = 1 << 31
 # Bits of the table of lines that have a candidate.
-TABLE_BITS = 1 << 18
+TABLE_BITS = 1 << 20
 WHITE = r"[\x20\x09-\x0D]+"
 
 
+def _hashes(line: Column) -> Column:
+    """Hashes of the words of a line; a split at spaces alone is much faster and does for most lines."""
+    words = F.when(line.rlike(r"[\x09-\x0D]"), F.split(line, WHITE)).otherwise(F.split(line, " "))
+    return F.transform(F.array_remove(words, ""), lambda w: F.xxhash64(w))
+
+
 def _words(line: Column) -> Column:
     """Hashes of the distinct words of a line, in ascending order."""
-    words = F.filter(F.split(line, WHITE), lambda w: w != "")
-    return F.sort_array(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))))
+    return F.sort_array(F.array_distinct(_hashes(line)))
 
 
 def _texts(docs: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -46,8 +51,11 @@ def _texts(docs: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 def word_order(docs: DataFrame, text: str) -> list[int]:
-    """Per slot a step of its words' count in all texts: ``STEPS`` times the binary logarithm."""
-    words = docs.select(F.explode(F.split(F.col(text), WHITE)).alias("word"))
+    """Per slot a step of its words' count in all texts: ``STEPS`` times the binary logarithm.
+
+    Words between spaces and line ends will do, since any order gives the same links.
+    """
+    words = docs.select(F.explode(F.split(F.replace(F.col(text), F.lit("\n"), F.lit(" ")), " ")).alias("word"))
     counts = words.groupBy(F.pmod(F.xxhash64("word"), F.lit(SLOTS)).cast("int").alias("slot")).agg(F.count("*").alias("n"))
     table = [0] * SLOTS
     for slot, step in counts.select("slot", F.least(F.lit(127), F.floor(F.log2("n") * STEPS)).cast("int")).collect():  # SLOTS rows at most
@@ -61,9 +69,15 @@ def _ranks(words: Column, table: list[int]) -> Column:
     return F.sort_array(F.transform(words, lambda w: F.shiftleft(F.get(steps, F.pmod(w, F.lit(SLOTS)).cast("int")), 56).bitwiseOR(F.shiftrightunsigned(w, 8))))
 
 
-def _signature(words: Column) -> Column:
-    """A bit per value of a word's last six bits: whether an odd number of words have it."""
-    return F.aggregate(words, F.lit(0).cast("long"), lambda bits, w: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(w, F.lit(64)).cast("int"))))
+def _signature(words: Column) -> tuple[Column, Column]:
+    """A bit per sign and value of the last six bits of a word: whether an odd number of words have it. The words are in ascending order."""
+
+    def parities(some: Column) -> Column:
+        one = F.lit(1).cast("long")
+        return F.aggregate(some, F.lit(0).cast("long"), lambda bits, w: bits.bitwiseXOR(F.call_function("shiftleft", one, w.bitwiseAND(F.lit(63)).cast("int"))))
+
+    low = F.filter(words, lambda w: w < 0)
+    return parities(low), parities(F.slice(words, F.size(low) + 1, F.size(words)))
 
 
 def _keys(ranks: Column) -> Column:
@@ -76,44 +90,46 @@ def _prefix_size(size: Column) -> Column:
     return size - F.ceil(size * NUM / DEN).cast("int") + 1
 
 
-def _name(value: Column) -> Column:
-    """128 bits that name a set of words, or a line; ``h1`` alone names a set on the way to verification."""
-    return F.struct(F.xxhash64(value).alias("h1"), F.xxhash64(F.lit(1), value).alias("h2"))
+def _name(words: Column) -> Column:
+    """128 bits that name a set of words."""
+    return F.struct(F.xxhash64(words).alias("h1"), F.xxhash64(F.lit(1), words).alias("h2"))
 
 
 def _entries(sets: DataFrame) -> DataFrame:
-    """One row per set and prefix word: ``(word, node, place, bits)``.
+    """One row per set and prefix word: ``(word, node, place, low, high)``, the node the hash of the set's line.
 
     ``place`` packs the set's size and the word's position in it, so that the rows that are shuffled
-    hold four numbers.
+    hold five numbers.
     """
-    rows = sets.select(F.col("node.h1").alias("node"), "size", "bits", F.posexplode("prefix").alias("at", "word"))
-    return rows.select("word", "node", (F.col("size") * MOST + F.col("at")).cast("long").alias("place"), "bits")
+    rows = sets.select(F.col("raw").alias("node"), "size", "low", "high", F.posexplode("prefix").alias("at", "word"))
+    return rows.select("word", "node", (F.col("size") * MOST + F.col("at")).cast("long").alias("place"), "low", "high")
 
 
 def candidates(entries: DataFrame) -> DataFrame:
     """Distinct pairs ``(a, b)`` of sets that pass the prefix, positional, length and signature filters."""
-    left, right = (entries.select("word", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "place", "bits")]) for side in ("a", "b"))
-    (size_a, at_a), (size_b, at_b) = ((F.expr(f"place_{s} div {MOST}"), F.expr(f"place_{s} % {MOST}")) for s in ("a", "b"))
+    left, right = (entries.select("word", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "place", "low", "high")]) for side in ("a", "b"))
+    # places are packed by MOST, a power of two
+    (size_a, at_a), (size_b, at_b) = ((F.shiftright(f"place_{s}", 31), F.col(f"place_{s}").bitwiseAND(F.lit(MOST - 1))) for s in ("a", "b"))
     follow = F.least(size_a - at_a, size_b - at_b)
     shared = (NUM + DEN) * follow >= NUM * (size_a + size_b)
     lengths = DEN * F.least(size_a, size_b) >= NUM * F.greatest(size_a, size_b)
     # every bit that differs stands for a word of its own that only one of both sets has
-    apart = F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b")))
+    apart = F.bit_count(F.col("low_a").bitwiseXOR(F.col("low_b"))) + F.bit_count(F.col("high_a").bitwiseXOR(F.col("high_b")))
     alike = (NUM + DEN) * (size_a + size_b - apart) >= 2 * NUM * (size_a + size_b)
-    pairs = left.join(right, "word").filter((F.col("node_a") < F.col("node_b")) & lengths & shared & alike)
+    pairs = left.join(right, "word").filter((F.col("node_a") < F.col("node_b")) & alike & lengths & shared)
     return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs of sets that match, by their full names; ``sets`` is ``(node, size, value)``, the value a line of the set.
+def verify(pairs: DataFrame, values: DataFrame) -> DataFrame:
+    """The pairs of sets that match, by their names; ``values`` is ``(raw, value)``, a line of each set by its hash.
 
-    Lines travel as text: similar ones lie side by side and shrink in the shuffle, hashes of their words don't.
+    Lines travel as text, which shrinks in the shuffle; hashes of their words don't.
     """
-    a, b = (sets.select(F.col("node.h1").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in ("node", "size", "value")]) for n in ("a", "b"))
+    words = values.select("raw", "value", _words(F.col("value")).alias("words"))
+    sets = words.select("raw", "value", _name(F.col("words")).alias("node"), F.size("words").alias("size"))
+    a, b = (sets.select(F.col("raw").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in ("node", "size", "value")]) for n in ("a", "b"))
     both = pairs.join(a, "a").join(b, "b")
-    shared = F.array_intersect(F.split("value_a", WHITE), F.split("value_b", WHITE))
-    common = F.size(F.array_remove(shared, ""))
+    common = F.size(F.array_intersect(_hashes(F.col("value_a")), _hashes(F.col("value_b"))))
     matching = both.filter((NUM + DEN) * common >= NUM * (F.col("size_a") + F.col("size_b")))
     return matching.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
@@ -123,26 +139,25 @@ def similar_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -
     id_col, text = f"`{id_col}`", f"`{text}`"
     texts, table = _texts(docs, id_col, text), word_order(docs, text)
     # a column of its own each, so that no step is computed twice
-    lines = texts.select("id", "content", "line", _name(F.col("value")).alias("raw"), _words(F.col("value")).alias("words"))
+    lines = texts.select("id", "content", "line", F.xxhash64("value").alias("raw"), _words(F.col("value")).alias("words"))
     size, large = F.size("words"), F.size("words") >= LEAST
     prefix = F.when(large, _keys(F.slice(_ranks(F.col("words"), table), 1, _prefix_size(size))))
-    bits = F.when(large, _signature(F.col("words")))
-    rows = lines.select("id", "content", "line", "raw", _name(F.col("words")).alias("node"), size.alias("size"), prefix.alias("prefix"), bits.alias("bits"))
+    low, high = (F.when(large, bits) for bits in _signature(F.col("words")))
+    rows = lines.select(
+        "id", "content", "line", "raw", _name(F.col("words")).alias("node"), size.alias("size"), prefix.alias("prefix"), low.alias("low"), high.alias("high")
+    )
     # the texts' words are split once for all that follows but the verification
     placed = written(rows, "line-sets")
-    sets = placed.filter(F.col("size") >= LEAST).groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "prefix", "bits")])
+    sets = placed.filter(F.col("size") >= LEAST).groupBy("node").agg(F.min("raw").alias("raw"), *[F.first(c).alias(c) for c in ("size", "prefix", "low", "high")])
     pairs = written(candidates(_entries(sets)), "line-pairs")
-    # the words of the sets that have a candidate: one line of each, found by a bit table of fixed size, then exactly
-    wanted = pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct()
-    named = placed.select("raw", "size", "node", F.col("node.h1").alias("h1")).join(wanted, "h1", "left_semi")
-    wanted = written(named.groupBy("node").agg(F.first("size").alias("size"), F.min("raw").alias("raw")), "line-wanted")
-    byte, bit = F.expr(f"cast(pmod(raw.h1, {TABLE_BITS}) div 7 as int)"), F.expr(f"shiftleft(1, cast(pmod(raw.h1, {TABLE_BITS}) % 7 as int))")
+    # the lines of the sets that have a candidate: found by a bit table of fixed size, then exactly by the join
+    wanted = pairs.select(F.col("a").alias("raw")).union(pairs.select("b"))
+    byte, bit = F.expr(f"cast(pmod(raw, {TABLE_BITS}) div 7 as int)"), F.expr(f"shiftleft(1, cast(pmod(raw, {TABLE_BITS}) % 7 as int))")
     marks = bytearray(TABLE_BITS // 7 + 1)  # seven bits of each byte, so that it is an ASCII character
     for place, found in wanted.groupBy(byte.alias("place")).agg(F.bit_or(bit)).collect():  # at most as many rows as the table has bytes
         marks[place] = found
     marked = F.ascii(F.substring(F.lit(bytes(marks)), byte + 1, F.lit(1)).cast("string")).bitwiseAND(bit) != 0
-    named = texts.select(_name(F.col("value")).alias("raw"), "value").filter(marked).join(wanted.select("raw"), "raw", "left_semi")
-    values = named.groupBy("raw").agg(F.first("value").alias("value")).join(wanted, "raw")
+    values = texts.select(F.xxhash64("value").alias("raw"), "value").filter(marked).groupBy("raw").agg(F.first("value").alias("value"))
     return placed.select("id", "content", "line", "node", "size"), written(verify(pairs, values), "line-links")
 
 

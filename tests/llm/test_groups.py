@@ -237,6 +237,18 @@ def test_lines_of_repeated_rows_and_none(spark):
     assert line_join.line_verdicts(frame(spark, [])).count() == 0
 
 
+def test_unlike_lines_end_in_the_candidate_join(spark, monkeypatch):
+    seen, verify = [], line_join.verify
+    monkeypatch.setattr(line_join, "verify", lambda pairs, values: (seen.append(pairs.count()), verify(pairs, values))[1])
+    # 60 lines of 100 words, of which each has 10 of its own and two share about 81; a match needs 89
+    words = [[f"w{j}" if (j * 7 + i * 13) % 100 >= 10 else f"own{i}-{j}" for j in range(100)] for i in range(60)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(words)] + [(100, "\t".join(words[0][:99] + ["other"]) + "\x0b \r")]
+    got = {r.doc_id: r.n_links for r in line_join.line_verdicts(frame(spark, rows)).collect()}
+    sets = {i: set(t.split()) for i, t in rows}
+    assert got == {i: sum(9 * len(a & b) >= 4 * (len(a) + len(b)) for j, b in sets.items() if j != i) for i, a in sets.items()}
+    assert seen[0] < sum(got.values()) / 2 + 300  # of 1,830 pairs
+
+
 def test_budgets_go_to_siblings_before_ancestors(spark):
     leaves = spark.createDataFrame(
         [("a", "x", "1", 10), ("a", "x", "2", 1000), ("a", "y", "3", 5), ("b", "x", "4", 1000), ("c", "x", "5", 0)],
