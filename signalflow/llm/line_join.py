@@ -14,6 +14,9 @@ the same links; a better one only gives fewer candidates. Sets are named by 128
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,15 +37,15 @@ TABLE_BITS = 1 << 20
 WHITE = r"[\x20\x09-\x0D]+"
 
 
-def _hashes(line: Column) -> Column:
-    """Hashes of the words of a line; a split at spaces alone is much faster and does for most lines."""
-    words = F.when(line.rlike(r"[\x09-\x0D]"), F.split(line, WHITE)).otherwise(F.split(line, " "))
-    return F.transform(F.array_remove(words, ""), lambda w: F.xxhash64(w))
+def _split(line: Column) -> Column:
+    """The words of a line, and empty strings; a split at spaces alone is faster and does for most lines."""
+    others = reduce(or_, [F.contains(line, F.lit(c)) for c in "\t\x0b\x0c\r"])
+    return F.when(others, F.split(line, WHITE)).otherwise(F.split(line, " "))
 
 
 def _words(line: Column) -> Column:
     """Hashes of the distinct words of a line, in ascending order."""
-    return F.sort_array(F.array_distinct(_hashes(line)))
+    return F.sort_array(F.array_distinct(F.transform(F.array_remove(_split(line), ""), lambda w: F.xxhash64(w))))
 
 
 def _texts(docs: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -129,7 +132,7 @@ def verify(pairs: DataFrame, values: DataFrame) -> DataFrame:
     sets = words.select("raw", "value", _name(F.col("words")).alias("node"), F.size("words").alias("size"))
     a, b = (sets.select(F.col("raw").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in ("node", "size", "value")]) for n in ("a", "b"))
     both = pairs.join(a, "a").join(b, "b")
-    common = F.size(F.array_intersect(_hashes(F.col("value_a")), _hashes(F.col("value_b"))))
+    common = F.size(F.array_remove(F.array_intersect(_split(F.col("value_a")), _split(F.col("value_b"))), ""))
     matching = both.filter((NUM + DEN) * common >= NUM * (F.col("size_a") + F.col("size_b")))
     return matching.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
