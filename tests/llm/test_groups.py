@@ -249,6 +249,31 @@ def test_unlike_lines_end_in_the_candidate_join(spark, monkeypatch):
     assert seen[0] < sum(got.values()) / 2 + 300  # of 1,830 pairs
 
 
+def test_links_of_near_copies_are_counted_not_made(spark, monkeypatch):
+    rng = random.Random(23)
+    bases = [[f"b{j}" for j in range(60)], [f"b{j}" for j in range(52)] + [f"c{j}" for j in range(8)], [f"d{j}" for j in range(12)]]
+    lines = []
+    for base, copies in zip(bases, (90, 50, 40)):
+        for _ in range(copies):
+            line = list(base)
+            for _ in range(rng.randrange(len(base) // 5)):
+                # some edits are shared
+                line[rng.randrange(len(line))] = rng.choice(["", f"x{rng.randrange(4)}", f"y{rng.randrange(10**6)}"])
+            lines.append(" ".join(line))
+    rng.shuffle(lines)
+    rows = [(i, "\n".join(lines[i::30])) for i in range(30)] + [(30, lines[0])]
+    want = brute_lines(rows)
+    sets = {frozenset(line.split()) for line in lines}
+    links = sum(9 * len(a & b) >= 4 * (len(a) + len(b)) for a in sets for b in sets if a != b) // 2
+    assert links > 4000
+    for family in (line_join.FAMILY, 2):
+        monkeypatch.setattr(line_join, "FAMILY", family)
+        got = {r.doc_id: (r.n_lines, r.n_removed, r.n_links, r.removed_lines, r.class_id) for r in line_join.line_verdicts(frame(spark, rows)).collect()}
+        assert got == want
+        made = line_join.similar_lines(frame(spark, rows))[1]
+        assert made.count() == made.distinct().count() < links / 3
+
+
 def test_budgets_go_to_siblings_before_ancestors(spark):
     leaves = spark.createDataFrame(
         [("a", "x", "1", 10), ("a", "x", "2", 1000), ("a", "y", "3", 5), ("b", "x", "4", 1000), ("c", "x", "5", 0)],
