@@ -90,3 +90,36 @@ def test_many_copies_of_a_row_are_no_one_group(spark, monkeypatch):
     assert sum(g["count"] for g in groups) == 400 and max(g["count"] for g in groups) <= 40
     got = html_extract.extract(df).collect()
     assert sorted((r.page_id, r.text, r.n_repeated) for r in got) == sorted([(7, "seven", 10)] * 300 + [(100 + i, f"page {i}", 10) for i in range(100)])
+
+
+def test_where_a_host_is_cut_changes_no_text(spark, monkeypatch):
+    """Sections of few articles: what counts is the share of the host's different articles."""
+    monkeypatch.setattr(html_extract, "SECTION_PAGES", 6)
+    rng = np.random.default_rng(8)
+    shared = [" ".join(f"b{i}w{j}" for j in range(8 + i % 3)) for i in range(30)]
+    # up to four of a hundred articles more or less than half, and the rest far from it
+    have = [rng.permutation(101)[: 50 + rng.integers(-4, 5) if i < 20 else 10 * (i - 20)] for i in range(30)]
+    articles = [[f"only here {a}", *[shared[i] for i in range(30) if a in have[i]]] for a in range(101)]
+    pages = [(a, f"https://big.example/{a}", blocks) for a, blocks in enumerate(articles)]
+    # copies of an article count once, and those of a row are judged by the host too
+    pages += [(1000 + i, f"https://big.example/copy{i}", articles[3]) for i in range(60)] + [pages[4]] * 40
+    df = spark.createDataFrame([(i, u, "<article><p>" + "<p>".join(b) + "</article>") for i, u, b in pages], "page_id long, url string, html string")
+    gone = {shared[i] for i in range(30) if 2 * len(have[i]) > 101}
+    assert 5 < len(gone) < 25 and any(len(h) == 50 for h in have) and any(len(h) == 51 for h in have)
+    got = sorted((r.page_id, r.text, r.n_repeated) for r in html_extract.extract(df).collect())
+    want = [(i, "\n".join(t for t in b if t not in gone), sum(len(t.split()) for t in b if t in gone)) for i, _, b in pages]
+    assert got == sorted(want)
+
+
+def test_named_runs_are_those_of_more_than_a_quarter():
+    rng = np.random.default_rng(9)
+    for n in (1, 3, 9):
+        articles = [[" ".join(rng.choice(["a", "b"], rng.integers(0, 20))) for _ in range(4)] for _ in range(n)]
+        held = [{tuple(w[i : i + 8]) for t in a for w in [t.split()] for i in range(len(w) - 7)} for a in articles]
+        counts = {r: sum(r in h for h in held) for r in set().union(*held)}
+        digest = lambda run: int(html_extract.run_hashes(html_extract._word_hashes(run))[0])
+        runs, number = html_extract.named_runs(articles)
+        assert dict(zip(runs.tolist(), number.tolist())) == {digest(r): c for r, c in counts.items() if 4 * c > n}
+        some = np.array([digest(r) for r in list(counts)[::2]], np.int64)
+        runs, number = html_extract.counted_runs(articles, some)
+        assert dict(zip(runs.tolist(), number.tolist())) == {digest(r): counts[r] for r in list(counts)[::2]}
