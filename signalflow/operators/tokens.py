@@ -64,6 +64,7 @@ def stemmed(tokens: Column, stemmer: Stemmer) -> Column:
 
 
 def stemmed_word(token: Column, stemmer: Stemmer) -> Column:
+    """The stem of a word; one in Python is made once, whatever filters use it."""
     if _is_expression(stemmer):
         return stemmer(token)
 
@@ -71,7 +72,8 @@ def stemmed_word(token: Column, stemmer: Stemmer) -> Column:
     def apply(batch: pd.Series) -> pd.Series:
         return batch.map({w: stemmer(w) for w in batch.unique()})
 
-    return apply(token)
+    # a filter on the outcome of a deterministic function is moved ahead of it, as a second call
+    return apply.asNondeterministic()(token)
 
 
 def ngrams(tokens: Column, lo: int, hi: int) -> Column:
@@ -114,7 +116,7 @@ def weekly_tokens(
     """Long weekly token counts ``(*by, iso_weekstartdate, token, cnt)``.
 
     Single words are counted before they are stemmed, and every distinct word of the
-    vocabulary is stemmed once; its counts then meet their stem in a join on the word.
+    vocabulary is stemmed once, in a row with its counts; these are bounded by the calendar.
     """
     week = week_bucket(created, anchor).alias(WEEK)
     keys = [*by, WEEK, "token"]
@@ -135,8 +137,11 @@ def weekly_tokens(
     counted = exploded.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
     if stemmer is None:
         return counted
-    vocabulary = counted.select("token").distinct().select("token", stemmed_word(F.col("token"), stemmer).alias("__stem"))
-    stems = counted.join(vocabulary, "token").select(*keys[:-1], F.col("__stem").alias("token"), "cnt")
+    # a row per word, with its counts beside it: a join with the vocabulary would read and split all texts a second time.
+    # The word is an aggregate: the optimizer would move a filter on the stem of a grouping key below the counts, where
+    # every word of every text would be stemmed
+    each = counted.groupBy("token").agg(F.min("token").alias("__word"), F.collect_list(F.struct(*keys[:-1], "cnt")).alias("__counts"))
+    stems = each.select(stemmed_word(F.col("__word"), stemmer).alias("token"), "__counts").select("token", F.inline("__counts"))
     if stop:
         stems = stems.filter(~F.col("token").isin(*stop))
     return stems.groupBy(*keys).agg(F.sum("cnt").alias("cnt"))

@@ -166,3 +166,20 @@ def test_ngrams_are_made_behind_the_shuffle(spark, posts, monkeypatch):
     monkeypatch.setattr(ops, "WEEK_CHARS", 10)
     assert counts(ops.weekly_tokens(posts, ngram_range=(1, 2), stop=["la"])) == want
     assert ops.weekly_tokens(posts.limit(0), ngram_range=(1, 2)).count() == 0
+
+
+def test_texts_are_split_once_and_a_word_is_stemmed_once(spark, posts):
+    calls = spark.sparkContext.accumulator(0)
+
+    def stem(word):
+        calls.add(1)
+        return word[:4]
+
+    many = posts.unionAll(posts).unionAll(posts).repartition(3)
+    stems = ops.weekly_tokens(many, stop=["grip", "la", "et"], stemmer=stem)
+    assert stems._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") == 1
+    assert counts(stems) == {(W1, "jai"): 3, (W1, "fièv"): 3, (W2, "fièv"): 6}
+    assert calls.value == len({"jai", "la", "grippe", "et", "fièvre", "fièvres"})
+    # a column expression stays above the counts too
+    plan = ops.weekly_tokens(many, stop=["grip"], stemmer=ops.by_columns(lambda w: F.left(w, F.lit(4))))._jdf.queryExecution().optimizedPlan().toString()
+    assert "substring(" in plan and "substring(" not in plan[plan.index("count(1)") :]  # plans are written from the end
