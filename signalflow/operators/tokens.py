@@ -116,7 +116,7 @@ def weekly_tokens(
     """Long weekly token counts ``(*by, iso_weekstartdate, token, cnt)``.
 
     Single words are counted before they are stemmed, and every distinct word of the
-    vocabulary is stemmed once, in a row with its counts; these are bounded by the calendar.
+    vocabulary is stemmed once, in a row with its counts; these are one for each week and group.
     """
     week = week_bucket(created, anchor).alias(WEEK)
     keys = [*by, WEEK, "token"]
